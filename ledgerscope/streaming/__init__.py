@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The pipeline this package re-expresses has no stream input, watermark, state or late-data
+path: its time windows are conditions on the day offset over batch tables. Nothing is built
+here rather than inventing a streaming operator it does not have.
+"""
