@@ -11,10 +11,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import ACCOUNT
+from ..config import ACCOUNT, BALANCE_AGGREGATES
 from ..functions.exprs import round_doubles, window_flags
 from ..operators.population import Population, incoming_view, population_ids
+from ..operators.assemble import CROSS_FEATURES, median_impute
+from ..operators.balances import balance_feature_names, balance_features
+from ..operators.dimension import kyc_features
 from ..operators.transactions import feature_names, transaction_features
+from .feature_job import build_features
 from ..sources.fixtures import FIXTURE_CUTOFF, fixture_columns, fixture_inputs
 from ..sources.normalize import Inputs, normalize_inputs
 from . import oracle as O
@@ -73,6 +77,12 @@ def _txn_query(prefixes: tuple[str, ...], group: str) -> Callable[[SparkSession,
 
 
 INT_COLUMNS_MARKERS = ("days_since_", "max_txn_gap_days", "account_age_days")
+KYC_NAMES = ["account_age_days", "gender_idx", "region_idx", "account_type_idx"]
+
+
+def feature_table_columns() -> list[str]:
+    """The 233 feature names of the assembled table, in order."""
+    return feature_names("out") + feature_names("in") + balance_feature_names() + KYC_NAMES + list(CROSS_FEATURES)
 
 
 def _sql_type(name: str) -> str:
@@ -163,6 +173,94 @@ SELECT ACCOUNT_ID, DST_ACCOUNT_ID, TXN_DATE, CAST(d AS INTEGER) AS days_before_c
 FROM out_t"""
 
 
+# ----------------------------------------------------------------------------- balances, kyc, store
+
+BAL_GROUPS = {
+    "windows": [n for n, fn, _, _ in BALANCE_AGGREGATES if fn != "median"],
+    "median": ["median_balance_30d"],
+    "first_last": ["last_balance", "first_balance_90d"],
+}
+
+
+def _bal_group(group: str) -> list[str]:
+    if group == "derived":
+        names = balance_feature_names()
+        return names[names.index("first_balance_90d") + 1:]
+    return BAL_GROUPS[group]
+
+
+def _bal_query(group: str) -> Callable[[SparkSession, str], DataFrame]:
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        inp = fixture(spark, sf_dir)
+        df = balance_features(inp.balances, CUTOFF, fixture_population(spark, inp))
+        return round_doubles(df.select(ACCOUNT, *_bal_group(group)))
+
+    return q
+
+
+def _bal_sql(group: str) -> str:
+    cols = ", ".join(_cast(n, n) for n in _bal_group(group))
+    return f"""{O.with_all(O.base_ctes(CUTOFF), O.balance_feature_cte(CUTOFF))}
+SELECT ACCOUNT_ID, {cols} FROM bal_f"""
+
+
+def q_kyc_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P13 + M1 + U3 + J2d."""
+    inp = fixture(spark, sf_dir)
+    return round_doubles(kyc_features(inp.kyc, CUTOFF, fixture_population(spark, inp)))
+
+
+SQL_KYC_FEATURES = f"""{O.with_all(O.base_ctes(CUTOFF), O.kyc_feature_cte(CUTOFF))}
+SELECT ACCOUNT_ID, {", ".join(_cast(n, n) for n in KYC_NAMES)} FROM kyc_f"""
+
+
+def _fill_value(name: str) -> str:
+    return "9999" if ("days_since" in name or "gap_days" in name) else "0"
+
+
+def _store_sql(fill: bool = True, columns: list[str] | None = None) -> str:
+    cols = columns or feature_table_columns()
+    ctes = O.feature_store_ctes(feature_names(), balance_feature_names(), KYC_NAMES, CUTOFF)
+    sel = ", ".join(_cast(f"COALESCE({n}, {_fill_value(n)})" if fill else n, n) for n in cols)
+    return f"""WITH {ctes}
+SELECT ACCOUNT_ID, {sel} FROM joined"""
+
+
+def q_feature_store_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The assembled, filled 233-feature table."""
+    return round_doubles(build_features(fixture(spark, sf_dir), CUTOFF).features)
+
+
+def q_feature_store_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S9 + S10 + R3: write the store (stamped with cutoff and version) and read it back."""
+    from ..session import shared_dir
+    from ..sources.sinks import read_feature_store, write_feature_store
+    import uuid
+
+    path = shared_dir(spark, f"feature_store_{uuid.uuid4().hex[:8]}")
+    write_feature_store(build_features(fixture(spark, sf_dir), CUTOFF).features, path, CUTOFF)
+    return round_doubles(read_feature_store(spark, path, CUTOFF))
+
+
+MEDIAN_IMPUTE_COLUMNS = ["avg_balance_30d", "out_avg_txn_amount", "in_median_txn_amount", "balance_std_7d"]
+
+
+def q_median_impute(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M2: median imputation of unfilled feature columns (exact medians: relativeError 0)."""
+    feats = build_features(fixture(spark, sf_dir), CUTOFF, fill=False).features
+    df = feats.select(ACCOUNT, *MEDIAN_IMPUTE_COLUMNS)
+    return round_doubles(median_impute(df, MEDIAN_IMPUTE_COLUMNS, relative_error=0.0))
+
+
+def _median_impute_sql() -> str:
+    ctes = O.feature_store_ctes(feature_names(), balance_feature_names(), KYC_NAMES, CUTOFF)
+    meds = ", ".join(f"QUANTILE_DISC({c}, 0.5) AS m_{c}" for c in MEDIAN_IMPUTE_COLUMNS)
+    sel = ", ".join(_cast(f"COALESCE({c}, (SELECT m_{c} FROM meds))", c) for c in MEDIAN_IMPUTE_COLUMNS)
+    return f"""WITH {ctes},
+meds AS (SELECT {meds} FROM joined)
+SELECT ACCOUNT_ID, {sel} FROM joined"""
+
+
 # ----------------------------------------------------------------------------- registry
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -178,6 +276,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "txn_distincts": _txn_query(("out", "in"), "distincts"),
         "txn_gaps": _txn_query(("out", "in"), "gaps"),
         "txn_derived": _txn_query(("out", "in"), "derived"),
+        "balance_windows": _bal_query("windows"),
+        "balance_median": _bal_query("median"),
+        "balance_first_last": _bal_query("first_last"),
+        "balance_derived": _bal_query("derived"),
+        "kyc_features": q_kyc_features,
+        "feature_store_flow": q_feature_store_flow,
+        "feature_store_roundtrip": q_feature_store_roundtrip,
+        "median_impute": q_median_impute,
     }
 
 
@@ -194,4 +300,12 @@ def oracle_sql() -> dict[str, str]:
         "txn_distincts": _txn_sql(("out", "in"), "distincts"),
         "txn_gaps": _txn_sql(("out", "in"), "gaps"),
         "txn_derived": _txn_sql(("out", "in"), "derived"),
+        "balance_windows": _bal_sql("windows"),
+        "balance_median": _bal_sql("median"),
+        "balance_first_last": _bal_sql("first_last"),
+        "balance_derived": _bal_sql("derived"),
+        "kyc_features": SQL_KYC_FEATURES,
+        "feature_store_flow": _store_sql(),
+        "feature_store_roundtrip": _store_sql(),
+        "median_impute": _median_impute_sql(),
     }

@@ -216,8 +216,8 @@ bal_t AS (
 bal_a AS (
   SELECT ACCOUNT_ID,
     {aggs},
-    arg_max(BALANCE, BAL_DATE) AS last_balance,
-    arg_min(BALANCE, BAL_DATE) AS first_balance_90d
+    arg_max_null(BALANCE, BAL_DATE) AS last_balance,
+    arg_min_null(BALANCE, BAL_DATE) AS first_balance_90d
   FROM bal_t GROUP BY ACCOUNT_ID
 ),
 bal_f AS (
@@ -265,3 +265,46 @@ def round4(expr: str) -> str:
 
 def with_all(*ctes: str) -> str:
     return "WITH " + ",".join(ctes)
+
+
+def _cross_cols() -> list[tuple[str, str]]:
+    o30, i30 = "COALESCE(out_txn_sum_30d, 0.0)", "COALESCE(in_txn_sum_30d, 0.0)"
+    o90, i90 = "COALESCE(out_txn_sum_90d, 0.0)", "COALESCE(in_txn_sum_90d, 0.0)"
+    oc, ic = "COALESCE(out_txn_count_30d, 0.0)", "COALESCE(in_txn_count_30d, 0.0)"
+    days = "GREATEST(COALESCE(out_active_days_90d, 0.0), COALESCE(in_active_days_90d, 0.0), 1.0)"
+    return [
+        ("out_txn_to_balance_ratio", f"{o30} / GREATEST(ABS(avg_balance_30d), 1.0)"),
+        ("in_txn_to_balance_ratio", f"{i30} / GREATEST(ABS(avg_balance_30d), 1.0)"),
+        ("net_flow_30d", f"{i30} - {o30}"),
+        ("net_flow_90d", f"{i90} - {o90}"),
+        ("in_out_amount_ratio_30d", f"{i30} / GREATEST({o30}, 1.0)"),
+        ("in_out_count_ratio_30d", f"{ic} / GREATEST({oc}, 1.0)"),
+        ("amount_per_active_day_90d", f"({o90} + {i90}) / {days}"),
+    ]
+
+
+def feature_store_ctes(txn_names: list[str], bal_names: list[str], kyc_names: list[str],
+                       cutoff: str = FIXTURE_CUTOFF) -> str:
+    """``joined`` (population-anchored, unfilled, with the cross features)."""
+    sel = ["p.ACCOUNT_ID"]
+    sel += [f"out_f.{n} AS out_{n}" for n in txn_names]
+    sel += [f"in_f.{n} AS in_{n}" for n in txn_names]
+    sel += [f"bal_f.{n}" for n in bal_names]
+    sel += [f"kyc_f.{n}" for n in kyc_names]
+    cross = ",\n    ".join(f"{e} AS {n}" for n, e in _cross_cols())
+    return ",".join([
+        base_ctes(cutoff), txn_feature_ctes(cutoff), balance_feature_cte(cutoff), kyc_feature_cte(cutoff),
+        f"""
+pre AS (
+  SELECT {", ".join(sel)}
+  FROM population p
+  LEFT JOIN out_f ON out_f.ACCOUNT_ID = p.ACCOUNT_ID
+  LEFT JOIN in_f ON in_f.ACCOUNT_ID = p.ACCOUNT_ID
+  LEFT JOIN bal_f ON bal_f.ACCOUNT_ID = p.ACCOUNT_ID
+  LEFT JOIN kyc_f ON kyc_f.ACCOUNT_ID = p.ACCOUNT_ID
+),
+joined AS (
+  SELECT *,
+    {cross}
+  FROM pre
+)"""])
