@@ -261,6 +261,143 @@ meds AS (SELECT {meds} FROM joined)
 SELECT ACCOUNT_ID, {sel} FROM joined"""
 
 
+# ----------------------------------------------------------------------------- labels, split, metrics
+
+from ..model import labels as L  # noqa: E402
+from ..operators.ranking import roc_auc, top_fraction_metrics  # noqa: E402
+
+VALID_FRAC = 0.2
+SAMPLE_FRAC = 0.5
+SEED = 42
+TOP_FRAC = 0.10
+MATRIX_FEATURES = ["out_txn_count_30d", "avg_balance_30d", "account_age_days"]
+
+
+def _split_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled population rows with their split date (P14, J8) and ``is_valid``."""
+    inp = fixture(spark, sf_dir)
+    pop = fixture_population(spark, inp)
+    lab = L.prepare_labels(inp.labels, inp.kyc).join(pop.ids, ACCOUNT, "left_semi")
+    return L.time_split(lab, VALID_FRAC)
+
+
+def q_time_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _split_rows(spark, sf_dir).select(ACCOUNT, "CHURN", "ACCOUNT_OPEN_DATE", "is_valid")
+
+
+def q_train_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return L.train_sample(_split_rows(spark, sf_dir), SAMPLE_FRAC, SEED).select(ACCOUNT, "is_valid")
+
+
+def q_class_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_doubles(L.class_counts(_split_rows(spark, sf_dir)))
+
+
+def _store(spark: SparkSession, sf_dir: str):
+    inp = fixture(spark, sf_dir)
+    return inp, build_features(inp, CUTOFF).features
+
+
+def q_train_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    inp, feats = _store(spark, sf_dir)
+    m = L.train_matrix(feats, L.prepare_labels(inp.labels, inp.kyc))
+    return round_doubles(m.select(ACCOUNT, "CHURN", "ACCOUNT_OPEN_DATE", *MATRIX_FEATURES))
+
+
+def q_score_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    inp, feats = _store(spark, sf_dir)
+    return round_doubles(L.score_matrix(feats, inp.test_ids).select(ACCOUNT, *MATRIX_FEATURES))
+
+
+def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled rows scored by recency (a model-free score with many ties)."""
+    inp, feats = _store(spark, sf_dir)
+    m = L.train_matrix(feats, L.prepare_labels(inp.labels, inp.kyc))
+    return m.select(ACCOUNT, "CHURN", F.col("out_days_since_last_transaction").cast("double").alias("score"))
+
+
+def q_roc_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_doubles(roc_auc(_scored(spark, sf_dir), "CHURN", "score"))
+
+
+def q_topk_precision_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_doubles(top_fraction_metrics(_scored(spark, sf_dir), TOP_FRAC, "CHURN", "score", ACCOUNT))
+
+
+def _label_ctes() -> str:
+    return f"""
+kyc1 AS (SELECT ACCOUNT_ID, MIN(ACCOUNT_OPEN_DATE) AS ACCOUNT_OPEN_DATE FROM wallet_kyc GROUP BY ACCOUNT_ID),
+lab AS (
+  SELECT l.ACCOUNT_ID, CAST(l.CHURN AS INTEGER) AS CHURN, k.ACCOUNT_OPEN_DATE
+  FROM wallet_labels l LEFT JOIN kyc1 k ON k.ACCOUNT_ID = l.ACCOUNT_ID
+),
+split_in AS (SELECT * FROM lab WHERE ACCOUNT_ID IN (SELECT ACCOUNT_ID FROM population)),
+thr AS (SELECT quantile_cont(date_diff('day', DATE '1970-01-01', ACCOUNT_OPEN_DATE), {1.0 - VALID_FRAC!r}) AS t FROM split_in),
+split AS (
+  SELECT *, COALESCE(date_diff('day', DATE '1970-01-01', ACCOUNT_OPEN_DATE) >= (SELECT t FROM thr), FALSE) AS is_valid
+  FROM split_in
+)"""
+
+
+def _split_sql(select: str) -> str:
+    return f"""{O.with_all(O.base_ctes(CUTOFF), _label_ctes())}
+{select}"""
+
+
+SQL_TIME_SPLIT = _split_sql("SELECT ACCOUNT_ID, CHURN, ACCOUNT_OPEN_DATE, is_valid FROM split")
+SQL_TRAIN_SAMPLE = _split_sql(
+    "SELECT ACCOUNT_ID, is_valid FROM split WHERE is_valid OR "
+    f"substr(md5(CAST(ACCOUNT_ID AS VARCHAR) || '|{SEED}'), 1, 8) < '{L.sample_bound(SAMPLE_FRAC)}'"
+)
+SQL_CLASS_WEIGHTS = _split_sql(
+    "SELECT pos, neg, " + O.round4("CAST(neg AS DOUBLE) / pos") + " AS scale_pos_weight FROM ("
+    "SELECT CAST(GREATEST(COALESCE(SUM(CHURN), 0), 1) AS BIGINT) AS pos, "
+    "CAST(GREATEST(COUNT(*) - COALESCE(SUM(CHURN), 0), 1) AS BIGINT) AS neg FROM split WHERE NOT is_valid) c"
+)
+
+
+def _store_with_labels_sql(select: str) -> str:
+    ctes = O.feature_store_ctes(feature_names(), balance_feature_names(), KYC_NAMES, CUTOFF)
+    filled = ", ".join(_cast(f"COALESCE({n}, {_fill_value(n)})", n) for n in MATRIX_FEATURES + ["out_days_since_last_transaction"])
+    return f"""WITH {ctes}, {_label_ctes()},
+store AS (SELECT ACCOUNT_ID, {filled} FROM joined)
+{select}"""
+
+
+SQL_TRAIN_MATRIX = _store_with_labels_sql(
+    f"SELECT s.ACCOUNT_ID, l.CHURN, l.ACCOUNT_OPEN_DATE, {', '.join('s.' + c for c in MATRIX_FEATURES)} "
+    "FROM store s JOIN lab l ON l.ACCOUNT_ID = s.ACCOUNT_ID"
+)
+SQL_SCORE_MATRIX = _store_with_labels_sql(
+    f"SELECT s.ACCOUNT_ID, {', '.join('s.' + c for c in MATRIX_FEATURES)} "
+    "FROM store s WHERE s.ACCOUNT_ID IN (SELECT ACCOUNT_ID FROM wallet_test_ids)"
+)
+_SCORED = """
+m AS (SELECT s.ACCOUNT_ID, l.CHURN AS y, CAST(s.out_days_since_last_transaction AS DOUBLE) AS sc
+      FROM store s JOIN lab l ON l.ACCOUNT_ID = s.ACCOUNT_ID)"""
+def _with_scored(sql: str) -> str:
+    """Insert the scored-rows CTE ``m`` before the final SELECT line."""
+    head, sel = sql.rsplit("\n", 1)
+    return head + "," + _SCORED + "\n" + sel
+
+
+SQL_ROC_AUC = _with_scored(_store_with_labels_sql(
+    "SELECT " + O.round4(
+        "(SUM(CASE WHEN y = 1 THEN rk + (c - 1) / 2.0 ELSE 0 END) - SUM(y) * (SUM(y) + 1) / 2.0) "
+        "/ (CAST(SUM(y) AS DOUBLE) * (COUNT(*) - SUM(y)))"
+    ) + " AS auc, CAST(SUM(y) AS BIGINT) AS positives, CAST(COUNT(*) - SUM(y) AS BIGINT) AS negatives "
+    "FROM (SELECT y, RANK() OVER (ORDER BY sc) AS rk, COUNT(*) OVER (PARTITION BY sc) AS c FROM m) r"
+))
+SQL_TOPK = _with_scored(_store_with_labels_sql(
+    "SELECT n_top, tp AS true_positives, "
+    + O.round4("CAST(tp AS DOUBLE) / n_top") + " AS precision, "
+    + O.round4("CASE WHEN p > 0 THEN CAST(tp AS DOUBLE) / p ELSE 0.0 END") + " AS recall FROM ("
+    "SELECT CAST(MAX(n_top) AS BIGINT) AS n_top, CAST(SUM(CASE WHEN rn <= n_top THEN y ELSE 0 END) AS BIGINT) AS tp, "
+    "MAX(p) AS p FROM (SELECT y, ROW_NUMBER() OVER (ORDER BY sc DESC, ACCOUNT_ID) AS rn, "
+    f"GREATEST(1, CEIL(COUNT(*) OVER () * CAST({TOP_FRAC!r} AS DOUBLE))) AS n_top, SUM(y) OVER () AS p FROM m) t) a"
+))
+
+
 # ----------------------------------------------------------------------------- registry
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -284,6 +421,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "feature_store_flow": q_feature_store_flow,
         "feature_store_roundtrip": q_feature_store_roundtrip,
         "median_impute": q_median_impute,
+        "time_split": q_time_split,
+        "train_sample": q_train_sample,
+        "class_weights": q_class_weights,
+        "train_matrix": q_train_matrix,
+        "score_matrix": q_score_matrix,
+        "roc_auc": q_roc_auc,
+        "topk_precision_recall": q_topk_precision_recall,
     }
 
 
@@ -308,4 +452,11 @@ def oracle_sql() -> dict[str, str]:
         "feature_store_flow": _store_sql(),
         "feature_store_roundtrip": _store_sql(),
         "median_impute": _median_impute_sql(),
+        "time_split": SQL_TIME_SPLIT,
+        "train_sample": SQL_TRAIN_SAMPLE,
+        "class_weights": SQL_CLASS_WEIGHTS,
+        "train_matrix": SQL_TRAIN_MATRIX,
+        "score_matrix": SQL_SCORE_MATRIX,
+        "roc_auc": SQL_ROC_AUC,
+        "topk_precision_recall": SQL_TOPK,
     }
