@@ -102,7 +102,9 @@ def as_date(col: str, dtype: T.DataType) -> Column:
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         return F.to_date(c)
     if isinstance(dtype, T.LongType):
-        return F.to_date(as_timestamp(col, dtype))
+        # nanoseconds since the epoch -> calendar day, in exact integer arithmetic (floor)
+        day = 86_400_000_000_000
+        return F.expr(f"date_from_unix_date(CAST((`{col}` - pmod(`{col}`, {day})) div {day} AS INT))")
     return F.to_date(F.try_to_timestamp(c.cast("string")))
 
 

@@ -80,7 +80,8 @@ def gbt(params: GBTParams, max_iter: int, seed: int, validation: bool, validatio
         checkpointInterval=10,
     )
     if validation:
-        est = est.setValidationIndicatorCol("is_valid").setValidationTol(validation_tol)
+        est = est.setValidationIndicatorCol("is_valid")
+        est._set(validationTol=validation_tol)
     return est
 
 

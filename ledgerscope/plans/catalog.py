@@ -398,6 +398,137 @@ SQL_TOPK = _with_scored(_store_with_labels_sql(
 ))
 
 
+# ----------------------------------------------------------------------------- sources and sinks
+
+from pyspark.sql import types as T  # noqa: E402
+
+LABELS_SCHEMA = T.StructType([T.StructField("ACCOUNT_ID", T.LongType()), T.StructField("CHURN", T.IntegerType())])
+TEST_SCHEMA = T.StructType([T.StructField("ACCOUNT_ID", T.LongType())])
+
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    import uuid
+
+    from ..session import shared_dir
+
+    return shared_dir(spark, f"{name}_{uuid.uuid4().hex[:8]}")
+
+
+def q_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2 + S4: labels written as header CSV, read back by suffix with an explicit schema."""
+    from ..sources.fixtures import wallet_labels
+    from ..sources.readers import read_any
+
+    path = _scratch(spark, "labels") + "/train_labels.csv"
+    wallet_labels(spark, sf_dir).write.mode("overwrite").option("header", "true").csv(path)
+    return read_any(spark, [path], csv_schema=LABELS_SCHEMA)
+
+
+SQL_CSV_ROUNDTRIP = f"""{O.with_all(O.base_ctes(CUTOFF))}
+SELECT ACCOUNT_ID, CHURN FROM wallet_labels"""
+
+
+def q_nanos_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transfers stored with TIMESTAMP(NANOS), read without a driver-side rewrite."""
+    from ..sources.fixtures import wallet_trx, write_nanos_copy
+    from ..sources.normalize import asof_filter, canonical_transactions
+    from ..sources.readers import read_parquet
+
+    path = _scratch(spark, "trx_nanos")
+    write_nanos_copy(wallet_trx(spark, sf_dir), path)
+    trx = asof_filter(canonical_transactions(read_parquet(spark, [path]), fixture_columns()), "TXN_DATE", CUTOFF)
+    return round_doubles(trx.select(ACCOUNT, "DST_ACCOUNT_ID", "TXN_DATE", "TXN_AMOUNT", "TXN_TYPE"))
+
+
+def q_resolve_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 + S3 + S4 + S5 + S8: find the five inputs in an export folder, read, normalise,
+    and derive the population from what was found."""
+    from ..config import ColumnMap
+    from ..sources.fixtures import write_fixture_layout
+    from .pipeline import discover, read_inputs
+    from ..config import PipelineConfig
+
+    root = write_fixture_layout(spark, sf_dir, _scratch(spark, "export"))
+    found = discover(spark, PipelineConfig(data_dir=root))
+    inp = normalize_inputs(read_inputs(spark, found, LABELS_SCHEMA, TEST_SCHEMA), CUTOFF, ColumnMap())
+    return population_ids(inp.labels, inp.test_ids, inp.kyc)
+
+
+# ----------------------------------------------------------------------------- model (rows-only checks)
+
+def fixture_config(**kw):
+    from ..config import PipelineConfig
+
+    base = dict(cutoff_date=CUTOFF, search_trials=2, search_max_iter=5, final_max_iter=10, random_seed=SEED)
+    base.update(kw)
+    return PipelineConfig(**base)
+
+
+def _matrix(spark: SparkSession, sf_dir: str):
+    from .model_job import labelled_matrix
+
+    inp, feats = _store(spark, sf_dir)
+    return inp, feats, labelled_matrix(feats, inp.labels, inp.kyc, fixture_config())
+
+
+def q_gbt_train_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M6 + M11 + J7: one validation-stopped fit, then the test accounts' probabilities."""
+    from ..model.train import GBTParams, assemble, fit_with_validation, positive_probability
+
+    inp, feats, m = _matrix(spark, sf_dir)
+    model, _ = fit_with_validation(m.data, GBTParams(maxDepth=4), 10, SEED)
+    to_score = assemble(L.score_matrix(feats, inp.test_ids), m.feature_cols, [ACCOUNT])
+    return positive_probability(model, to_score, "CHURN_PROB").select(ACCOUNT, "CHURN_PROB")
+
+
+def q_gbt_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M7: seeded random search; one row per trial with its validation AUC."""
+    from ..model.train import random_search
+    from .model_job import trials_frame
+
+    _, _, m = _matrix(spark, sf_dir)
+    return trials_frame(spark, random_search(m.data, 2, 5, SEED, max_depth_cap=4))
+
+
+def _train(spark: SparkSession, sf_dir: str):
+    from .model_job import train_and_score
+
+    inp, feats = _store(spark, sf_dir)
+    return feats, train_and_score(feats, inp.labels, inp.kyc, inp.test_ids, fixture_config(), max_depth_cap=4)
+
+
+def q_gbt_refit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M10 + M11: refit on all labelled rows with the chosen rounds; test-account scores."""
+    return _train(spark, sf_dir)[1].predictions
+
+
+def q_gain_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M12 + O2: per-feature gain of the final model, largest first."""
+    return _train(spark, sf_dir)[1].importance.orderBy(F.desc("gain"), F.asc("feature"))
+
+
+def q_driver_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean probability change when one feature is set to its median (top 30)."""
+    from ..model.evaluate import median_substitution_summary
+    from ..model.train import GBTParams, fit_with_validation
+
+    _, feats, m = _matrix(spark, sf_dir)
+    model, _ = fit_with_validation(m.data, GBTParams(maxDepth=4), 10, SEED)
+    return median_substitution_summary(model, m.data, m.feature_cols, feats, SEED, max_rows=2_000)
+
+
+def q_metric_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M14 + S9-S14 end to end: export folder -> pipeline -> metrics read back from its sink."""
+    from ..sources.fixtures import write_fixture_layout
+    from .pipeline import run_pipeline
+
+    root = _scratch(spark, "run")
+    write_fixture_layout(spark, sf_dir, f"{root}/data")
+    cfg = fixture_config(data_dir=f"{root}/data", work_dir=f"{root}/work", output_dir=f"{root}/out")
+    res = run_pipeline(spark, cfg, LABELS_SCHEMA, TEST_SCHEMA, max_depth_cap=4, summary=False)
+    return spark.read.json(res.paths["metrics"])
+
+
 # ----------------------------------------------------------------------------- registry
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -428,6 +559,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "score_matrix": q_score_matrix,
         "roc_auc": q_roc_auc,
         "topk_precision_recall": q_topk_precision_recall,
+        "csv_roundtrip": q_csv_roundtrip,
+        "nanos_timestamps": q_nanos_timestamps,
+        "resolve_inputs": q_resolve_inputs,
+        "gbt_train_score": q_gbt_train_score,
+        "gbt_search": q_gbt_search,
+        "gbt_refit": q_gbt_refit,
+        "gain_importance": q_gain_importance,
+        "driver_summary": q_driver_summary,
+        "metric_record": q_metric_record,
     }
 
 
@@ -459,4 +599,7 @@ def oracle_sql() -> dict[str, str]:
         "score_matrix": SQL_SCORE_MATRIX,
         "roc_auc": SQL_ROC_AUC,
         "topk_precision_recall": SQL_TOPK,
+        "csv_roundtrip": SQL_CSV_ROUNDTRIP,
+        "nanos_timestamps": SQL_ASOF_FILTER,
+        "resolve_inputs": SQL_POPULATION,
     }

@@ -175,3 +175,63 @@ SELECT c_custkey AS ACCOUNT_ID FROM customer WHERE c_custkey % 5 = 0""",
 def fixture_ctes() -> str:
     """``WITH`` body defining the five wallet tables (no leading WITH, no trailing comma)."""
     return ",\n".join(f"{name} AS ({sql}\n)" for name, sql in FIXTURE_SQL.items())
+
+
+# --------------------------------------------------------------------------------------
+# On-disk layouts of the fixture tables, for the resolution / reading / pipeline checks.
+# --------------------------------------------------------------------------------------
+
+def write_fixture_layout(spark: SparkSession, sf_dir: str, root: str) -> str:
+    """Write the five fixture tables under ``root`` the way a wallet export is laid out:
+    Parquet folders for the facts, a Parquet kyc table, header CSVs for labels and test ids.
+    Raw column names follow the default column map (balances use ``DATE``)."""
+    raw = fixture_inputs(spark, sf_dir)
+    raw.transactions.write.mode("overwrite").parquet(f"{root}/trx")
+    raw.balances.withColumnRenamed("BAL_DATE", "DATE").write.mode("overwrite").parquet(f"{root}/DayEndBalance")
+    raw.kyc.write.mode("overwrite").parquet(f"{root}/kyc.parquet")
+    raw.labels.write.mode("overwrite").option("header", "true").csv(f"{root}/train_labels.csv")
+    raw.test_ids.write.mode("overwrite").option("header", "true").csv(f"{root}/test.csv")
+    return root
+
+
+def write_nanos_copy(df: DataFrame, path: str) -> int:
+    """Write ``df`` as Parquet with TIMESTAMP(NANOS) columns (what some exporters produce).
+
+    Spark itself writes microseconds, so each task converts its own batches with Arrow and
+    writes one file per partition; returns the number of rows written.
+    """
+    import uuid
+
+    out_schema = "rows long"
+    run = uuid.uuid4().hex[:8]
+
+    def write(batches):
+        import pyarrow as pa
+        import pyarrow.fs as pafs
+        import pyarrow.parquet as pq
+        from pyspark import TaskContext
+
+        fs, base = pafs.FileSystem.from_uri(path)
+        fs.create_dir(base, recursive=True)
+        pid = TaskContext.get().partitionId()
+        writer, n = None, 0
+        try:
+            for pdf in batches:
+                table = pa.Table.from_pandas(pdf, preserve_index=False)
+                fields = [
+                    pa.field(f.name, pa.timestamp("ns", tz=f.type.tz)) if pa.types.is_timestamp(f.type) else f
+                    for f in table.schema
+                ]
+                table = table.cast(pa.schema(fields))
+                if writer is None:
+                    writer = pq.ParquetWriter(f"{base}/part-{pid:05d}-{run}.parquet", table.schema, filesystem=fs)
+                writer.write_table(table)
+                n += table.num_rows
+        finally:
+            if writer is not None:
+                writer.close()
+        import pandas as pd
+
+        yield pd.DataFrame({"rows": [n]})
+
+    return int(df.mapInPandas(write, out_schema).groupBy().sum("rows").first()[0] or 0)
