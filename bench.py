@@ -11,8 +11,8 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
+import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -40,11 +40,11 @@ def main() -> None:
     from ledgerscope.plans import catalog
     from ledgerscope.plans.feature_job import build_features
     from ledgerscope.plans.model_job import labelled_matrix
-    from ledgerscope.session import local_session
+    from ledgerscope.session import local_session, shared_dir
     from ledgerscope.sources.sinks import read_feature_store, write_feature_store
 
     spark = local_session(cores=CPUS, shuffle_partitions=int(CPUS) * 2, app="ledgerscope-bench")
-    scratch = tempfile.mkdtemp(prefix="ledgerscope-bench-", dir="/tmp")
+    scratch = shared_dir(spark, f"bench-{uuid.uuid4().hex[:8]}")
     cutoff = catalog.CUTOFF
 
     # warm-up on the smallest tables (JIT, class loading); not timed

@@ -45,6 +45,10 @@ def incoming_view(trx: DataFrame) -> DataFrame:
 class Population:
     """The scored population plus the decision how fact rows are restricted to it.
 
+    The keys are checkpointed once (into the session's ``spark.checkpoint.dir``): every
+    later join reads that small file set instead of re-deriving the population from labels,
+    test ids and kyc, and an executor loss does not re-run that derivation.
+
     ``rows`` is an exact count taken once on the driver. Below ``broadcast_max_rows`` the
     keys are broadcast into the fact scans (a map-side semi-join, no fact shuffle). Above
     it nothing is broadcast: fact rows are aggregated first (with map-side partial
@@ -59,7 +63,11 @@ class Population:
 
     @classmethod
     def of(cls, ids: DataFrame, broadcast_max_rows: int = 2_000_000) -> "Population":
-        return cls(ids=ids, rows=ids.count(), broadcast_max_rows=broadcast_max_rows)
+        from ..session import ensure_checkpoint_dir
+
+        ensure_checkpoint_dir(ids.sparkSession)
+        frozen = ids.checkpoint(eager=True)
+        return cls(ids=frozen, rows=frozen.count(), broadcast_max_rows=broadcast_max_rows)
 
     @property
     def broadcastable(self) -> bool:
