@@ -8,6 +8,19 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
+#: settings for a cluster session (the caller builds it). Shuffle partition counts are left to
+#: AQE: it starts from ``spark.sql.shuffle.partitions`` and coalesces to the advisory size, and
+#: splits skewed join partitions.
+CLUSTER_SETTINGS: dict[str, str] = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "ledgerscope") -> SparkSession:
     """A local session for tests and the benchmark (UI off, UTC, AQE on).
 
