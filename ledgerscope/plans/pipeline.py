@@ -66,6 +66,10 @@ def run_pipeline(
     max_depth_cap: int = 8,
     summary: bool = True,
 ) -> PipelineResult:
+    from ..session import ensure_checkpoint_dir
+
+    # the run's work dir is shared storage: use it for checkpoints when the session names none
+    ensure_checkpoint_dir(spark, fallback=f"{cfg.work_dir.rstrip('/')}/checkpoints")
     found = discover(spark, cfg)
     inp = normalize_inputs(read_inputs(spark, found, labels_schema, test_schema), cfg.cutoff_date, cfg.columns)
     store = f"{cfg.work_dir.rstrip('/')}/account_features"

@@ -49,20 +49,21 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
+def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the checkpoint folder named by the session (``spark.checkpoint.dir``).
 
-    The setting is read from the session; only when it is unset (a bare local session in a
-    test) a scratch folder is chosen and registered with the SparkContext.
+    The setting is read from the session. When it is unset, ``fallback`` (a shared folder
+    such as the run's work dir) is used; only without either — a bare local session in a
+    test — a scratch folder is chosen.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current:
         return current
-    if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir() or configured
+    if configured or fallback:
+        sc.setCheckpointDir(configured or fallback)
+        return sc.getCheckpointDir() or configured or fallback
     path = tempfile.mkdtemp(prefix="ledgerscope-ckpt-", dir="/tmp")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
