@@ -6,22 +6,41 @@ with them; none runs on made-up input. Doubles are rounded to 4 digits on both s
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..config import ACCOUNT, BALANCE_AGGREGATES
+from ..config import ACCOUNT, BALANCE_AGGREGATES, ColumnMap, PipelineConfig
 from ..functions.exprs import round_doubles, window_flags
-from ..operators.population import Population, incoming_view, population_ids
+from ..model import labels as L
+from ..model.evaluate import median_substitution_summary
+from ..model.train import GBTParams, assemble, fit_with_validation, positive_probability, random_search
 from ..operators.assemble import CROSS_FEATURES, median_impute
 from ..operators.balances import balance_feature_names, balance_features
 from ..operators.dimension import kyc_features
-from ..operators.transactions import feature_names, transaction_features
-from .feature_job import build_features
-from ..sources.fixtures import FIXTURE_CUTOFF, fixture_columns, fixture_inputs
-from ..sources.normalize import Inputs, normalize_inputs
+from ..operators.population import Population, incoming_view, population_ids
+from ..operators.ranking import roc_auc, top_fraction_metrics
+from ..operators.transactions import TYPE_NAMES, derived_names, feature_names, transaction_features
+from ..session import shared_dir
+from ..sources.fixtures import (
+    FIXTURE_CUTOFF,
+    fixture_columns,
+    fixture_inputs,
+    wallet_labels,
+    wallet_trx,
+    write_fixture_layout,
+    write_nanos_copy,
+)
+from ..sources.normalize import Inputs, asof_filter, canonical_transactions, normalize_inputs
+from ..sources.readers import read_any, read_parquet
+from ..sources.sinks import read_feature_store, write_feature_store
 from . import oracle as O
+from .feature_job import build_features
+from .model_job import labelled_matrix, train_and_score, trials_frame
+from .pipeline import discover, read_inputs, run_pipeline
 
 CUTOFF = FIXTURE_CUTOFF
 
@@ -51,14 +70,10 @@ def _txn_cols(prefix: str, group: str) -> list[str]:
     elif group == "distincts":
         sel = [n for n in names if n.startswith("unique_") or n.startswith("active_days_")]
     elif group == "types":
-        from ..operators.transactions import TYPE_NAMES
-
         sel = [f"{t}_count_90d" for t in TYPE_NAMES] + [f"{t}_count_30d" for t in TYPE_NAMES]
     elif group == "gaps":
         sel = ["max_txn_gap_days", "avg_txn_gap_days"]
     elif group == "derived":
-        from ..operators.transactions import derived_names
-
         sel = derived_names()
     else:
         raise ValueError(group)
@@ -233,10 +248,6 @@ def q_feature_store_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_feature_store_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S9 + S10 + R3: write the store (stamped with cutoff and version) and read it back."""
-    from ..session import shared_dir
-    from ..sources.sinks import read_feature_store, write_feature_store
-    import uuid
-
     path = shared_dir(spark, f"feature_store_{uuid.uuid4().hex[:8]}")
     write_feature_store(build_features(fixture(spark, sf_dir), CUTOFF).features, path, CUTOFF)
     return round_doubles(read_feature_store(spark, path, CUTOFF))
@@ -263,8 +274,6 @@ SELECT ACCOUNT_ID, {sel} FROM joined"""
 
 # ----------------------------------------------------------------------------- labels, split, metrics
 
-from ..model import labels as L  # noqa: E402
-from ..operators.ranking import roc_auc, top_fraction_metrics  # noqa: E402
 
 VALID_FRAC = 0.2
 SAMPLE_FRAC = 0.5
@@ -400,25 +409,17 @@ SQL_TOPK = _with_scored(_store_with_labels_sql(
 
 # ----------------------------------------------------------------------------- sources and sinks
 
-from pyspark.sql import types as T  # noqa: E402
 
 LABELS_SCHEMA = T.StructType([T.StructField("ACCOUNT_ID", T.LongType()), T.StructField("CHURN", T.IntegerType())])
 TEST_SCHEMA = T.StructType([T.StructField("ACCOUNT_ID", T.LongType())])
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
-    import uuid
-
-    from ..session import shared_dir
-
     return shared_dir(spark, f"{name}_{uuid.uuid4().hex[:8]}")
 
 
 def q_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S2 + S4: labels written as header CSV, read back by suffix with an explicit schema."""
-    from ..sources.fixtures import wallet_labels
-    from ..sources.readers import read_any
-
     path = _scratch(spark, "labels") + "/train_labels.csv"
     wallet_labels(spark, sf_dir).write.mode("overwrite").option("header", "true").csv(path)
     return read_any(spark, [path], csv_schema=LABELS_SCHEMA)
@@ -430,10 +431,6 @@ SELECT ACCOUNT_ID, CHURN FROM wallet_labels"""
 
 def q_nanos_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transfers stored with TIMESTAMP(NANOS), read without a driver-side rewrite."""
-    from ..sources.fixtures import wallet_trx, write_nanos_copy
-    from ..sources.normalize import asof_filter, canonical_transactions
-    from ..sources.readers import read_parquet
-
     path = _scratch(spark, "trx_nanos")
     write_nanos_copy(wallet_trx(spark, sf_dir), path)
     trx = asof_filter(canonical_transactions(read_parquet(spark, [path]), fixture_columns()), "TXN_DATE", CUTOFF)
@@ -443,11 +440,6 @@ def q_nanos_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_resolve_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S1 + S3 + S4 + S5 + S8: find the five inputs in an export folder, read, normalise,
     and derive the population from what was found."""
-    from ..config import ColumnMap
-    from ..sources.fixtures import write_fixture_layout
-    from .pipeline import discover, read_inputs
-    from ..config import PipelineConfig
-
     root = write_fixture_layout(spark, sf_dir, _scratch(spark, "export"))
     found = discover(spark, PipelineConfig(data_dir=root))
     inp = normalize_inputs(read_inputs(spark, found, LABELS_SCHEMA, TEST_SCHEMA), CUTOFF, ColumnMap())
@@ -457,24 +449,18 @@ def q_resolve_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ----------------------------------------------------------------------------- model (rows-only checks)
 
 def fixture_config(**kw):
-    from ..config import PipelineConfig
-
     base = dict(cutoff_date=CUTOFF, search_trials=2, search_max_iter=5, final_max_iter=10, random_seed=SEED)
     base.update(kw)
     return PipelineConfig(**base)
 
 
 def _matrix(spark: SparkSession, sf_dir: str):
-    from .model_job import labelled_matrix
-
     inp, feats = _store(spark, sf_dir)
     return inp, feats, labelled_matrix(feats, inp.labels, inp.kyc, fixture_config())
 
 
 def q_gbt_train_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M6 + M11 + J7: one validation-stopped fit, then the test accounts' probabilities."""
-    from ..model.train import GBTParams, assemble, fit_with_validation, positive_probability
-
     inp, feats, m = _matrix(spark, sf_dir)
     model, _ = fit_with_validation(m.data, GBTParams(maxDepth=4), 10, SEED)
     to_score = assemble(L.score_matrix(feats, inp.test_ids), m.feature_cols, [ACCOUNT])
@@ -483,16 +469,11 @@ def q_gbt_train_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_gbt_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M7: seeded random search; one row per trial with its validation AUC."""
-    from ..model.train import random_search
-    from .model_job import trials_frame
-
     _, _, m = _matrix(spark, sf_dir)
     return trials_frame(spark, random_search(m.data, 2, 5, SEED, max_depth_cap=4))
 
 
 def _train(spark: SparkSession, sf_dir: str):
-    from .model_job import train_and_score
-
     inp, feats = _store(spark, sf_dir)
     return feats, train_and_score(feats, inp.labels, inp.kyc, inp.test_ids, fixture_config(), max_depth_cap=4)
 
@@ -509,9 +490,6 @@ def q_gain_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_driver_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean probability change when one feature is set to its median (top 30)."""
-    from ..model.evaluate import median_substitution_summary
-    from ..model.train import GBTParams, fit_with_validation
-
     _, feats, m = _matrix(spark, sf_dir)
     model, _ = fit_with_validation(m.data, GBTParams(maxDepth=4), 10, SEED)
     return median_substitution_summary(model, m.data, m.feature_cols, feats, SEED, max_rows=2_000)
@@ -519,9 +497,6 @@ def q_driver_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_metric_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M14 + S9-S14 end to end: export folder -> pipeline -> metrics read back from its sink."""
-    from ..sources.fixtures import write_fixture_layout
-    from .pipeline import run_pipeline
-
     root = _scratch(spark, "run")
     write_fixture_layout(spark, sf_dir, f"{root}/data")
     cfg = fixture_config(data_dir=f"{root}/data", work_dir=f"{root}/work", output_dir=f"{root}/out")
