@@ -18,6 +18,9 @@ CLUSTER_SETTINGS: dict[str, str] = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.session.timeZone": "UTC",
+    # the median features are quantile digests (ObjectHashAggregate); keep more accounts per
+    # task in the hash map before falling back to a sort of the input (a few KB per account)
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
 }
 
 
@@ -35,6 +38,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "4096")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("LEDGERSCOPE_DRIVER_MEMORY", "8g"))
