@@ -1,9 +1,15 @@
 """Benchmark: headline jobs on the driver's test tables; prints ONE JSON line.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
-The headline value is the wall time of the whole feature-store job (build + Parquet write);
-the other entries time the operator groups and the model stage separately. The reference
-publishes no timings, so these numbers are ours only.
+
+Setup (not timed): the wallet tables are derived by Spark from the test tables and written
+as an export folder (Parquet facts and kyc, CSV labels / test ids), the input shape the
+pipeline reads in production. Every step runs once on the sf0.001 export first (JVM warm-up
+and compilation of the generated code of the same plan shapes, which a long-running cluster
+pays once), then is timed on the BENCH_SF_DIR export. The headline value is the wall time of
+the whole feature-store job (path A): input resolution, reading, canonical mapping and
+cutoff, population, both transaction directions, balances, kyc, assembly and the stamped
+Parquet write. The reference publishes no timings, so these numbers are ours only.
 """
 
 from __future__ import annotations
@@ -18,6 +24,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
+WARM_DIR = "/root/testdata/sf0.001"
 
 
 def _sf(path: str) -> float | str:
@@ -38,58 +45,69 @@ def main() -> None:
     from ledgerscope.operators.ranking import roc_auc, top_fraction_metrics
     from ledgerscope.operators.transactions import transaction_features
     from ledgerscope.plans import catalog
-    from ledgerscope.plans.feature_job import build_features
     from ledgerscope.plans.model_job import labelled_matrix
+    from ledgerscope.plans.pipeline import build_feature_store, discover, read_inputs
     from ledgerscope.session import local_session, shared_dir
-    from ledgerscope.sources.sinks import read_feature_store, write_feature_store
+    from ledgerscope.sources.fixtures import write_fixture_layout
+    from ledgerscope.sources.normalize import normalize_inputs
 
     spark = local_session(cores=CPUS, shuffle_partitions=int(CPUS) * 2, app="ledgerscope-bench")
-    scratch = shared_dir(spark, f"bench-{uuid.uuid4().hex[:8]}")
     cutoff = catalog.CUTOFF
 
-    # warm-up on the smallest tables (JIT, class loading); not timed
-    warm = build_features(catalog.fixture(spark, "/root/testdata/sf0.001"), cutoff).features
-    warm.write.format("noop").mode("overwrite").save()
+    def noop(df):
+        df.write.format("noop").mode("overwrite").save()
 
-    times: dict[str, float] = {}
+    def steps(sf_dir: str) -> dict:
+        export = write_fixture_layout(spark, sf_dir, shared_dir(spark, f"bench-export-{uuid.uuid4().hex[:8]}"))
+        cfg = catalog.fixture_config(data_dir=export, work_dir=shared_dir(spark, f"bench-work-{uuid.uuid4().hex[:8]}"))
+        raw = read_inputs(spark, discover(spark, cfg), catalog.LABELS_SCHEMA, catalog.TEST_SCHEMA)
+        inp = normalize_inputs(raw, cutoff, cfg.columns)
+        state: dict = {}
+
+        def population():
+            state["pop"] = catalog.fixture_population(spark, inp)
+
+        def transactions():
+            noop(transaction_features(inp.transactions, cutoff, state["pop"]))
+
+        def balances():
+            noop(balance_features(inp.balances, cutoff, state["pop"]))
+
+        def feature_store_job():
+            _, state["feats"], _ = build_feature_store(spark, cfg, catalog.LABELS_SCHEMA, catalog.TEST_SCHEMA)
+
+        def auc_topk():
+            m = L.train_matrix(state["feats"], L.prepare_labels(inp.labels, inp.kyc))
+            scored = m.select(ACCOUNT, "CHURN", F.col("out_days_since_last_transaction").cast("double").alias("score"))
+            roc_auc(scored).first()
+            top_fraction_metrics(scored, 0.10).first()
+
+        def gbt_fit_score():
+            feats = state["feats"]
+            mx = labelled_matrix(feats, inp.labels, inp.kyc, catalog.fixture_config())
+            fitted, _ = fit_with_validation(mx.data, GBTParams(maxDepth=5), 20, 42)
+            to_score = assemble(L.score_matrix(feats, inp.test_ids), mx.feature_cols, [ACCOUNT])
+            noop(positive_probability(fitted, to_score, "CHURN_PROB"))
+            mx.data.unpersist()
+
+        return {
+            "population": population,
+            "transaction_features": transactions,
+            "balance_features": balances,
+            "feature_store_job": feature_store_job,
+            "auc_topk": auc_topk,
+            "gbt_fit_score": gbt_fit_score,
+        }
+
+    for fn in steps(WARM_DIR).values():
+        fn()
 
-    def timed(name, fn):
+    times: dict[str, float] = {}
+    for name, fn in steps(SF_DIR).items():
         t = time.perf_counter()
         fn()
         times[name] = round(time.perf_counter() - t, 3)
 
-    inp = catalog.fixture(spark, SF_DIR)
-    pop = catalog.fixture_population(spark, inp)
-
-    def noop(df):
-        df.write.format("noop").mode("overwrite").save()
-
-    timed("population", lambda: pop.ids.count())
-    timed("transaction_features", lambda: noop(transaction_features(inp.transactions, cutoff, pop)))
-    timed("balance_features", lambda: noop(balance_features(inp.balances, cutoff, pop)))
-    store = f"{scratch}/account_features"
-    timed(
-        "feature_store_job",
-        lambda: write_feature_store(build_features(catalog.fixture(spark, SF_DIR), cutoff).features, store, cutoff),
-    )
-    feats = read_feature_store(spark, store, cutoff)
-
-    def metrics():
-        m = L.train_matrix(feats, L.prepare_labels(inp.labels, inp.kyc))
-        scored = m.select(ACCOUNT, "CHURN", F.col("out_days_since_last_transaction").cast("double").alias("score"))
-        roc_auc(scored).first()
-        top_fraction_metrics(scored, 0.10).first()
-
-    timed("auc_topk", metrics)
-
-    def model():
-        mx = labelled_matrix(feats, inp.labels, inp.kyc, catalog.fixture_config())
-        fitted, _ = fit_with_validation(mx.data, GBTParams(maxDepth=5), 20, 42)
-        to_score = assemble(L.score_matrix(feats, inp.test_ids), mx.feature_cols, [ACCOUNT])
-        noop(positive_probability(fitted, to_score, "CHURN_PROB"))
-        mx.data.unpersist()
-
-    timed("gbt_fit_score", model)
     print(
         json.dumps(
             {

@@ -16,7 +16,7 @@ from ..config import PipelineConfig
 from ..model.evaluate import median_substitution_summary
 from ..sources import sinks
 from ..sources.fixtures import RawInputs
-from ..sources.normalize import InputError, normalize_inputs
+from ..sources.normalize import InputError, Inputs, normalize_inputs
 from ..sources.readers import read_any, resolve_inputs
 from .feature_job import build_features
 from .model_job import ModelRun, train_and_score, trials_frame
@@ -58,14 +58,17 @@ def read_inputs(
     )
 
 
-def run_pipeline(
+def build_feature_store(
     spark: SparkSession,
     cfg: PipelineConfig,
     labels_schema: T.StructType | None = None,
     test_schema: T.StructType | None = None,
-    max_depth_cap: int = 8,
-    summary: bool = True,
-) -> PipelineResult:
+) -> tuple[Inputs, DataFrame, str]:
+    """Path A: resolve, read, normalise, build and write the stamped store (or reuse it).
+
+    Returns the canonical inputs, the store read back (its lineage is a Parquet scan, not the
+    whole job) and the store's path.
+    """
     from ..session import ensure_checkpoint_dir
 
     # the run's work dir is shared storage: use it for checkpoints when the session names none
@@ -76,8 +79,18 @@ def run_pipeline(
     if not (cfg.reuse_feature_store and sinks.feature_store_exists(spark, store)):
         built = build_features(inp, cfg.cutoff_date, cfg.broadcast_max_rows).features
         sinks.write_feature_store(built, store, cfg.cutoff_date)
-    # the model stage reads the written table: its lineage is a Parquet scan, not the whole job
-    features = sinks.read_feature_store(spark, store, cfg.cutoff_date)
+    return inp, sinks.read_feature_store(spark, store, cfg.cutoff_date), store
+
+
+def run_pipeline(
+    spark: SparkSession,
+    cfg: PipelineConfig,
+    labels_schema: T.StructType | None = None,
+    test_schema: T.StructType | None = None,
+    max_depth_cap: int = 8,
+    summary: bool = True,
+) -> PipelineResult:
+    inp, features, store = build_feature_store(spark, cfg, labels_schema, test_schema)
 
     run = train_and_score(features, inp.labels, inp.kyc, inp.test_ids, cfg, max_depth_cap)
     out = cfg.output_dir.rstrip("/")

@@ -27,7 +27,10 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def wallet_trx(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transfers: sender = order customer, receiver = part key, type from the order priority."""
     li = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_shipdate", "l_extendedprice")
-    o = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    # a shuffle join, as it would be at the scale these tables stand for (orders is not
+    # broadcastable there); on small test files it also spreads the rows over the shuffle
+    # partitions instead of leaving all downstream work in the one task of a single row group
+    o = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority").hint("merge")
     trx_type = (
         F.when(F.col("o_orderpriority") == "1-URGENT", "P2P")
         .when(F.col("o_orderpriority") == "2-HIGH", "BillPay")
