@@ -9,30 +9,23 @@ number of days, and the aggregate has a map-side partial step.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import ACCOUNT, BALANCE_AGGREGATES, BALANCE_RATIOS, BALANCE_RATIOS_TAIL
-from ..functions.exprs import days_before, in_window, safe_ratio, safe_ratio_abs
+from ..functions.exprs import days_before, window_sql
 from .population import Population
 
 
-def _aggregate(fn: str, cond: Column) -> Column:
-    bal = F.col("BALANCE")
-    if fn == "avg":
-        return F.avg(F.when(cond, bal))
-    if fn == "min":
-        return F.min(F.when(cond, bal))
-    if fn == "max":
-        return F.max(F.when(cond, bal))
-    if fn == "stddev":
-        return F.stddev(F.when(cond, bal))
+def _aggregate(fn: str, cond: str) -> str:
+    if fn in ("avg", "min", "max", "stddev"):
+        return f"{fn}(CASE WHEN {cond} THEN BALANCE END)"
     if fn == "count":
-        return F.sum(F.when(cond, 1).otherwise(0)).cast("long")
+        return f"CAST(sum(CASE WHEN {cond} THEN 1 ELSE 0 END) AS BIGINT)"
     if fn == "count_nonpositive":
-        return F.sum(F.when(cond & (bal <= 0), 1).otherwise(0)).cast("long")
+        return f"CAST(sum(CASE WHEN {cond} AND BALANCE <= 0 THEN 1 ELSE 0 END) AS BIGINT)"
     if fn == "median":
-        return F.percentile_approx(F.when(cond, bal), 0.5)
+        return f"percentile_approx(CASE WHEN {cond} THEN BALANCE END, 0.5)"
     raise ValueError(fn)
 
 
@@ -42,24 +35,22 @@ def balance_feature_names() -> list[str]:
     return names
 
 
-def _ratio(name: str, num: str, den: str, absolute: bool) -> Column:
-    a, b = F.col(num), F.col(den)
-    return (safe_ratio_abs(a, b) if absolute else safe_ratio(a, b)).alias(name)
+def _ratio(name: str, num: str, den: str, absolute: bool) -> str:
+    return f"{num} / greatest(abs({den}), 1.0D) AS {name}" if absolute else f"{num} / greatest({den}, 1) AS {name}"
 
 
 def balance_features(bal: DataFrame, cutoff_date: str, population: Population | None = None) -> DataFrame:
     """ACCOUNT_ID + 34 balance features."""
     b = population.restrict_rows(bal) if population is not None else bal
     b = b.select(ACCOUNT, "BAL_DATE", "BALANCE", days_before("BAL_DATE", cutoff_date).alias("d"))
-    d = F.col("d")
-    order_key = F.struct("BAL_DATE", "BALANCE")
-    agg = b.groupBy(ACCOUNT).agg(
-        *[_aggregate(fn, in_window(d, lo, hi)).alias(name) for name, fn, lo, hi in BALANCE_AGGREGATES],
-        F.max_by("BALANCE", order_key).alias("last_balance"),
-        F.min_by("BALANCE", order_key).alias("first_balance_90d"),
-    )
+    aggs = [f"{_aggregate(fn, window_sql(lo, hi))} AS {name}" for name, fn, lo, hi in BALANCE_AGGREGATES]
+    aggs += [
+        "max_by(BALANCE, struct(BAL_DATE, BALANCE)) AS last_balance",
+        "min_by(BALANCE, struct(BAL_DATE, BALANCE)) AS first_balance_90d",
+    ]
+    agg = b.groupBy(ACCOUNT).agg(*[F.expr(e) for e in aggs])
     derived = [_ratio(*r) for r in BALANCE_RATIOS]
-    derived.append((F.col("avg_balance_90d") - F.col("avg_balance_30d")).alias("balance_drop_30d"))
+    derived.append("avg_balance_90d - avg_balance_30d AS balance_drop_30d")
     derived += [_ratio(*r) for r in BALANCE_RATIOS_TAIL]
-    out = agg.select("*", *derived).select(ACCOUNT, *balance_feature_names())
+    out = agg.selectExpr("*", *derived).select(ACCOUNT, *balance_feature_names())
     return population.restrict_accounts(out) if population is not None else out
