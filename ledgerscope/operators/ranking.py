@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark import StorageLevel
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -58,7 +59,11 @@ def exclusive_prefix(df: DataFrame, order_col: str, sum_cols: list[str], n_rows:
 
 
 def roc_auc(scored: DataFrame, label_col: str = "CHURN", score_col: str = "score") -> DataFrame:
-    """Exact ROC-AUC, ties counted one half (Mann-Whitney); one row: auc, positives, negatives."""
+    """Exact ROC-AUC, ties counted one half (Mann-Whitney); one row: auc, positives, negatives.
+
+    The per-score table (one row per distinct score) is read by the few small jobs below, so
+    it is kept for their duration instead of re-deriving it from the scored rows each time.
+    """
     per_score = (
         scored.filter(F.col(score_col).isNotNull())
         .groupBy(F.col(score_col).cast("double").alias("s"))
@@ -66,18 +71,20 @@ def roc_auc(scored: DataFrame, label_col: str = "CHURN", score_col: str = "score
             F.sum(F.when(F.col(label_col) == 1, 1).otherwise(0)).cast("long").alias("pos"),
             F.sum(F.when(F.col(label_col) == 1, 0).otherwise(1)).cast("long").alias("neg"),
         )
+        .persist(StorageLevel.MEMORY_AND_DISK)
     )
-    ranked = exclusive_prefix(per_score, "s", ["neg"])
-    agg = ranked.agg(
-        F.sum(F.col("pos") * (F.col("below_neg") + F.col("neg") * 0.5)).alias("num"),
-        F.sum("pos").alias("positives"),
-        F.sum("neg").alias("negatives"),
-    )
-    return agg.select(
-        (F.col("num") / (F.col("positives") * F.col("negatives"))).alias("auc"),
-        F.col("positives").cast("long").alias("positives"),
-        F.col("negatives").cast("long").alias("negatives"),
-    )
+    try:
+        ranked = exclusive_prefix(per_score, "s", ["neg"])
+        row = ranked.agg(
+            F.sum(F.col("pos") * (F.col("below_neg") + F.col("neg") * 0.5)).alias("num"),
+            F.sum("pos").alias("positives"),
+            F.sum("neg").alias("negatives"),
+        ).first()
+    finally:
+        per_score.unpersist()
+    pos, neg = int(row["positives"] or 0), int(row["negatives"] or 0)
+    auc = float(row["num"]) / (pos * neg) if pos and neg else None
+    return scored.sparkSession.createDataFrame([(auc, pos, neg)], "auc double, positives long, negatives long")
 
 
 def top_fraction_metrics(
@@ -92,7 +99,10 @@ def top_fraction_metrics(
         F.col(key_col).alias("k"), F.col(score_col).cast("double").alias("s"),
         F.when(F.col(label_col) == 1, 1).otherwise(0).alias("y"),
     )
-    per_score = rows.groupBy("s").agg(F.count(F.lit(1)).alias("cnt"), F.sum("y").cast("long").alias("pos"))
+    per_score = (
+        rows.groupBy("s").agg(F.count(F.lit(1)).alias("cnt"), F.sum("y").cast("long").alias("pos"))
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    )
     # ascending prefix over the negated score == rows strictly above each score
     above = exclusive_prefix(per_score.withColumn("neg_s", -F.col("s")), "neg_s", ["cnt"])
     tot = per_score.agg(F.sum("cnt").alias("n"), F.sum("pos").alias("p")).first()
@@ -112,6 +122,7 @@ def top_fraction_metrics(
             ties = ties.withColumn("o", F.col("k") if numeric_key else F.xxhash64("k"))
             in_ties = exclusive_prefix(ties, "o", ["c"])
             tp += int(in_ties.filter(F.col("below_c") < m).agg(F.coalesce(F.sum("y"), F.lit(0))).first()[0])
+    per_score.unpersist()
     precision = tp / n_top if n_top else 0.0
     recall = tp / p_all if p_all else 0.0
     return spark.createDataFrame(

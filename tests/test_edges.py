@@ -122,3 +122,19 @@ def test_duplicated_kyc_row_gives_one_feature_row(spark):
     rows = kyc_features(kyc, CUT, pop(spark, [1])).collect()
     assert len(rows) == 1
     assert rows[0]["account_age_days"] == (dt.date(2024, 4, 1) - dt.date(2019, 1, 1)).days
+
+
+def test_kyc_without_optional_columns(spark):
+    from ledgerscope.model import labels as L
+    from ledgerscope.operators.population import population_ids
+
+    kyc = spark.createDataFrame([(1,), (2,), (2,)], "ACCOUNT_ID long")
+    labels = spark.createDataFrame([(1, 0), (3, 1)], "ACCOUNT_ID long, CHURN int")
+    tests = spark.createDataFrame([(2,)], "ACCOUNT_ID long")
+    ids = population_ids(labels, tests, kyc)
+    assert sorted(r[0] for r in ids.collect()) == [1, 2]  # no type column: every kyc account is a customer
+    feats = kyc_features(kyc, CUT, Population.of(ids))
+    assert feats.columns == ["ACCOUNT_ID"] and feats.count() == 2
+    prepared = L.prepare_labels(labels, kyc)
+    with pytest.raises(L.NoSplitColumn):
+        L.split_column(prepared)
