@@ -51,7 +51,7 @@ def main() -> None:
     from ledgerscope.sources.fixtures import write_fixture_layout
     from ledgerscope.sources.normalize import normalize_inputs
 
-    spark = local_session(cores=CPUS, shuffle_partitions=int(CPUS) * 2, app="ledgerscope-bench")
+    spark = local_session(cores=CPUS, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", int(CPUS) * 2)), app="ledgerscope-bench")
     cutoff = catalog.CUTOFF
 
     def noop(df):
@@ -85,7 +85,7 @@ def main() -> None:
         def gbt_fit_score():
             feats = state["feats"]
             mx = labelled_matrix(feats, inp.labels, inp.kyc, catalog.fixture_config())
-            fitted, _ = fit_with_validation(mx.data, GBTParams(maxDepth=5), 20, 42)
+            fitted, _ = fit_with_validation(mx.fit, GBTParams(maxDepth=5), 20, 42)
             to_score = assemble(L.score_matrix(feats, inp.test_ids), mx.feature_cols, [ACCOUNT])
             noop(positive_probability(fitted, to_score, "CHURN_PROB"))
             mx.data.unpersist()

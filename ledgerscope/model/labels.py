@@ -70,15 +70,20 @@ def sample_key(seed: int) -> F.Column:
     return F.substring(F.md5(F.concat(F.col(ACCOUNT).cast("string"), F.lit(f"|{seed}"))), 1, 8)
 
 
+def sample_flag(frac: float, seed: int) -> F.Column:
+    """True for every validation row and for a hash-chosen ``frac`` of the train rows."""
+    if frac >= 1.0:
+        return F.lit(True)
+    return F.col("is_valid") | (sample_key(seed) < F.lit(sample_bound(frac)))
+
+
 def train_sample(df: DataFrame, frac: float, seed: int) -> DataFrame:
     """M4: keep every validation row and a hash-chosen ``frac`` of the train rows.
 
     The hash of (key, seed) is stable under re-partitioning and recomputation, unlike
     ``sample``; the kept share is ``frac`` in expectation.
     """
-    if frac >= 1.0:
-        return df
-    return df.filter(F.col("is_valid") | (sample_key(seed) < F.lit(sample_bound(frac))))
+    return df if frac >= 1.0 else df.filter(sample_flag(frac, seed))
 
 
 def class_counts(df: DataFrame) -> DataFrame:

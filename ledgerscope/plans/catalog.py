@@ -462,7 +462,7 @@ def _matrix(spark: SparkSession, sf_dir: str):
 def q_gbt_train_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M6 + M11 + J7: one validation-stopped fit, then the test accounts' probabilities."""
     inp, feats, m = _matrix(spark, sf_dir)
-    model, _ = fit_with_validation(m.data, GBTParams(maxDepth=4), 10, SEED)
+    model, _ = fit_with_validation(m.fit, GBTParams(maxDepth=4), 10, SEED)
     to_score = assemble(L.score_matrix(feats, inp.test_ids), m.feature_cols, [ACCOUNT])
     return positive_probability(model, to_score, "CHURN_PROB").select(ACCOUNT, "CHURN_PROB")
 
@@ -470,7 +470,7 @@ def q_gbt_train_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_gbt_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M7: seeded random search; one row per trial with its validation AUC."""
     _, _, m = _matrix(spark, sf_dir)
-    return trials_frame(spark, random_search(m.data, 2, 5, SEED, max_depth_cap=4))
+    return trials_frame(spark, random_search(m.fit, 2, 5, SEED, max_depth_cap=4))
 
 
 def _train(spark: SparkSession, sf_dir: str):
@@ -491,7 +491,7 @@ def q_gain_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_driver_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean probability change when one feature is set to its median (top 30)."""
     _, feats, m = _matrix(spark, sf_dir)
-    model, _ = fit_with_validation(m.data, GBTParams(maxDepth=4), 10, SEED)
+    model, _ = fit_with_validation(m.fit, GBTParams(maxDepth=4), 10, SEED)
     return median_substitution_summary(model, m.data, m.feature_cols, feats, SEED, max_rows=2_000)
 
 

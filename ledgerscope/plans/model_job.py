@@ -18,16 +18,21 @@ from ..model.evaluate import gain_importance, metric_record
 from ..model.train import Trial, assemble, best_trial, cached, fit_with_validation, positive_probability, random_search, refit
 from ..operators.ranking import top_fraction_metrics
 
-KEEP = [ACCOUNT, "CHURN", "is_valid", "weight"]
+KEEP = [ACCOUNT, "CHURN", "is_valid", "in_sample", "weight"]
 
 
 @dataclass
 class Matrix:
-    data: DataFrame  # ACCOUNT_ID, CHURN, is_valid, weight, features (cached)
+    data: DataFrame  # every labelled row: ACCOUNT_ID, CHURN, is_valid, in_sample, weight, features (cached)
     feature_cols: list[str]
     scale_pos_weight: float
     rows: int
 
+    @property
+    def fit(self) -> DataFrame:
+        """The rows the search and the validated fit use: validation + sampled train rows."""
+        return self.data.filter(F.col("in_sample"))
+
 
 @dataclass
 class ModelRun:
@@ -44,8 +49,8 @@ class ModelRun:
 def labelled_matrix(features: DataFrame, labels: DataFrame, kyc: DataFrame, cfg: PipelineConfig) -> Matrix:
     lab = L.prepare_labels(labels, kyc)
     tm = L.time_split(L.train_matrix(features, lab), cfg.valid_frac)
-    tm = L.train_sample(tm, cfg.train_sample_frac, cfg.random_seed)
-    counts = L.class_counts(tm).first()
+    tm = tm.withColumn("in_sample", L.sample_flag(cfg.train_sample_frac, cfg.random_seed))
+    counts = L.class_counts(tm.filter(F.col("in_sample"))).first()
     scale = float(counts["scale_pos_weight"])
     cols = L.feature_columns(features)
     data = cached(assemble(L.with_weights(tm, scale), cols, KEEP))
@@ -57,14 +62,14 @@ def train_and_score(
 ) -> ModelRun:
     spark = features.sparkSession
     m = labelled_matrix(features, labels, kyc, cfg)
-    trials = random_search(m.data, cfg.search_trials, cfg.search_max_iter, cfg.random_seed, max_depth_cap)
+    trials = random_search(m.fit, cfg.search_trials, cfg.search_max_iter, cfg.random_seed, max_depth_cap)
     best = best_trial(trials)
-    model, auc = fit_with_validation(m.data, best.params, cfg.final_max_iter, cfg.random_seed)
+    model, auc = fit_with_validation(m.fit, best.params, cfg.final_max_iter, cfg.random_seed)
     best_iteration = model.getNumTrees
     valid = positive_probability(model, m.data.filter(F.col("is_valid")))
     pr = top_fraction_metrics(valid, cfg.top_frac, "CHURN", "score", ACCOUNT).first()
 
-    # Weights recomputed over every labelled row, rounds = best iteration
+    # Every labelled row (sampled or not), weights recomputed over them, rounds = best iteration
     full_counts = m.data.agg(F.sum("CHURN").alias("p"), F.count(F.lit(1)).alias("n")).first()
     pos = max(1, int(full_counts["p"] or 0))
     neg = max(1, int(full_counts["n"]) - int(full_counts["p"] or 0))

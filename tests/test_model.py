@@ -54,7 +54,7 @@ def test_planted_signal_is_learned(spark, store):
     )
     cfg = PipelineConfig(cutoff_date=catalog.CUTOFF, valid_frac=0.2)
     m = labelled_matrix(feats, planted, inp.kyc, cfg)
-    model, auc = fit_with_validation(m.data, GBTParams(maxDepth=3, minInstancesPerNode=5), 10, 42)
+    model, auc = fit_with_validation(m.fit, GBTParams(maxDepth=3, minInstancesPerNode=5), 10, 42)
     assert model.getNumTrees >= 1
     assert auc > 0.8
 
@@ -78,3 +78,15 @@ def test_feature_store_stamp_refuses_other_cutoff(spark, tmp_path):
     assert read_feature_store(spark, str(tmp_path / "fs"), "2024-01-01").count() == 1
     with pytest.raises(StaleFeatureStore):
         read_feature_store(spark, str(tmp_path / "fs"), "2024-02-01")
+
+
+def test_sampling_shrinks_the_fit_rows_but_not_the_refit_rows(spark, store):
+    inp, feats = store
+    full = labelled_matrix(feats, inp.labels, inp.kyc, PipelineConfig(cutoff_date=catalog.CUTOFF, train_sample_frac=1.0))
+    half = labelled_matrix(feats, inp.labels, inp.kyc, PipelineConfig(cutoff_date=catalog.CUTOFF, train_sample_frac=0.5))
+    assert half.rows == full.rows == full.fit.count()
+    n_valid = half.data.filter(F.col("is_valid")).count()
+    assert n_valid < half.fit.count() < full.rows
+    assert half.fit.filter(F.col("is_valid")).count() == n_valid
+    full.data.unpersist()
+    half.data.unpersist()
