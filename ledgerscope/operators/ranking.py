@@ -49,7 +49,8 @@ def exclusive_prefix(df: DataFrame, order_col: str, sum_cols: list[str], n_rows:
         offsets.append((row["__b"], *[running[c] for c in sum_cols]))
         for c in sum_cols:
             running[c] += row[f"__t_{c}"] or 0
-    off = spark.createDataFrame(offsets, ["__b"] + [f"__o_{c}" for c in sum_cols])
+    schema = ", ".join(["`__b` double"] + [f"`__o_{c}` long" for c in sum_cols])
+    off = spark.createDataFrame([(float(b), *[int(v) for v in vals]) for b, *vals in offsets], schema)
     w = Window.partitionBy("__b").orderBy("__x").rowsBetween(Window.unboundedPreceding, -1)
     out = x.join(F.broadcast(off), "__b", "left").select(
         *df.columns,

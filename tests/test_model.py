@@ -90,3 +90,15 @@ def test_sampling_shrinks_the_fit_rows_but_not_the_refit_rows(spark, store):
     assert half.fit.filter(F.col("is_valid")).count() == n_valid
     full.data.unpersist()
     half.data.unpersist()
+
+
+def test_ranking_metrics_on_empty_and_tiny_inputs(spark):
+    empty = spark.createDataFrame([], "ACCOUNT_ID long, CHURN int, score double")
+    r = roc_auc(empty).first()
+    assert r["auc"] is None and r["positives"] == 0
+    t = top_fraction_metrics(empty, 0.1).first()
+    assert t["n_top"] == 1 and t["true_positives"] == 0 and t["recall"] == 0.0
+    tiny = spark.createDataFrame([(1, 1, 0.9), (2, 0, 0.9), (3, 0, 0.1)], "ACCOUNT_ID long, CHURN int, score double")
+    assert roc_auc(tiny).first()["auc"] == 0.75  # the positive ties one negative (1/2) and beats the other
+    top = top_fraction_metrics(tiny, 0.5).first()  # n_top = 2: both 0.9 rows
+    assert (top["n_top"], top["true_positives"], top["recall"]) == (2, 1, 1.0)
