@@ -26,14 +26,16 @@ ROWS_PER_BUCKET = 1_000_000
 MAX_BUCKETS = 10_000
 
 
-def exclusive_prefix(df: DataFrame, order_col: str, sum_cols: list[str], n_rows: int | None = None) -> DataFrame:
+def exclusive_prefix(
+    df: DataFrame, order_col: str, sum_cols: list[str], n_rows: int | None = None, rows_per_bucket: int = ROWS_PER_BUCKET
+) -> DataFrame:
     """Add ``below_<c>`` = sum of ``c`` over rows whose ``order_col`` is strictly smaller.
 
     ``df`` must hold one row per distinct, non-null ``order_col`` value (aggregate first).
     """
     spark = df.sparkSession
     n = df.count() if n_rows is None else n_rows
-    buckets = max(1, min(MAX_BUCKETS, math.ceil(n / ROWS_PER_BUCKET)))
+    buckets = max(1, min(MAX_BUCKETS, math.ceil(n / rows_per_bucket)))
     x = df.withColumn("__x", F.col(order_col).cast("double"))
     if buckets > 1:
         probs = [i / buckets for i in range(1, buckets)]
@@ -59,7 +61,9 @@ def exclusive_prefix(df: DataFrame, order_col: str, sum_cols: list[str], n_rows:
     return out
 
 
-def roc_auc(scored: DataFrame, label_col: str = "CHURN", score_col: str = "score") -> DataFrame:
+def roc_auc(
+    scored: DataFrame, label_col: str = "CHURN", score_col: str = "score", rows_per_bucket: int = ROWS_PER_BUCKET
+) -> DataFrame:
     """Exact ROC-AUC, ties counted one half (Mann-Whitney); one row: auc, positives, negatives.
 
     The per-score table (one row per distinct score) is read by the few small jobs below, so
@@ -75,7 +79,7 @@ def roc_auc(scored: DataFrame, label_col: str = "CHURN", score_col: str = "score
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
     try:
-        ranked = exclusive_prefix(per_score, "s", ["neg"])
+        ranked = exclusive_prefix(per_score, "s", ["neg"], rows_per_bucket=rows_per_bucket)
         row = ranked.agg(
             F.sum(F.col("pos") * (F.col("below_neg") + F.col("neg") * 0.5)).alias("num"),
             F.sum("pos").alias("positives"),
@@ -89,7 +93,12 @@ def roc_auc(scored: DataFrame, label_col: str = "CHURN", score_col: str = "score
 
 
 def top_fraction_metrics(
-    scored: DataFrame, k_frac: float = 0.10, label_col: str = "CHURN", score_col: str = "score", key_col: str = "ACCOUNT_ID"
+    scored: DataFrame,
+    k_frac: float = 0.10,
+    label_col: str = "CHURN",
+    score_col: str = "score",
+    key_col: str = "ACCOUNT_ID",
+    rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """Precision and recall among the ceil(k*n) (at least 1) highest scores; ties by smaller key.
 
@@ -105,7 +114,7 @@ def top_fraction_metrics(
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
     # ascending prefix over the negated score == rows strictly above each score
-    above = exclusive_prefix(per_score.withColumn("neg_s", -F.col("s")), "neg_s", ["cnt"])
+    above = exclusive_prefix(per_score.withColumn("neg_s", -F.col("s")), "neg_s", ["cnt"], rows_per_bucket=rows_per_bucket)
     tot = per_score.agg(F.sum("cnt").alias("n"), F.sum("pos").alias("p")).first()
     n_all, p_all = int(tot["n"] or 0), int(tot["p"] or 0)
     n_top = max(1, int(math.ceil(n_all * k_frac)))
@@ -121,7 +130,7 @@ def top_fraction_metrics(
             numeric_key = dict(ties.dtypes)["k"] in ("int", "bigint", "smallint", "tinyint", "double", "float")
             # numeric keys tie-break in key order; other keys in the (deterministic) order of their hash
             ties = ties.withColumn("o", F.col("k") if numeric_key else F.xxhash64("k"))
-            in_ties = exclusive_prefix(ties, "o", ["c"])
+            in_ties = exclusive_prefix(ties, "o", ["c"], rows_per_bucket=rows_per_bucket)
             tp += int(in_ties.filter(F.col("below_c") < m).agg(F.coalesce(F.sum("y"), F.lit(0))).first()[0])
     per_score.unpersist()
     precision = tp / n_top if n_top else 0.0

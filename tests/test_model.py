@@ -102,3 +102,19 @@ def test_ranking_metrics_on_empty_and_tiny_inputs(spark):
     assert roc_auc(tiny).first()["auc"] == 0.75  # the positive ties one negative (1/2) and beats the other
     top = top_fraction_metrics(tiny, 0.5).first()  # n_top = 2: both 0.9 rows
     assert (top["n_top"], top["true_positives"], top["recall"]) == (2, 1, 1.0)
+
+
+def test_bucketed_prefix_path_gives_the_same_metrics(spark, store):
+    """Force many quantile buckets (the path taken above a million distinct scores)."""
+    inp, feats = store
+    m = L.train_matrix(feats, L.prepare_labels(inp.labels, inp.kyc))
+    continuous = m.select(ACCOUNT, "CHURN", (F.col("out_txn_sum_90d") / 1000 + F.col(ACCOUNT) / 1e7).alias("score"))
+    tied = m.select(ACCOUNT, "CHURN", F.col("out_days_since_last_transaction").cast("double").alias("score"))
+    for scored in (continuous, tied):
+        one = roc_auc(scored).first()["auc"]
+        many = roc_auc(scored, rows_per_bucket=25).first()["auc"]
+        ev = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="CHURN", numBins=0)
+        assert abs(one - many) < 1e-12 and abs(one - ev.evaluate(scored.withColumn("CHURN", F.col("CHURN").cast("double")))) < 1e-12
+        a = top_fraction_metrics(scored, 0.1).first()
+        b = top_fraction_metrics(scored, 0.1, rows_per_bucket=7).first()
+        assert a == b
