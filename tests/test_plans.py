@@ -48,3 +48,13 @@ def test_population_broadcast_only_under_the_bound(spark):
     b = transaction_features(inp.transactions, catalog.CUTOFF, large)
     ka = [c for c, t in a.dtypes if t != "double"]
     assert a.select(ka).exceptAll(b.select(ka)).count() == 0 and b.count() == a.count()
+
+
+def test_whole_table_identical_with_and_without_population_broadcast(spark):
+    from ledgerscope.functions.exprs import round_doubles
+
+    inp = catalog.fixture(spark, SMALL)
+    a = round_doubles(build_features(inp, catalog.CUTOFF).features)
+    b = round_doubles(build_features(inp, catalog.CUTOFF, broadcast_max_rows=0).features)
+    assert a.count() == b.count()
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
