@@ -44,7 +44,15 @@ def median_substitution_summary(
     """
     n = matrix.count()
     frac = min(1.0, 1.2 * max_rows / max(n, 1))
-    sample = matrix.sample(fraction=frac, seed=seed).limit(max_rows).select(ACCOUNT, "features")
+    # the limit gathers at most max_rows rows into one partition; spread them again before
+    # the (rows x features) fan-out so the re-scoring runs on every core
+    spark = matrix.sparkSession
+    sample = (
+        matrix.sample(fraction=frac, seed=seed)
+        .limit(max_rows)
+        .select(ACCOUNT, "features")
+        .repartition(max(1, spark.sparkContext.defaultParallelism))
+    )
     medians = wide.approxQuantile(feature_cols, [0.5], 0.001)  # one number per feature
     med = [float(m[0]) if m and m[0] is not None and not math.isnan(m[0]) else 0.0 for m in medians]
     base = model.transform(sample).select(ACCOUNT, vector_to_array("probability")[1].alias("p0"))
@@ -57,7 +65,7 @@ def median_substitution_summary(
         array_to_vector(F.transform("x", lambda v, i: F.when(i == F.col("j"), F.col("m")).otherwise(v))).alias("features"),
     )
     scored = model.transform(changed).select(ACCOUNT, "j", vector_to_array("probability")[1].alias("pj"))
-    names = matrix.sparkSession.createDataFrame(list(enumerate(feature_cols)), "j int, feature string")
+    names = spark.createDataFrame(list(enumerate(feature_cols)), "j int, feature string")
     per_feature = (
         scored.join(base, ACCOUNT, "inner")
         .groupBy("j")
