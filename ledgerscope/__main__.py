@@ -2,7 +2,8 @@
 
 Flags mirror ``PipelineConfig`` fields (``--data-dir``, ``--work-dir``, ``--output-dir``,
 ``--cutoff-date``, ``--valid-frac``, ``--train-sample-frac``, ``--search-trials``,
-``--random-seed``, ``--reuse-feature-store``, ...). Memory, cores and shuffle sizing come
+``--random-seed``, ``--reuse-feature-store``, ...) and the raw column names of ``ColumnMap``
+(``--src-account-col``, ``--txn-date-col``, ``--balance-amount-col``, ...). Memory, cores and shuffle sizing come
 from spark-submit / the cluster defaults, not from flags.
 """
 
@@ -14,7 +15,7 @@ from dataclasses import fields
 
 from pyspark.sql import SparkSession
 
-from .config import PipelineConfig
+from .config import ColumnMap, PipelineConfig
 from .plans.pipeline import run_pipeline
 from .session import CLUSTER_SETTINGS
 
@@ -22,6 +23,7 @@ from .session import CLUSTER_SETTINGS
 def parse(argv: list[str] | None = None) -> PipelineConfig:
     parser = argparse.ArgumentParser(prog="ledgerscope")
     defaults = PipelineConfig()
+    col_defaults = ColumnMap()
     for f in fields(PipelineConfig):
         if f.name == "columns":
             continue
@@ -31,7 +33,11 @@ def parse(argv: list[str] | None = None) -> PipelineConfig:
             parser.add_argument(flag, action="store_true")
         else:
             parser.add_argument(flag, type=type(value), default=value)
-    return PipelineConfig(**vars(parser.parse_args(argv)))
+    for f in fields(ColumnMap):  # raw column names, e.g. --src-account-col SRC_ACCOUNT
+        parser.add_argument("--" + f.name.replace("_", "-"), default=getattr(col_defaults, f.name))
+    args = vars(parser.parse_args(argv))
+    cols = ColumnMap(**{f.name: args.pop(f.name) for f in fields(ColumnMap)})
+    return PipelineConfig(columns=cols, **args)
 
 
 def main(argv: list[str] | None = None) -> None:
