@@ -74,3 +74,17 @@ def test_end_to_end_run_writes_every_output(spark, tmp_path):
     cfg.reuse_feature_store = True
     again = run_pipeline(spark, cfg, catalog.LABELS_SCHEMA, catalog.TEST_SCHEMA, max_depth_cap=4, summary=False)
     assert again.features.count() == res.features.count()
+
+
+def test_csv_labels_with_inferred_types_join_parquet_keys(spark, tmp_path):
+    from ledgerscope.operators.population import population_ids
+    from ledgerscope.sources.normalize import canonical_labels, canonical_test_ids
+
+    root = str(tmp_path)
+    spark.createDataFrame([(1, 0), (2, 1)], "ACCOUNT_ID long, CHURN int").write.option("header", True).csv(f"{root}/labels.csv")
+    spark.createDataFrame([(3,)], "ACCOUNT_ID long").write.option("header", True).csv(f"{root}/test.csv")
+    kyc = spark.createDataFrame([(1, "Customer"), (2, "Merchant"), (3, "customer")], "ACCOUNT_ID long, ACCOUNT_TYPE string")
+    labels = canonical_labels(read_any(spark, [f"{root}/labels.csv"]), ColumnMap())
+    tests = canonical_test_ids(read_any(spark, [f"{root}/test.csv"]), ColumnMap())
+    assert dict(labels.dtypes)["ACCOUNT_ID"] in ("int", "bigint")
+    assert sorted(r[0] for r in population_ids(labels, tests, kyc).collect()) == [1, 3]
