@@ -6,8 +6,9 @@ from conftest import SMALL
 from oracle_harness import compare, duck
 
 import __spark_entry__ as E
+from ledgerscope.plans import catalog
 
-ORACLES = E.oracle_sql()
+ORACLES = catalog.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -22,7 +23,8 @@ def test_query_matches_oracle(spark, con, name):
 
 
 def test_every_query_is_registered_with_a_callable():
-    q = E.queries()
+    assert set(E.oracle_sql()) <= set(E.queries())
+    q = catalog.queries()
     assert set(ORACLES) <= set(q)
     assert len(q) == 35 and len(ORACLES) == 29
 
