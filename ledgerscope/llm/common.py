@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,8 +21,12 @@ _ARROW = {
     "binary": pa.binary(),
     "array<int>": pa.list_(pa.int32()),
     "array<long>": pa.list_(pa.int64()),
+    "array<binary>": pa.list_(pa.binary()),
 }
 
+#: where this library lies; workers that were started elsewhere look for it here too
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 #: rows handed to a batch function at a time; bounds a Python worker's memory
 SLICE = 256
 
@@ -39,34 +45,43 @@ def text_bytes(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit("")).cast("binary").alias("text")
 
 
+def map_arrow(df: DataFrame, function: Callable, schema) -> DataFrame:
+    """``mapInArrow`` for a function that may refer to this library."""
+    packed, root = cloudpickle.dumps(function), ROOT
+
+    def run(batches):
+        import sys
+
+        if root not in sys.path:
+            sys.path.append(root)
+        yield from cloudpickle.loads(packed)(batches)
+
+    return df.mapInArrow(run, schema)
+
+
 def map_batches(df: DataFrame, setup: Callable[[], Callable], schema: str, rows: int = SLICE) -> DataFrame:
     """``mapInArrow`` over plain Python columns.
 
     ``setup()`` runs once per task and returns a function from the column lists of at most
     ``rows`` rows to the output column lists, which may have another length. ``schema`` is a
-    DDL string of the types above.
+    DDL string of the types above. A function ``work.finish`` yields what is left at the end.
     """
     fields = [f.strip().rsplit(" ", 1) for f in schema.split(",")]
     arrow = pa.schema([pa.field(name, _ARROW[kind]) for name, kind in fields])
 
     def run(batches):
+        def batch_of(columns):
+            arrays = [v if isinstance(v, pa.Array) else pa.array(v, type=f.type) for v, f in zip(columns, arrow, strict=True)]
+            return pa.RecordBatch.from_arrays(arrays, schema=arrow)
+
         work = setup()
         for batch in batches:
             for at in range(0, batch.num_rows, rows):
-                out = work(*(c.to_pylist() for c in batch.slice(at, rows).columns))
-                yield pa.RecordBatch.from_arrays(
-                    [v if isinstance(v, pa.Array) else pa.array(v, type=f.type) for v, f in zip(out, arrow, strict=True)],
-                    schema=arrow,
-                )
-        final = getattr(work, "finish", None)
-        if final:
-            for out in final():
-                yield pa.RecordBatch.from_arrays(
-                    [v if isinstance(v, pa.Array) else pa.array(v, type=f.type) for v, f in zip(out, arrow, strict=True)],
-                    schema=arrow,
-                )
+                yield batch_of(work(*(c.to_pylist() for c in batch.slice(at, rows).columns)))
+        for columns in getattr(work, "finish", list)():
+            yield batch_of(columns)
 
-    return df.mapInArrow(run, schema)
+    return map_arrow(df, run, schema)
 
 
 def cut(df: DataFrame) -> DataFrame:

@@ -7,15 +7,35 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerscope.llm import exact_dedup, pieces, token_counts
+from ledgerscope.llm import decontam, exact_dedup, langid, pieces, pii, simhash, token_counts, toxicity
 from ledgerscope.llm.common import table
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts.count_tokens(table(spark, sf_dir, "documents"))
     return counts.withColumn("over_limit", F.col("n_tokens") > 4096)
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.learn(docs))
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2(F.col("base_spans"), 256).alias("base_sha256"), "spans"
+    )
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -24,12 +44,24 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(pieces.round_trip(table(spark, sf_dir, "documents")))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score_texts(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
-        "op2_token_counts": op2_token_counts,
-        "op8_exact_dedup": op8_exact_dedup,
-        "op9_sentencepiece": op9_sentencepiece,
-    }
+    every = (
+        op1_simhash,
+        op2_token_counts,
+        op3_language_id,
+        op4_decontamination,
+        op7_personal_data,
+        op8_exact_dedup,
+        op9_sentencepiece,
+        op10_toxicity,
+    )
+    return {f.__name__: f for f in every}
 
 
 def oracle_sql() -> dict[str, str]:
