@@ -97,3 +97,9 @@ def keep_ids(docs: DataFrame, ids: DataFrame, how: str, doc_id: str = "doc_id")
     """
     right = ids.toDF("_llm_id")
     return docs.alias("_llm_docs").join(right, F.col(f"_llm_docs.{doc_id}").eqNullSafe(right["_llm_id"]), how)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever file system it lies."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)

@@ -18,7 +18,6 @@ import base64
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
@@ -68,18 +67,26 @@ class SubWords:
         return ids, np.diff(np.append(firsts, len(ids)))
 
 
-def word_codes(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+def word_codes(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """Distinct words of the texts, the code of every word in order, and the words in each text.
 
     Words are runs of anything but ASCII white space, A-Z lower-cased.
     """
-    words, counts = [], []
-    for t in texts:
-        own = t.lower().split()
-        words += own
-        counts.append(len(own))
-    codes, distinct = pd.factorize(np.array(words, dtype=object)) if words else (np.empty(0, dtype=np.int64), [])
-    return list(distinct), codes, np.array(counts, dtype=np.int64)
+    lowered = pa.array([t.lower() for t in texts], type=pa.binary()).cast(pa.large_string())
+    split = pc.ascii_split_whitespace(lowered)
+    flat = split.flatten()
+    coded = flat.dictionary_encode()
+    codes, words = coded.indices.to_numpy(), coded.dictionary.cast(pa.large_binary()).to_pylist()
+    counts = np.diff(split.offsets.to_numpy())
+    if b"" in words:
+        # white space at the ends leaves empty pieces
+        none = words.index(b"")
+        real = codes != none
+        counts = np.bincount(np.repeat(np.arange(len(texts)), counts)[real], minlength=len(texts))
+        codes = codes[real]
+        codes = codes - (codes > none)
+        del words[none]
+    return words, codes.astype(np.int64), counts.astype(np.int64)
 
 
 # ---------------------------------------------------------------- corpus counts
@@ -191,7 +198,8 @@ _CAUSAL = np.where(np.arange(WINDOW)[None, :] <= np.arange(WINDOW - STRIDE, WIND
 
 def hidden(w: Weights, seen: np.ndarray, pad: np.ndarray):
     """What the last places know (windows, STRIDE, WIDTH), and the steps to it."""
-    x = w["embed"][seen] + w["place"]
+    x = w["embed"][seen]
+    x += w["place"]
     y = x[:, WINDOW - STRIDE :]
     q, k, v = y @ (w["q"] * np.float32(WIDTH**-0.5)), x @ w["k"], x @ w["v"]
     s = q @ k.transpose(0, 2, 1)
@@ -200,13 +208,15 @@ def hidden(w: Weights, seen: np.ndarray, pad: np.ndarray):
         s += np.where(pad, np.float32(-1e9), np.float32(0))[:, None, :]
     np.minimum(s, 60, out=s)
     np.exp(s, out=s)
-    s /= s.sum(axis=2, keepdims=True) + np.float32(1e-30)
+    mass = s @ np.ones((WINDOW, 1), dtype=s.dtype) + np.float32(1e-30)
     a = s @ v
+    a /= mass
     h = y + a @ w["o"]
-    u = h @ w["up"] + w["up0"]
+    u = h @ w["up"]
+    u += w["up0"]
     np.maximum(u, 0, out=u)
     z = h + u @ w["down"]
-    return z, (x, y, q, k, v, s, a, h, u)
+    return z, (x, y, q, k, v, s, mass, a, h, u)
 
 
 def _softmax(logits: np.ndarray) -> np.ndarray:
@@ -216,6 +226,14 @@ def _softmax(logits: np.ndarray) -> np.ndarray:
     return logits
 
 
+def _picked(logits: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Log softmax of the wanted column of each row."""
+    np.clip(logits, -80, 80, out=logits)
+    out = logits[np.arange(len(logits)), wanted]
+    np.exp(logits, out=logits)
+    return out - np.log(logits @ np.ones(logits.shape[1], dtype=logits.dtype))
+
+
 def _by_group(groups: np.ndarray):
     """Rows of each group that occurs."""
     order = np.argsort(groups.astype(np.int8), kind="stable")
@@ -225,21 +243,22 @@ def _by_group(groups: np.ndarray):
             yield g, order[edges[g] : edges[g + 1]]
 
 
-def log_probability(w: Weights, seen: np.ndarray, pad: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+def log_probability(w: Weights, seen: np.ndarray, pad: np.ndarray, wanted: np.ndarray, at_once: int = 64) -> np.ndarray:
     """Natural log probability of the wanted output at each scored place."""
-    z = hidden(w, seen, pad)[0].reshape(-1, WIDTH)
+    z = np.concatenate([hidden(w, seen[i : i + at_once], pad[i : i + at_once])[0].reshape(-1, WIDTH) for i in range(0, len(seen), at_once)])
     groups, members = np.divmod(wanted.ravel(), MEMBERS)
-    rows = np.arange(len(z))
-    out = np.log(np.maximum(_softmax(z @ w["group"] + w["group0"])[rows, groups], 1e-30)).astype(np.float64)
+    out = np.empty(len(z))
+    for i in range(0, len(z), 2048):
+        out[i : i + 2048] = _picked(z[i : i + 2048] @ w["group"] + w["group0"], groups[i : i + 2048])
     for g, at in _by_group(groups):
-        p = _softmax(z[at] @ w["member"][g] + w["member0"][g])
-        out[at] += np.log(np.maximum(p[np.arange(len(at)), members[at]], 1e-30))
+        out[at] += _picked(z[at] @ w["member"][g] + w["member0"][g], members[at])
     return out.reshape(wanted.shape)
 
 
 def gradients(w: Weights, seen: np.ndarray, pad: np.ndarray, wanted: np.ndarray, real: np.ndarray) -> tuple[float, Weights]:
     """Mean loss over the ``real`` places and its gradient."""
-    z, (x, y, q, k, v, s, a, h, u) = hidden(w, seen, pad)
+    z, (x, y, q, k, v, s, mass, a, h, u) = hidden(w, seen, pad)
+    s = s / mass
     n, shape = max(1, int(real.sum())), z.shape
     z = z.reshape(-1, WIDTH)
     groups, members = np.divmod(wanted.ravel(), MEMBERS)
@@ -502,7 +521,7 @@ def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     )
 
 
-def _score(w: Weights, v: Vocabulary, ids: np.ndarray, lengths: np.ndarray, at_once: int = 64) -> np.ndarray:
+def _score(w: Weights, v: Vocabulary, ids: np.ndarray, lengths: np.ndarray, at_once: int = 1024) -> np.ndarray:
     """log10 probability of each text: classes by attention, ids within their class by frequency."""
     outputs = v.output[ids]
     seen, pad, wanted, real, at = windows(outputs, lengths, v.start)

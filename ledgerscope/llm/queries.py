@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerscope.llm import decontam, exact_dedup, langid, pieces, pii, simhash, token_counts, toxicity
+from ledgerscope.llm import decontam, exact_dedup, langid, line_dedup, lm, pieces, pii, simhash, token_counts, toxicity
 from ledgerscope.llm.common import table
 
 
@@ -29,6 +29,14 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_texts(table(spark, sf_dir, "documents"))
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(table(spark, sf_dir, "documents"))
+
+
 def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_personal_data(table(spark, sf_dir, "documents"))
     return found.select(
@@ -56,6 +64,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op2_token_counts,
         op3_language_id,
         op4_decontamination,
+        op5_lm_scoring,
+        op6_line_dedup,
         op7_personal_data,
         op8_exact_dedup,
         op9_sentencepiece,
