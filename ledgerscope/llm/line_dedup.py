@@ -34,13 +34,12 @@ _LAST = Decimal(1 << 63)
 
 
 def _lines(text: str) -> Column:
-    """The lines of a text that have a word, as ``(no, one, two, words)``: line number from 0, two hashes."""
+    """The lines of a text that have a word, as ``(one, two, words)``: two hashes of the line."""
     lines = F.split(F.coalesce(F.col(text), F.lit("")), "\n")
     trimmed = F.transform(lines, lambda x: F.btrim(x, F.lit(WHITE)))
     described = F.transform(
         trimmed,
-        lambda x, i: F.struct(
-            i.alias("no"),
+        lambda x: F.struct(
             F.xxhash64(x).alias("one"),
             F.xxhash64(F.lit(1), x).alias("two"),
             F.when(x == "", 0).otherwise(F.regexp_count(x, F.lit("[ \t-\r]+")) + 1).alias("words"),
@@ -79,7 +78,8 @@ def _run_name(side: str, start: Column, size: Column, rounds: int) -> Column:
 def _minimal_runs(lines: DataFrame, min_words: int) -> DataFrame:
     """``doc_id, kind, size, one, two, place, first, last``: minimal runs by start (0) and by end (1).
 
-    ``place`` orders the runs of a name; ``first`` and ``last`` are the line numbers that the run would delete.
+    ``place`` orders the runs of a name; ``first`` and ``last`` say which lines the run would delete, counted
+    among the lines that have a word.
     """
     rounds = max(0, (min_words - 1).bit_length())
     docs = _doubled(lines, rounds)
@@ -108,9 +108,9 @@ def _minimal_runs(lines: DataFrame, min_words: int) -> DataFrame:
                 size.alias("size"),
                 _run_name("one", start, size, rounds).alias("one"),
                 _run_name("two", start, size, rounds).alias("two"),
-                F.get(F.col("lines.no"), start).alias("from"),
-                F.get(F.col("lines.no"), i).alias("first"),
-                F.get(F.col("lines.no"), i + size - 1 if kind == 0 else i).alias("last"),
+                start.alias("from"),
+                i.alias("first"),
+                (i + size - 1 if kind == 0 else i).alias("last"),
                 (r["sum"] >= min_words).alias("whole"),
             )
 
@@ -126,15 +126,8 @@ def _minimal_runs(lines: DataFrame, min_words: int) -> DataFrame:
     )
 
 
-def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """``doc_id, deleted array<int>``: the numbers (from 0) of the lines to delete, where there are any.
-
-    A line is deleted if it lies in a run of lines that together have ``min_words`` words and that
-    also stands at an earlier place: in a document with a smaller id, or earlier in the same one.
-    Lines are compared without white space around them; lines without a word count for nothing, break
-    no run and are never deleted. Rows that share an id are one place, so a repeated row deletes
-    nothing by itself; null ids come last and are one place. Null and empty texts have no lines.
-    """
+def _repeated(docs: DataFrame, doc_id: str, text: str, min_words: int) -> DataFrame:
+    """``doc_id, at array<int>``: lines to delete, counted among the lines that have a word."""
     lines = docs.select(F.col(doc_id).alias("doc_id"), _lines(text).alias("lines"))
     runs = cut(_minimal_runs(lines, min_words))
     key = ["kind", "size", "one", "two"]
@@ -145,44 +138,51 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         .select(*key, "kept")
     )
     later = runs.join(kept, key).where("place > kept")
-    return (
+    return cut(
         later.select("doc_id", F.explode(F.sequence("first", "last")).alias("line"))
         .groupBy("doc_id")
-        .agg(F.array_sort(F.collect_set("line")).alias("deleted"))
+        .agg(F.array_sort(F.collect_set("line")).alias("at"))
     )
 
 
+def _with_deleted(docs: DataFrame, doc_id: str, text: str, min_words: int) -> DataFrame:
+    """``docs`` and ``_llm_lines, _llm_deleted``: all lines, and the numbers (from 0) of those to delete."""
+    gone = _repeated(docs, doc_id, text, min_words).toDF("_llm_gone", "_llm_at")
+    joined = docs.alias("_llm_docs").join(gone, F.col(f"_llm_docs.{doc_id}").eqNullSafe(gone["_llm_gone"]), "left")
+    lines = F.split(F.coalesce(F.col(f"_llm_docs.{text}"), F.lit("")), "\n")
+    worded = F.filter(F.transform(lines, lambda x, i: F.when(F.btrim(x, F.lit(WHITE)) != "", i)), lambda x: x.isNotNull())
+    deleted = F.when(gone["_llm_at"].isNull(), F.array().cast("array<int>")).otherwise(F.transform(gone["_llm_at"], lambda at: F.get(worded, at)))
+    own = [F.col(f"_llm_docs.`{c}`") for c in docs.columns]
+    return joined.select(F.struct(*own).alias("_llm_row"), lines.alias("_llm_lines"), deleted.alias("_llm_deleted"))
+
+
 def line_report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """``doc_id, n_lines, n_deleted, deleted``: one row per row; ``deleted`` lists runs of lines as first-last.
 
-    ``n_lines`` counts all lines, 1 for an empty text; runs follow each other comma-joined.
+    A line is deleted if it lies in a run of lines that together have ``min_words`` words and that
+    also stands at an earlier place: in a document with a smaller id, or earlier in the same one.
+    Lines are compared without white space around them; lines without a word count for nothing, break
+    no run and are never deleted. Rows that share an id are one place, so a repeated row deletes
+    nothing by itself; null ids come last and are one place. Null and empty texts have one line, without
+    a word. Lines are numbered from 0, runs of numbers follow each other comma-joined.
     """
-    gone = cut(repeated_lines(docs, doc_id, text, min_words))
-    found = F.col("g.deleted")
-    opens = F.filter(found, lambda x: ~F.array_contains(found, x - 1))
-    closes = F.filter(found, lambda x: ~F.array_contains(found, x + 1))
-    counted = docs.select(
-        F.col(doc_id).alias("doc_id"), F.size(F.split(F.coalesce(F.col(text), F.lit("")), "\n")).cast("long").alias("n_lines")
-    )
-    return (
-        counted.alias("d")
-        .join(gone.alias("g"), F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")), "left")
-        .select(
-            "d.doc_id",
-            "n_lines",
-            F.coalesce(F.size(found), F.lit(0)).cast("long").alias("n_deleted"),
-            F.coalesce(F.array_join(F.zip_with(opens, closes, lambda a, b: F.concat_ws("-", a.cast("string"), b.cast("string"))), ","), F.lit("")).alias("deleted"),
-        )
+    found = F.col("_llm_deleted")
+    opens = F.array_except(found, F.transform(found, lambda x: x + 1))
+    closes = F.array_except(found, F.transform(found, lambda x: x - 1))
+    runs = F.zip_with(opens, closes, lambda a, b: F.concat_ws("-", a.cast("string"), b.cast("string")))
+    return _with_deleted(docs.select(doc_id, text), doc_id, text, min_words).select(
+        F.col(f"_llm_row.{doc_id}").alias("doc_id"),
+        F.size("_llm_lines").cast("long").alias("n_lines"),
+        F.size(found).cast("long").alias("n_deleted"),
+        F.array_join(runs, ",").alias("deleted"),
     )
 
 
 def drop_repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """``docs`` with the repeated lines taken out of the texts; all rows and columns stay, in their order."""
-    gone = cut(repeated_lines(docs, doc_id, text, min_words)).toDF("_llm_id", "_llm_deleted")
-    joined = docs.alias("_llm_docs").join(gone, F.col(f"_llm_docs.{doc_id}").eqNullSafe(gone["_llm_id"]), "left")
-    kept = F.filter(
-        F.transform(F.split(F.col(f"_llm_docs.{text}"), "\n"), lambda x, i: F.when(~F.array_contains(gone["_llm_deleted"], i), x)),
-        lambda x: x.isNotNull(),
-    )
-    cleaned = F.when(gone["_llm_deleted"].isNull(), F.col(f"_llm_docs.{text}")).otherwise(F.array_join(kept, "\n"))
-    return joined.select(*[cleaned.alias(c) if c == text else F.col(f"_llm_docs.`{c}`") for c in docs.columns])
+    """``docs`` with the repeated lines (see ``line_report``) taken out of the texts; all rows and columns stay."""
+    every = F.sequence(F.lit(0), F.size("_llm_lines") - 1)
+    kept = F.transform(F.array_except(every, F.col("_llm_deleted")), lambda i: F.get(F.col("_llm_lines"), i))
+    own = F.col(f"_llm_row.{text}")
+    cleaned = F.when(F.size("_llm_deleted") == 0, own).otherwise(F.array_join(kept, "\n"))
+    rows = _with_deleted(docs, doc_id, text, min_words)
+    return rows.select(*[cleaned.alias(c) if c == text else F.col(f"_llm_row.`{c}`") for c in docs.columns])

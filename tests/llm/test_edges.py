@@ -1,0 +1,107 @@
+"""Nulls, empty and very long texts, ties, repeated rows, empty tables, clashing columns: every operator and stage."""
+
+import pytest
+from llm_cases import SMALL, no_documents, odd_documents  # noqa: F401
+
+import corpus_pipeline
+from ledgerscope.llm import decontam, exact_dedup, langid, line_dedup, lm, pieces, pii, simhash, token_counts, toxicity
+from ledgerscope.llm.common import table
+
+
+def _toxic_model():
+    return toxicity.Model({}, -2.0)
+
+
+OPERATORS = {
+    "simhash": simhash.near_duplicates,
+    "token_counts": token_counts.count_tokens,
+    "langid": lambda docs: langid.identify(docs, langid.learn(docs)),
+    "lm": lm.score_texts,
+    "line_dedup": line_dedup.line_report,
+    "pii": pii.find_personal_data,
+    "exact_dedup": exact_dedup.exact_groups,
+    "pieces": pieces.round_trip,
+    "toxicity": lambda docs: toxicity.score_texts(docs, _toxic_model()),
+}
+
+
+@pytest.mark.parametrize("name", sorted(OPERATORS))
+def test_one_row_for_every_row(name, odd_documents):
+    rows = OPERATORS[name](odd_documents).collect()
+    assert sorted(str(r["doc_id"]) for r in rows) == sorted(str(r["doc_id"]) for r in odd_documents.select("doc_id").collect())
+
+
+@pytest.mark.parametrize("name", sorted(OPERATORS))
+def test_empty_table(name, no_documents):
+    assert OPERATORS[name](no_documents).collect() == []
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
+def test_stage_on_odd_and_empty_input(name, stage, spark, odd_documents, no_documents):
+    out = stage(spark, odd_documents, SMALL)
+    rows = out.collect()
+    assert rows
+    if name != "sentencepiece":
+        assert out.columns == odd_documents.columns
+        given = {tuple(r) for r in odd_documents.collect()}
+        assert all(tuple(r) in given for r in rows)
+    assert stage(spark, no_documents, SMALL).count() == 0
+
+
+def test_exact_groups_of_odd_rows(odd_documents):
+    rows = exact_dedup.exact_groups(odd_documents).collect()
+    # the longest original text keeps the group; blank, empty and null texts are equal
+    assert {(r["group_size"], r["keep_id"]) for r in rows if r["group_size"] > 1} == {(5, 10), (4, 5)}
+    assert sorted(r["doc_id"] for r in rows if r["kept"] and r["group_size"] > 1) == [5, 10]
+
+
+def test_one_of_identical_rows_is_kept(spark):
+    rows = exact_dedup.exact_groups(spark.createDataFrame([(1, "a b"), (1, "a b"), (1, "ab")], "doc_id long, text string")).collect()
+    assert [r["kept"] for r in rows].count(True) == 1 and {r["group_size"] for r in rows} == {3}
+
+
+def test_simhash_of_odd_rows(odd_documents):
+    rows = simhash.near_duplicates(odd_documents).collect()
+    blank = [r for r in rows if r["fingerprint"] == "0" * 16]
+    assert len(blank) == 4 and {r["component_id"] for r in blank} == {3}
+
+
+def test_only_null_ids(spark):
+    rows = simhash.near_duplicates(spark.createDataFrame([(None, "a b c d e"), (None, "a b c d e")], "doc_id long, text string")).collect()
+    assert [r["component_id"] for r in rows] == [None, None]
+
+
+def test_line_report_of_odd_rows(spark):
+    run = "\n".join(f"line {i} has just these seven words" for i in range(12))
+    docs = spark.createDataFrame([(1, run), (2, "before\n" + run + "\nafter"), (None, run), (3, None), (4, ""), (5, run), (5, run)], "doc_id long, text string")
+    found = {(r["doc_id"], r["n_lines"]): r["deleted"] for r in line_dedup.line_report(docs).collect()}
+    assert found == {(1, 12): "", (2, 14): "1-12", (None, 12): "0-11", (3, 1): "", (4, 1): "", (5, 12): "0-11"}
+    texts = {r["doc_id"]: r["text"] for r in line_dedup.drop_repeated_lines(docs).collect()}
+    assert texts == {1: run, 2: "before\nafter", None: "", 3: None, 4: "", 5: ""}
+
+
+def test_leaks_of_odd_rows(spark, odd_documents, no_documents):
+    items = spark.createDataFrame([(1, None), (2, ""), (None, "the same words in the same order stand here"), (3, "too short")], "item_id long, text string")
+    found = decontam.find_leaks(odd_documents, items).collect()
+    assert sorted(str(r["doc_id"]) for r in found) == ["1", "10", "2", "2", "None"] and {r["item_id"] for r in found} == {None}
+    assert decontam.find_leaks(odd_documents, items.where("item_id = 99")).count() == 0
+    assert decontam.find_leaks(no_documents, items).count() == 0
+
+
+def test_toxicity_without_labels_or_documents(spark, odd_documents, no_documents):
+    labels = spark.createDataFrame([(None, None), (1, None), (77, 1)], "doc_id long, toxic int")
+    for docs in (odd_documents, no_documents):
+        model = toxicity.fit(docs, labels)
+        assert model.score("") < 0.5
+    assert toxicity.fit(odd_documents, labels.where("doc_id = -5")).score("any") < 0.5
+
+
+def test_langid_without_language(spark):
+    docs = spark.createDataFrame([(1, "some text", None), (2, None, "en")], "doc_id long, text string, lang string")
+    assert {r["lang_pred"] for r in langid.identify(docs, langid.learn(docs)).collect()} == {"und"}
+
+
+def test_pipeline_on_its_tables(spark, tmp_path):
+    out = corpus_pipeline.run(spark, SMALL)
+    ids = [r["doc_id"] for r in out.select("doc_id").collect()]
+    assert 0 < len(ids) < table(spark, SMALL, "documents").count() and len(set(ids)) == len(ids)
