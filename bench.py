@@ -85,7 +85,7 @@ def main() -> None:
         def gbt_fit_score():
             feats = state["feats"]
             mx = labelled_matrix(feats, inp.labels, inp.kyc, catalog.fixture_config())
-            fitted, _ = fit_with_validation(mx.fit, GBTParams(maxDepth=5), 20, 42)
+            fitted, _ = fit_with_validation(mx.fit, GBTParams(maxDepth=5, stepSize=0.4), 400, 3, 42)
             to_score = assemble(L.score_matrix(feats, inp.test_ids), mx.feature_cols, [ACCOUNT])
             noop(positive_probability(fitted, to_score, "CHURN_PROB"))
             mx.data.unpersist()

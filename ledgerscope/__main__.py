@@ -3,8 +3,8 @@
 Flags mirror ``PipelineConfig`` fields (``--data-dir``, ``--work-dir``, ``--output-dir``,
 ``--cutoff-date``, ``--valid-frac``, ``--train-sample-frac``, ``--search-trials``,
 ``--random-seed``, ``--reuse-feature-store``, ...) and the raw column names of ``ColumnMap``
-(``--src-account-col``, ``--txn-date-col``, ``--balance-amount-col``, ...). Memory, cores and shuffle sizing come
-from spark-submit / the cluster defaults, not from flags.
+(``--src-account-col``, ``--txn-date-col``, ``--balance-amount-col``, ...). Memory and cores come from
+spark-submit; ``--shuffle-partitions`` is where AQE starts from unless spark-submit sets it.
 """
 
 from __future__ import annotations
@@ -47,6 +47,8 @@ def main(argv: list[str] | None = None) -> None:
     for k, v in CLUSTER_SETTINGS.items():
         if submitted.get(k) is None:  # values given to spark-submit win
             spark.conf.set(k, v)
+    if submitted.get("spark.sql.shuffle.partitions") is None:
+        spark.conf.set("spark.sql.shuffle.partitions", str(cfg.shuffle_partitions))
     result = run_pipeline(spark, cfg)
     print(json.dumps(result.run.metrics, indent=2))
 

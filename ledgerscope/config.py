@@ -135,7 +135,7 @@ ACCOUNT = "ACCOUNT_ID"
 
 @dataclass(frozen=True)
 class ColumnMap:
-    """Raw input column names, renamed to the canonical schema on load."""
+    """Raw input column names, renamed to the canonical schema on load (defaults: fixed values of the export)."""
 
     account_col: str = "ACCOUNT_ID"
     src_account_col: str = "SRC_ACCOUNT"
@@ -155,19 +155,28 @@ class PipelineConfig:
     data_dir: str = ""
     work_dir: str = ""
     output_dir: str = ""
-    cutoff_date: str = "2024-04-01"
+    #: rows dated before this day are used; required
+    cutoff_date: str = ""
     valid_frac: float = 0.20
     train_sample_frac: float = 1.0
-    search_trials: int = 8
+    search_trials: int = 50
     random_seed: int = 42
     reuse_feature_store: bool = False
     #: the population is broadcast into the fact scans only when its counted size is below this
     broadcast_max_rows: int = 2_000_000
     #: top fraction for precision / recall
     top_frac: float = 0.10
-    #: GBT rounds (cap) for the search trials and the final fit
-    search_max_iter: int = 40
-    final_max_iter: int = 80
+    #: a fit ends when its validation loss has not improved for ``patience`` rounds; the limits are only there
+    #: to end a fit that never stops improving
+    search_max_iter: int = 5_000
+    search_patience: int = 150
+    final_max_iter: int = 8_000
+    final_patience: int = 250
+    #: range of the step sizes that the search draws from (log scale)
+    step_size_min: float = 0.005
+    step_size_max: float = 0.08
+    #: initial shuffle partitions of a cluster run; AQE coalesces from there
+    shuffle_partitions: int = 800
     columns: ColumnMap = field(default_factory=ColumnMap)
 
     def to_dict(self) -> dict:

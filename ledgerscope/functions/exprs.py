@@ -22,18 +22,12 @@ def days_before(date_col: Column | str, cutoff_date: str) -> Column:
     return F.datediff(cutoff_lit(cutoff_date), c)
 
 
-def in_window(d: Column, lo: int | None, hi: int | None) -> Column:
-    """True when the day offset lies in [lo, hi]; an open window is always true."""
-    if lo is None:
-        return F.lit(True)
-    if lo == hi:
-        return d == lo
-    return d.between(lo, hi)
-
-
 def window_sql(lo: int | None, hi: int | None, d: str = "d") -> str:
-    """SQL text of ``in_window`` (used where long expression lists are built as SQL strings:
-    one py4j call per expression instead of one per operator keeps driver planning short)."""
+    """True when the day offset lies in [lo, hi]; an open window is always true.
+
+    SQL text, because long expression lists are built as SQL strings: one py4j call per
+    expression instead of one per operator keeps driver planning short.
+    """
     if lo is None:
         return "TRUE"
     if lo == hi:
@@ -41,28 +35,6 @@ def window_sql(lo: int | None, hi: int | None, d: str = "d") -> str:
     return f"{d} BETWEEN {lo} AND {hi}"
 
 
-def window_flags(df: DataFrame, date_col: str, cutoff_date: str) -> DataFrame:
-    """Day offset plus the 7/30/90 day membership flags as 0/1 ints."""
-    d = days_before(date_col, cutoff_date)
-    return df.select(
-        "*",
-        d.alias("days_before_cutoff"),
-        d.between(1, 7).cast("int").alias("in_7d"),
-        d.between(1, 30).cast("int").alias("in_30d"),
-        d.between(1, 90).cast("int").alias("in_90d"),
-    )
-
-
-def safe_ratio(a: Column, b: Column, one: float | int = 1) -> Column:
-    """A / greatest(b, 1); ``greatest`` skips nulls, so a null b divides by one."""
-    return a / F.greatest(b, F.lit(one))
-
-
-def safe_ratio_abs(a: Column, b: Column) -> Column:
-    """A / greatest(abs(b), 1.0)."""
-    return a / F.greatest(F.abs(b), F.lit(1.0))
-
-
 def normalized_type(type_col: str = "TXN_TYPE") -> Column:
     return F.lower(F.coalesce(F.col(type_col).cast("string"), F.lit("")))
 
@@ -73,12 +45,6 @@ def type_flags(type_col: str = "TXN_TYPE") -> list[Column]:
     return [t.rlike(pattern).cast("int").alias(f"is_{name}") for name, pattern in TXN_TYPE_PATTERNS]
 
 
-def first_existing(df: DataFrame, *cols: str, default: float = 0.0) -> Column:
-    """Coalesce of the listed columns that exist in ``df`` (plan-time check), else default."""
-    present = [F.col(c) for c in cols if c in df.columns]
-    return F.coalesce(*present, F.lit(default)) if present else F.lit(default)
-
-
 NUMERIC_TYPES = (T.DoubleType, T.FloatType, T.IntegerType, T.LongType, T.ShortType)
 
 
@@ -91,31 +57,32 @@ def numeric_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:
 def as_timestamp(col: str, dtype: T.DataType) -> Column:
     """Parse a raw time column without throwing on malformed values (ANSI-safe).
 
-    Nanosecond Parquet columns read with ``spark.sql.legacy.parquet.nanosAsLong`` arrive
-    as bigint nanoseconds and are truncated to microseconds (S6).
+    A bigint is seconds since the epoch, as in Spark's own cast; nanosecond Parquet columns
+    are timestamps by the time they come here (S6).
     """
     c = F.col(col)
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+    if isinstance(dtype, T.TimestampType):
         return c
+    if isinstance(dtype, T.TimestampNTZType):
+        return c.cast("timestamp")
     if isinstance(dtype, T.DateType):
         return c.cast("timestamp")
     if isinstance(dtype, T.LongType):
-        return F.timestamp_micros(F.expr(f"`{col}` div 1000"))
+        return F.timestamp_seconds(c)
     return F.try_to_timestamp(c.cast("string"))
 
 
 def as_date(col: str, dtype: T.DataType) -> Column:
-    """Date of a raw column, null (not an error) when malformed."""
+    """Date of a raw column, null (not an error) when malformed.
+
+    One rule for every type: an instant's day is its day in the session's time zone.
+    """
     c = F.col(col)
     if isinstance(dtype, T.DateType):
         return c
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.to_date(c)
-    if isinstance(dtype, T.LongType):
-        # nanoseconds since the epoch -> calendar day, in exact integer arithmetic (floor)
-        day = 86_400_000_000_000
-        return F.expr(f"date_from_unix_date(CAST((`{col}` - pmod(`{col}`, {day})) div {day} AS INT))")
-    return F.to_date(F.try_to_timestamp(c.cast("string")))
+    if isinstance(dtype, T.TimestampNTZType):
+        return F.to_date(c)  # a wall-clock time has its day whatever the zone
+    return F.to_date(as_timestamp(col, dtype))
 
 
 def round_half_up(c: Column, digits: int = 4) -> Column:

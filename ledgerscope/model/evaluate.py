@@ -36,22 +36,20 @@ def median_substitution_summary(
     top: int = SUMMARY_TOP,
 ) -> DataFrame:
     """M13, re-aimed: mean |change of the predicted probability| when one feature is set to
-    its median, over at most ``max_rows`` sampled rows; the ``top`` features by that mean.
+    its median, over about ``max_rows`` sampled rows; the ``top`` features by that mean.
 
     This is a different measure than SHAP values (the reference draws a SHAP plot on the
     driver); it is computed as Spark jobs: sampled rows x features are exploded (bounded by
     max_rows x features), rescored by the model, and averaged per feature.
     """
-    n = matrix.count()
-    frac = min(1.0, 1.2 * max_rows / max(n, 1))
-    # the limit gathers at most max_rows rows into one partition; spread them again before
-    # the (rows x features) fan-out so the re-scoring runs on every core
     spark = matrix.sparkSession
+    share = min(1.0, max_rows / max(matrix.count(), 1))
+    # by a hash of the account, so that a lost task samples the same rows again; spread before the fan-out
+    place = F.pmod(F.xxhash64(F.col(ACCOUNT), F.lit(seed)), F.lit(1 << 30))
     sample = (
-        matrix.sample(fraction=frac, seed=seed)
-        .limit(max_rows)
+        matrix.filter(place < F.lit(int(share * (1 << 30))))
         .select(ACCOUNT, "features")
-        .repartition(max(1, spark.sparkContext.defaultParallelism))
+        .repartition(max(1, spark.sparkContext.defaultParallelism), ACCOUNT)
     )
     medians = wide.approxQuantile(feature_cols, [0.5], 0.001)  # one number per feature
     med = [float(m[0]) if m and m[0] is not None and not math.isnan(m[0]) else 0.0 for m in medians]

@@ -39,8 +39,8 @@ def split_column(df: DataFrame) -> str:
         if c in df.columns:
             return c
     raise NoSplitColumn(
-        "No time column found for a leakage-safe validation split; add LABEL_DATE / SNAPSHOT_DATE / "
-        "AS_OF_DATE to the labels or keep ACCOUNT_OPEN_DATE in kyc. Refusing a random split."
+        f"rows cannot be split by time: none of {', '.join(SPLIT_DATE_CANDIDATES)} is there, "
+        "and a split at random would let the future leak into the training rows"
     )
 
 

@@ -1,4 +1,4 @@
-"""Distributed boosted trees on MLlib: fit with validation stopping (M6), seeded random
+"""Distributed boosted trees on MLlib: fit with early stopping (M6), seeded random
 search (M7), refit on all labelled rows (M10) and scoring (M11).
 
 The reference fits its booster on the driver; here every fit is a Spark job over the
@@ -26,12 +26,13 @@ from ..operators.ranking import roc_auc
 #   learning_rate 0.005-0.08 (log) -> stepSize; max_depth 4-14 -> maxDepth;
 #   min_child_samples 20-500 -> minInstancesPerNode; subsample 0.6-1.0 -> subsamplingRate;
 #   colsample_bytree 0.6-1.0 -> featureSubsetStrategy (per node in MLlib).
+#   L1 / L2 penalties have no counterpart; minInfoGain takes their place, over a range of ours.
 # --------------------------------------------------------------------------------------
-STEP_SIZE_RANGE = (0.005, 0.08)
 MAX_DEPTH_RANGE = (4, 14)
 MIN_INSTANCES_RANGE = (20, 500)
 SUBSAMPLING_RANGE = (0.6, 1.0)
 FEATURE_FRACTION_RANGE = (0.6, 1.0)
+MIN_INFO_GAIN_RANGE = (1e-6, 1e-3)
 
 
 @dataclass
@@ -41,19 +42,24 @@ class GBTParams:
     minInstancesPerNode: int = 20
     subsamplingRate: float = 1.0
     featureFraction: float = 1.0
+    minInfoGain: float = 0.0
 
     def to_dict(self) -> dict:
         return asdict(self)
 
 
-def sample_params(rng: np.random.Generator, max_depth_cap: int) -> GBTParams:
-    lo, hi = np.log(STEP_SIZE_RANGE[0]), np.log(STEP_SIZE_RANGE[1])
+def _log_uniform(rng: np.random.Generator, low: float, high: float) -> float:
+    return float(np.exp(rng.uniform(np.log(low), np.log(high))))
+
+
+def sample_params(rng: np.random.Generator, step_sizes: tuple[float, float]) -> GBTParams:
     return GBTParams(
-        stepSize=float(np.exp(rng.uniform(lo, hi))),
-        maxDepth=int(rng.integers(MAX_DEPTH_RANGE[0], min(MAX_DEPTH_RANGE[1], max_depth_cap) + 1)),
+        stepSize=_log_uniform(rng, *step_sizes),
+        maxDepth=int(rng.integers(MAX_DEPTH_RANGE[0], MAX_DEPTH_RANGE[1] + 1)),
         minInstancesPerNode=int(rng.integers(MIN_INSTANCES_RANGE[0], MIN_INSTANCES_RANGE[1] + 1)),
         subsamplingRate=float(rng.uniform(*SUBSAMPLING_RANGE)),
         featureFraction=float(rng.uniform(*FEATURE_FRACTION_RANGE)),
+        minInfoGain=_log_uniform(rng, *MIN_INFO_GAIN_RANGE),
     )
 
 
@@ -63,15 +69,16 @@ def assemble(df: DataFrame, feature_cols: list[str], keep: list[str]) -> DataFra
     return va.transform(df).select(*keep, "features")
 
 
-def gbt(params: GBTParams, max_iter: int, seed: int, validation: bool, validation_tol: float = 0.0) -> GBTClassifier:
-    est = GBTClassifier(
+def gbt(params: GBTParams, rounds: int, seed: int) -> GBTClassifier:
+    return GBTClassifier(
         featuresCol="features",
         labelCol="CHURN",
         weightCol="weight",
-        maxIter=max_iter,
+        maxIter=rounds,
         stepSize=params.stepSize,
         maxDepth=params.maxDepth,
         minInstancesPerNode=params.minInstancesPerNode,
+        minInfoGain=params.minInfoGain,
         subsamplingRate=params.subsamplingRate,
         featureSubsetStrategy="all" if params.featureFraction >= 0.999 else f"{params.featureFraction:.4f}",
         maxBins=32,
@@ -79,10 +86,6 @@ def gbt(params: GBTParams, max_iter: int, seed: int, validation: bool, validatio
         cacheNodeIds=True,
         checkpointInterval=10,
     )
-    if validation:
-        est = est.setValidationIndicatorCol("is_valid")
-        est._set(validationTol=validation_tol)
-    return est
 
 
 def positive_probability(model: GBTClassificationModel, df: DataFrame, out_col: str = "score") -> DataFrame:
@@ -98,21 +101,46 @@ class Trial:
     auc: float
 
 
-def fit_with_validation(matrix: DataFrame, params: GBTParams, max_iter: int, seed: int) -> tuple[GBTClassificationModel, float]:
-    """M6: fit on train rows, stop on the validation rows; AUC of the kept trees on them."""
-    model = gbt(params, max_iter, seed, validation=True).fit(matrix)
-    valid = positive_probability(model, matrix.filter(F.col("is_valid")))
-    auc = roc_auc(valid, "CHURN", "score").first()["auc"]
+def best_round(losses: list[float]) -> int:
+    """Number of rounds with the lowest loss, the fewest on a tie."""
+    return int(np.argmin(losses)) + 1
+
+
+def fit_with_validation(
+    matrix: DataFrame, params: GBTParams, limit: int, patience: int, seed: int
+) -> tuple[GBTClassificationModel, float]:
+    """M6: boost on the train rows until the validation loss has not improved for ``patience`` rounds.
+
+    The kept model is the prefix with the lowest validation loss; also returns its AUC on the
+    validation rows. MLlib can't go on from a fitted model, so the number of rounds is doubled
+    until the loss has risen for long enough (equal seeds give equal first rounds), which costs at
+    most about twice the last fit, plus the fit of the prefix.
+    """
+    train, valid = matrix.filter(~F.col("is_valid")), matrix.filter(F.col("is_valid"))
+    rounds = min(limit, 2 * patience)
+    if valid.isEmpty():
+        return gbt(params, rounds, seed).fit(train), float("nan")
+    while True:
+        model = gbt(params, rounds, seed).fit(train)
+        best = best_round(model.evaluateEachIteration(valid))
+        if rounds - best >= patience or rounds >= limit:
+            break
+        rounds = min(limit, 2 * rounds)
+    if best < rounds:
+        model = gbt(params, best, seed).fit(train)
+    auc = roc_auc(positive_probability(model, valid), "CHURN", "score").first()["auc"]
     return model, float(auc) if auc is not None else float("nan")
 
 
-def random_search(matrix: DataFrame, trials: int, max_iter: int, seed: int, max_depth_cap: int = 8) -> list[Trial]:
+def random_search(
+    matrix: DataFrame, trials: int, limit: int, patience: int, seed: int, step_sizes: tuple[float, float]
+) -> list[Trial]:
     """M7: seeded random search over the published ranges, maximising validation AUC."""
     rng = np.random.default_rng(seed)
     out = []
     for i in range(trials):
-        params = sample_params(rng, max_depth_cap)
-        model, auc = fit_with_validation(matrix, params, max_iter, seed)
+        params = sample_params(rng, step_sizes)
+        model, auc = fit_with_validation(matrix, params, limit, patience, seed)
         out.append(Trial(i, params, model.getNumTrees, auc))
     return out
 
@@ -123,7 +151,7 @@ def best_trial(trials: list[Trial]) -> Trial:
 
 def refit(full: DataFrame, params: GBTParams, rounds: int, seed: int) -> GBTClassificationModel:
     """All labelled rows, the chosen parameters and round count, no validation part."""
-    return gbt(params, max(1, rounds), seed, validation=False).fit(full)
+    return gbt(params, max(1, rounds), seed).fit(full)
 
 
 def cached(df: DataFrame) -> DataFrame:
@@ -136,6 +164,7 @@ __all__ = [
     "GBTParams",
     "Trial",
     "assemble",
+    "best_round",
     "best_trial",
     "cached",
     "fit_with_validation",

@@ -8,17 +8,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import ACCOUNT, MISSING_RECENCY_FILL, RECENCY_NAME_MARKERS
-from ..functions.exprs import first_existing, numeric_columns, safe_ratio, safe_ratio_abs
+from ..functions.exprs import numeric_columns
 
-CROSS_FEATURES = (
-    "out_txn_to_balance_ratio",
-    "in_txn_to_balance_ratio",
-    "net_flow_30d",
-    "net_flow_90d",
-    "in_out_amount_ratio_30d",
-    "in_out_count_ratio_30d",
-    "amount_per_active_day_90d",
-)
+#: F7 as SQL over the joined columns (fixed values: names and definitions). In braces: 0 where missing;
+#: ``greatest`` skips nulls, so a missing denominator divides by one
+_CROSS_SQL: dict[str, str] = {
+    "out_txn_to_balance_ratio": "{out_txn_sum_30d} / greatest(abs(avg_balance_30d), 1D)",
+    "in_txn_to_balance_ratio": "{in_txn_sum_30d} / greatest(abs(avg_balance_30d), 1D)",
+    "net_flow_30d": "{in_txn_sum_30d} - {out_txn_sum_30d}",
+    "net_flow_90d": "{in_txn_sum_90d} - {out_txn_sum_90d}",
+    "in_out_amount_ratio_30d": "{in_txn_sum_30d} / greatest({out_txn_sum_30d}, 1D)",
+    "in_out_count_ratio_30d": "{in_txn_count_30d} / greatest({out_txn_count_30d}, 1D)",
+    "amount_per_active_day_90d": "({out_txn_sum_90d} + {in_txn_sum_90d})"
+    " / greatest({out_active_days_90d}, {in_active_days_90d}, 1D)",
+}
+CROSS_FEATURES = tuple(_CROSS_SQL)
+
+
+class _ZeroIfMissing(dict):
+    """``{column}`` as SQL: 0 where the value is null, or where no joined part has the column."""
+
+    def __missing__(self, column: str) -> str:
+        return f"coalesce({column}, 0D)" if column in self["columns"] else "0D"
 
 
 def join_features(population_ids: DataFrame, *parts: DataFrame) -> DataFrame:
@@ -34,27 +45,11 @@ def join_features(population_ids: DataFrame, *parts: DataFrame) -> DataFrame:
 
 
 def cross_features(df: DataFrame) -> DataFrame:
-    """computed before the fill, so a null balance divides by one (``greatest`` skips nulls)."""
-    out_sum_30d = first_existing(df, "out_txn_sum_30d", "txn_sum_30d")
-    in_sum_30d = first_existing(df, "in_txn_sum_30d")
-    out_sum_90d = first_existing(df, "out_txn_sum_90d", "txn_sum_90d")
-    in_sum_90d = first_existing(df, "in_txn_sum_90d")
-    out_count_30d = first_existing(df, "out_txn_count_30d", "txn_count_30d")
-    in_count_30d = first_existing(df, "in_txn_count_30d")
-    active_days = F.greatest(
-        first_existing(df, "out_active_days_90d"), first_existing(df, "in_active_days_90d"), F.lit(1.0)
-    )
-    bal = F.col("avg_balance_30d") if "avg_balance_30d" in df.columns else F.lit(None).cast("double")
-    return df.select(
-        "*",
-        safe_ratio_abs(out_sum_30d, bal).alias("out_txn_to_balance_ratio"),
-        safe_ratio_abs(in_sum_30d, bal).alias("in_txn_to_balance_ratio"),
-        (in_sum_30d - out_sum_30d).alias("net_flow_30d"),
-        (in_sum_90d - out_sum_90d).alias("net_flow_90d"),
-        safe_ratio(in_sum_30d, out_sum_30d, 1.0).alias("in_out_amount_ratio_30d"),
-        safe_ratio(in_count_30d, out_count_30d, 1.0).alias("in_out_count_ratio_30d"),
-        ((out_sum_90d + in_sum_90d) / active_days).alias("amount_per_active_day_90d"),
-    )
+    """F7, computed before the fill, so that a missing balance divides by one."""
+    if "avg_balance_30d" not in df.columns:
+        return cross_features(df.withColumn("avg_balance_30d", F.lit(None).cast("double"))).drop("avg_balance_30d")
+    known = _ZeroIfMissing(columns=set(df.columns))
+    return df.selectExpr("*", *[f"{sql.format_map(known)} AS {name}" for name, sql in _CROSS_SQL.items()])
 
 
 def fill_missing(df: DataFrame) -> DataFrame:
@@ -63,7 +58,9 @@ def fill_missing(df: DataFrame) -> DataFrame:
     values = {
         c: (MISSING_RECENCY_FILL if any(m in c for m in RECENCY_NAME_MARKERS) else 0) for c in numeric
     }
-    return df.fillna(values).fillna(0) if values else df.fillna(0)
+    others = [c for c in df.columns if c != ACCOUNT and c not in values]
+    filled = df.fillna(values) if values else df
+    return filled.fillna(0, subset=others) if others else filled
 
 
 def assemble_features(

@@ -41,7 +41,7 @@ def _ratio(name: str, num: str, den: str, absolute: bool) -> str:
 
 def balance_features(bal: DataFrame, cutoff_date: str, population: Population | None = None) -> DataFrame:
     """ACCOUNT_ID + 34 balance features."""
-    b = population.restrict_rows(bal) if population is not None else bal
+    b = population.semi_join(bal) if population is not None else bal
     b = b.select(ACCOUNT, "BAL_DATE", "BALANCE", days_before("BAL_DATE", cutoff_date).alias("d"))
     aggs = [f"{_aggregate(fn, window_sql(lo, hi))} AS {name}" for name, fn, lo, hi in BALANCE_AGGREGATES]
     aggs += [
@@ -53,4 +53,4 @@ def balance_features(bal: DataFrame, cutoff_date: str, population: Population |
     derived.append("avg_balance_90d - avg_balance_30d AS balance_drop_30d")
     derived += [_ratio(*r) for r in BALANCE_RATIOS_TAIL]
     out = agg.selectExpr("*", *derived).select(ACCOUNT, *balance_feature_names())
-    return population.restrict_accounts(out) if population is not None else out
+    return out

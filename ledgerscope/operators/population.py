@@ -1,5 +1,5 @@
-"""Population operators: customers (P2), scored population (J1, U1, U2), role swap (P5)
-and the population restriction of fact rows (J2a-d) with a size-checked broadcast."""
+"""Population operators: the scored population (P2, J1, U1, U2) and the restriction of fact
+rows to it (J2a-d) with a size-checked broadcast."""
 
 from __future__ import annotations
 
@@ -9,13 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import ACCOUNT
-
-
-def customer_ids(kyc: DataFrame) -> DataFrame:
-    """Distinct keys of customer accounts (everyone when the type column is absent)."""
-    if "ACCOUNT_TYPE" in kyc.columns:
-        kyc = kyc.filter(F.lower(F.col("ACCOUNT_TYPE")) == "customer")
-    return kyc.select(ACCOUNT).distinct()
+from ..session import ensure_checkpoint_dir
 
 
 def population_ids(labels: DataFrame, test_ids: DataFrame, kyc: DataFrame) -> DataFrame:
@@ -29,18 +23,6 @@ def population_ids(labels: DataFrame, test_ids: DataFrame, kyc: DataFrame) -> Da
     return keys.join(customers.select(ACCOUNT), ACCOUNT, "left_semi")
 
 
-def incoming_view(trx: DataFrame) -> DataFrame:
-    """P5: the receiver becomes the account, the sender the counterparty; null receivers drop."""
-    return trx.select(
-        F.col("DST_ACCOUNT_ID").alias(ACCOUNT),
-        F.col(ACCOUNT).alias("DST_ACCOUNT_ID"),
-        "TXN_TS",
-        "TXN_DATE",
-        "TXN_AMOUNT",
-        "TXN_TYPE",
-    ).filter(F.col(ACCOUNT).isNotNull())
-
-
 @dataclass
 class Population:
     """The scored population plus the decision how fact rows are restricted to it.
@@ -49,43 +31,31 @@ class Population:
     later join reads that small file set instead of re-deriving the population from labels,
     test ids and kyc, and an executor loss does not re-run that derivation.
 
-    ``rows`` is an exact count taken once on the driver. Below ``broadcast_max_rows`` the
-    keys are broadcast into the fact scans (a map-side semi-join, no fact shuffle). Above
-    it nothing is broadcast: fact rows are aggregated first (with map-side partial
-    aggregation, so a hot key never lands whole in one task) and the per-account result,
-    at most one row per account, is semi-joined instead. Both orders give the same rows
-    because the restriction is on the grouping key.
+    ``rows`` and ``bytes`` (of the keys as text) are exact, taken once. Below both bounds the
+    keys are broadcast into the fact scans (a map-side semi-join, no fact shuffle). Above them the
+    facts meet the keys in a shuffled semi-join, before anything is derived from them: AQE splits a
+    hot account's rows there, and on large inputs Spark sends a Bloom filter of the keys into the
+    scan first (``CLUSTER_SETTINGS``). Either way other accounts' rows go before any aggregation.
     """
 
     ids: DataFrame
     rows: int
+    bytes: int
     broadcast_max_rows: int
+    broadcast_max_bytes: int
 
     @classmethod
-    def of(cls, ids: DataFrame, broadcast_max_rows: int = 2_000_000) -> "Population":
-        from ..session import ensure_checkpoint_dir
-
+    def of(cls, ids: DataFrame, broadcast_max_rows: int = 2_000_000, broadcast_max_bytes: int = 64 << 20) -> "Population":
         ensure_checkpoint_dir(ids.sparkSession)
         frozen = ids.checkpoint(eager=True)
-        return cls(ids=frozen, rows=frozen.count(), broadcast_max_rows=broadcast_max_rows)
+        size = frozen.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(F.col(ACCOUNT).cast("string"))).alias("b")).first()
+        return cls(frozen, int(size["n"]), int(size["b"] or 0), broadcast_max_rows, broadcast_max_bytes)
 
     @property
     def broadcastable(self) -> bool:
-        return self.rows <= self.broadcast_max_rows
-
-    def restrict_rows(self, df: DataFrame, key: str = ACCOUNT) -> DataFrame:
-        """Early restriction of fact rows; a no-op when the population is too large to broadcast."""
-        if not self.broadcastable:
-            return df
-        return df.join(F.broadcast(self.ids.withColumnRenamed(ACCOUNT, key)), key, "left_semi")
-
-    def restrict_accounts(self, df: DataFrame) -> DataFrame:
-        """Restriction of an account-level result (at most one row per account)."""
-        if self.broadcastable:
-            return df  # rows were already restricted before aggregation
-        return df.join(self.ids, ACCOUNT, "left_semi")
+        return self.rows <= self.broadcast_max_rows and self.bytes <= self.broadcast_max_bytes
 
-    def semi_join(self, df: DataFrame) -> DataFrame:
-        """Always-on restriction (dimension tables, which are bounded by the account count)."""
-        ids = F.broadcast(self.ids) if self.broadcastable else self.ids
-        return df.join(ids, ACCOUNT, "left_semi")
+    def semi_join(self, df: DataFrame, key: str = ACCOUNT) -> DataFrame:
+        """The rows of ``df`` whose ``key`` is in the population."""
+        ids = self.ids.withColumnRenamed(ACCOUNT, key)
+        return df.join(F.broadcast(ids) if self.broadcastable else ids, key, "left_semi")

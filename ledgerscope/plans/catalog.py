@@ -14,16 +14,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import ACCOUNT, BALANCE_AGGREGATES, ColumnMap, PipelineConfig
-from ..functions.exprs import round_doubles, window_flags
+from ..functions.exprs import days_before, round_doubles, window_sql
 from ..model import labels as L
 from ..model.evaluate import median_substitution_summary
 from ..model.train import GBTParams, assemble, fit_with_validation, positive_probability, random_search
 from ..operators.assemble import CROSS_FEATURES, median_impute
 from ..operators.balances import balance_feature_names, balance_features
 from ..operators.dimension import kyc_features
-from ..operators.population import Population, incoming_view, population_ids
+from ..operators.population import Population, population_ids
 from ..operators.ranking import roc_auc, top_fraction_metrics
-from ..operators.transactions import TYPE_NAMES, derived_names, feature_names, transaction_features
+from ..operators.transactions import TYPE_NAMES, derived_names, directed_rows, feature_names, transaction_features
 from ..session import shared_dir
 from ..sources.fixtures import (
     FIXTURE_CUTOFF,
@@ -35,7 +35,7 @@ from ..sources.fixtures import (
     write_nanos_copy,
 )
 from ..sources.normalize import Inputs, asof_filter, canonical_transactions, normalize_inputs
-from ..sources.readers import read_any, read_parquet
+from ..sources.readers import read_any, read_parquet, resolve_inputs
 from ..sources.sinks import read_feature_store, write_feature_store
 from . import oracle as O
 from .feature_job import build_features
@@ -164,8 +164,8 @@ def q_role_swap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P5 + J2b: incoming transfers of population accounts."""
     inp = fixture(spark, sf_dir)
     pop = fixture_population(spark, inp)
-    inc = pop.semi_join(incoming_view(inp.transactions))
-    return round_doubles(inc.select(ACCOUNT, "DST_ACCOUNT_ID", "TXN_DATE", "TXN_AMOUNT", "TXN_TYPE"))
+    inc = directed_rows(inp.transactions, CUTOFF, pop).filter("dir = 1")
+    return round_doubles(inc.select(ACCOUNT, F.col("cp").alias("DST_ACCOUNT_ID"), "TXN_DATE", "TXN_AMOUNT", "TXN_TYPE"))
 
 
 SQL_ROLE_SWAP = f"""{O.with_all(O.base_ctes(CUTOFF))}
@@ -176,8 +176,9 @@ def q_window_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Day offset and 7/30/90-day flags on the outgoing transfers."""
     inp = fixture(spark, sf_dir)
     pop = fixture_population(spark, inp)
-    t = window_flags(pop.semi_join(inp.transactions), "TXN_DATE", CUTOFF)
-    return t.select(ACCOUNT, "DST_ACCOUNT_ID", "TXN_DATE", "days_before_cutoff", "in_7d", "in_30d", "in_90d")
+    t = pop.semi_join(inp.transactions).withColumn("d", days_before("TXN_DATE", CUTOFF))
+    flags = [f"CAST({window_sql(1, n)} AS INT) AS in_{n}d" for n in (7, 30, 90)]
+    return t.selectExpr(ACCOUNT, "DST_ACCOUNT_ID", "TXN_DATE", "d AS days_before_cutoff", *flags)
 
 
 SQL_WINDOW_FLAGS = f"""{O.with_all(O.base_ctes(CUTOFF))}
@@ -257,7 +258,11 @@ MEDIAN_IMPUTE_COLUMNS = ["avg_balance_30d", "out_avg_txn_amount", "in_median_txn
 
 
 def q_median_impute(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M2: median imputation of unfilled feature columns (exact medians: relativeError 0)."""
+    """M2: median imputation of unfilled feature columns.
+
+    relativeError 0 asks for exact medians: the accounts with a balance are at most the population, and
+    the query is held against exact medians; production keeps the default error.
+    """
     feats = build_features(fixture(spark, sf_dir), CUTOFF, fill=False).features
     df = feats.select(ACCOUNT, *MEDIAN_IMPUTE_COLUMNS)
     return round_doubles(median_impute(df, MEDIAN_IMPUTE_COLUMNS, relative_error=0.0))
@@ -303,14 +308,17 @@ def q_class_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _store(spark: SparkSession, sf_dir: str):
-    inp = fixture(spark, sf_dir)
-    return inp, build_features(inp, CUTOFF).features
+    """The inputs and the feature table, written once and read back as ``run_pipeline`` does."""
+    inp, path = fixture(spark, sf_dir), _scratch(spark, "store")
+    write_feature_store(build_features(inp, CUTOFF).features, path, CUTOFF)
+    return inp, read_feature_store(spark, path, CUTOFF)
 
 
 def q_train_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     inp, feats = _store(spark, sf_dir)
     m = L.train_matrix(feats, L.prepare_labels(inp.labels, inp.kyc))
-    return round_doubles(m.select(ACCOUNT, "CHURN", "ACCOUNT_OPEN_DATE", *MATRIX_FEATURES))
+    m = m.withColumn("n_features", F.lit(len(L.feature_columns(m))))
+    return round_doubles(m.select(ACCOUNT, "CHURN", "ACCOUNT_OPEN_DATE", "n_features", *MATRIX_FEATURES))
 
 
 def q_score_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -374,7 +382,7 @@ store AS (SELECT ACCOUNT_ID, {filled} FROM joined)
 
 
 SQL_TRAIN_MATRIX = _store_with_labels_sql(
-    f"SELECT s.ACCOUNT_ID, l.CHURN, l.ACCOUNT_OPEN_DATE, {', '.join('s.' + c for c in MATRIX_FEATURES)} "
+    f"SELECT s.ACCOUNT_ID, l.CHURN, l.ACCOUNT_OPEN_DATE, 233 AS n_features, {', '.join('s.' + c for c in MATRIX_FEATURES)} "
     "FROM store s JOIN lab l ON l.ACCOUNT_ID = s.ACCOUNT_ID"
 )
 SQL_SCORE_MATRIX = _store_with_labels_sql(
@@ -407,6 +415,33 @@ SQL_TOPK = _with_scored(_store_with_labels_sql(
 ))
 
 
+def q_topk_big_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O1 + M9: all scores tied, keys beyond 2^53, in several buckets: the smallest keys win."""
+    scored = _scored(spark, sf_dir).select((F.col(ACCOUNT) + F.lit(1 << 60)).alias(ACCOUNT), "CHURN", F.lit(0.5).alias("score"))
+    return round_doubles(top_fraction_metrics(scored, TOP_FRAC, rows_per_bucket=100))
+
+
+def _with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scored rows, a third of them without a score."""
+    return _scored(spark, sf_dir).withColumn("score", F.when(F.col(ACCOUNT) % 3 != 0, F.col("score")))
+
+
+def q_topk_null_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O1 + M9: rows without a score rank last."""
+    return round_doubles(top_fraction_metrics(_with_gaps(spark, sf_dir), 0.9, rows_per_bucket=50))
+
+
+def q_roc_auc_null_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M8: rows without a score rank last."""
+    return round_doubles(roc_auc(_with_gaps(spark, sf_dir), rows_per_bucket=50))
+
+
+SQL_TOPK_BIG_KEYS = SQL_TOPK.replace("ORDER BY sc DESC, ACCOUNT_ID", "ORDER BY ACCOUNT_ID")
+_GAPS = ("FROM m)", "FROM (SELECT ACCOUNT_ID, y, CASE WHEN ACCOUNT_ID % 3 <> 0 THEN sc ELSE -1e300 END AS sc FROM m) g)")
+SQL_TOPK_NULL_SCORES = SQL_TOPK.replace(*_GAPS).replace(f"CAST({TOP_FRAC!r} AS DOUBLE)", "CAST(0.9 AS DOUBLE)")
+SQL_ROC_AUC_NULL_SCORES = SQL_ROC_AUC.replace(*_GAPS)
+
+
 # ----------------------------------------------------------------------------- sources and sinks
 
 
@@ -437,6 +472,43 @@ def q_nanos_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_doubles(trx.select(ACCOUNT, "DST_ACCOUNT_ID", "TXN_DATE", "TXN_AMOUNT", "TXN_TYPE"))
 
 
+def _transfers_before_cutoff(df: DataFrame) -> DataFrame:
+    trx = asof_filter(canonical_transactions(df, fixture_columns()), "TXN_DATE", CUTOFF)
+    return round_doubles(trx.select(ACCOUNT, "DST_ACCOUNT_ID", "TXN_DATE", "TXN_AMOUNT", "TXN_TYPE"))
+
+
+def q_partitioned_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3: transfers partitioned by their type and read with a cutoff: the partition column is kept."""
+    path = _scratch(spark, "trx_by_type")
+    wallet_trx(spark, sf_dir).repartition("TRX_TYPE").write.partitionBy("TRX_TYPE").parquet(path)
+    return _transfers_before_cutoff(read_parquet(spark, [path], before={"TRX_DATETIME": CUTOFF}))
+
+
+def q_resolve_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transfers in two files under names of different token groups; both are read."""
+    root = _scratch(spark, "two_names")
+    even = F.col("SRC_ACCOUNT") % 2 == 0
+    for name, part in (("trx_even", even), ("transaction_odd", ~even)):
+        wallet_trx(spark, sf_dir).where(part).write.parquet(f"{root}/{name}.parquet")
+    return _transfers_before_cutoff(read_any(spark, resolve_inputs(spark, root)["transactions"], "parquet"))
+
+
+def q_nanos_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One folder, older files in nanoseconds, newer ones in microseconds."""
+    path = _scratch(spark, "trx_mixed")
+    trx = wallet_trx(spark, sf_dir).withColumn("TRX_DATETIME", F.col("TRX_DATETIME").cast("timestamp"))
+    old = F.col("TRX_DATETIME") < F.lit("1996-01-01").cast("timestamp")
+    trx.where(~old).write.parquet(path)
+    write_nanos_copy(trx.where(old), path)
+    return _transfers_before_cutoff(read_parquet(spark, [path], before={"TRX_DATETIME": CUTOFF}))
+
+
+def q_epoch_seconds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transfer times as bigint seconds since the epoch."""
+    trx = wallet_trx(spark, sf_dir)
+    return _transfers_before_cutoff(trx.withColumn("TRX_DATETIME", F.unix_timestamp(F.col("TRX_DATETIME").cast("timestamp"))))
+
+
 def q_resolve_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S1 + S3 + S4 + S5 + S8: find the five inputs in an export folder, read, normalise,
     and derive the population from what was found."""
@@ -449,7 +521,10 @@ def q_resolve_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ----------------------------------------------------------------------------- model (rows-only checks)
 
 def fixture_config(**kw):
-    base = dict(cutoff_date=CUTOFF, search_trials=2, search_max_iter=5, final_max_iter=10, random_seed=SEED)
+    """Two trials with large steps and little patience, so that fits stop early; depth, rounds and rows as published."""
+    base = dict(
+        cutoff_date=CUTOFF, search_trials=2, search_patience=3, final_patience=3, step_size_min=0.3, step_size_max=0.5, random_seed=SEED
+    )
     base.update(kw)
     return PipelineConfig(**base)
 
@@ -459,10 +534,15 @@ def _matrix(spark: SparkSession, sf_dir: str):
     return inp, feats, labelled_matrix(feats, inp.labels, inp.kyc, fixture_config())
 
 
+def _fitted(m):
+    cfg = fixture_config()
+    return fit_with_validation(m.fit, GBTParams(stepSize=0.4), cfg.final_max_iter, cfg.final_patience, SEED)[0]
+
+
 def q_gbt_train_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M6 + M11 + J7: one validation-stopped fit, then the test accounts' probabilities."""
     inp, feats, m = _matrix(spark, sf_dir)
-    model, _ = fit_with_validation(m.fit, GBTParams(maxDepth=4), 10, SEED)
+    model = _fitted(m)
     to_score = assemble(L.score_matrix(feats, inp.test_ids), m.feature_cols, [ACCOUNT])
     return positive_probability(model, to_score, "CHURN_PROB").select(ACCOUNT, "CHURN_PROB")
 
@@ -470,12 +550,14 @@ def q_gbt_train_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_gbt_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M7: seeded random search; one row per trial with its validation AUC."""
     _, _, m = _matrix(spark, sf_dir)
-    return trials_frame(spark, random_search(m.fit, 2, 5, SEED, max_depth_cap=4))
+    cfg = fixture_config()
+    steps = (cfg.step_size_min, cfg.step_size_max)
+    return trials_frame(spark, random_search(m.fit, cfg.search_trials, cfg.search_max_iter, cfg.search_patience, SEED, steps))
 
 
 def _train(spark: SparkSession, sf_dir: str):
     inp, feats = _store(spark, sf_dir)
-    return feats, train_and_score(feats, inp.labels, inp.kyc, inp.test_ids, fixture_config(), max_depth_cap=4)
+    return feats, train_and_score(feats, inp.labels, inp.kyc, inp.test_ids, fixture_config())
 
 
 def q_gbt_refit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -491,8 +573,7 @@ def q_gain_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_driver_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean probability change when one feature is set to its median (top 30)."""
     _, feats, m = _matrix(spark, sf_dir)
-    model, _ = fit_with_validation(m.fit, GBTParams(maxDepth=4), 10, SEED)
-    return median_substitution_summary(model, m.data, m.feature_cols, feats, SEED, max_rows=2_000)
+    return median_substitution_summary(_fitted(m), m.data, m.feature_cols, feats, SEED)
 
 
 def q_metric_record(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -500,7 +581,7 @@ def q_metric_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _scratch(spark, "run")
     write_fixture_layout(spark, sf_dir, f"{root}/data")
     cfg = fixture_config(data_dir=f"{root}/data", work_dir=f"{root}/work", output_dir=f"{root}/out")
-    res = run_pipeline(spark, cfg, LABELS_SCHEMA, TEST_SCHEMA, max_depth_cap=4, summary=False)
+    res = run_pipeline(spark, cfg, LABELS_SCHEMA, TEST_SCHEMA, summary=False)
     return spark.read.json(res.paths["metrics"])
 
 
@@ -534,7 +615,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "score_matrix": q_score_matrix,
         "roc_auc": q_roc_auc,
         "topk_precision_recall": q_topk_precision_recall,
+        "topk_big_keys": q_topk_big_keys,
+        "topk_null_scores": q_topk_null_scores,
+        "roc_auc_null_scores": q_roc_auc_null_scores,
         "csv_roundtrip": q_csv_roundtrip,
+        "partitioned_scan": q_partitioned_scan,
+        "resolve_multi": q_resolve_multi,
+        "nanos_mixed": q_nanos_mixed,
+        "epoch_seconds": q_epoch_seconds,
         "nanos_timestamps": q_nanos_timestamps,
         "resolve_inputs": q_resolve_inputs,
         "gbt_train_score": q_gbt_train_score,
@@ -574,7 +662,14 @@ def oracle_sql() -> dict[str, str]:
         "score_matrix": SQL_SCORE_MATRIX,
         "roc_auc": SQL_ROC_AUC,
         "topk_precision_recall": SQL_TOPK,
+        "topk_big_keys": SQL_TOPK_BIG_KEYS,
+        "topk_null_scores": SQL_TOPK_NULL_SCORES,
+        "roc_auc_null_scores": SQL_ROC_AUC_NULL_SCORES,
         "csv_roundtrip": SQL_CSV_ROUNDTRIP,
+        "partitioned_scan": SQL_ASOF_FILTER,
+        "resolve_multi": SQL_ASOF_FILTER,
+        "nanos_mixed": SQL_ASOF_FILTER,
+        "epoch_seconds": SQL_ASOF_FILTER,
         "nanos_timestamps": SQL_ASOF_FILTER,
         "resolve_inputs": SQL_POPULATION,
     }

@@ -58,13 +58,14 @@ def labelled_matrix(features: DataFrame, labels: DataFrame, kyc: DataFrame, cfg:
 
 
 def train_and_score(
-    features: DataFrame, labels: DataFrame, kyc: DataFrame, test_ids: DataFrame, cfg: PipelineConfig, max_depth_cap: int = 8
+    features: DataFrame, labels: DataFrame, kyc: DataFrame, test_ids: DataFrame, cfg: PipelineConfig
 ) -> ModelRun:
     spark = features.sparkSession
     m = labelled_matrix(features, labels, kyc, cfg)
-    trials = random_search(m.fit, cfg.search_trials, cfg.search_max_iter, cfg.random_seed, max_depth_cap)
+    step_sizes = (cfg.step_size_min, cfg.step_size_max)
+    trials = random_search(m.fit, cfg.search_trials, cfg.search_max_iter, cfg.search_patience, cfg.random_seed, step_sizes)
     best = best_trial(trials)
-    model, auc = fit_with_validation(m.fit, best.params, cfg.final_max_iter, cfg.random_seed)
+    model, auc = fit_with_validation(m.fit, best.params, cfg.final_max_iter, cfg.final_patience, cfg.random_seed)
     best_iteration = model.getNumTrees
     valid = positive_probability(model, m.data.filter(F.col("is_valid")))
     pr = top_fraction_metrics(valid, cfg.top_frac, "CHURN", "score", ACCOUNT).first()
@@ -88,11 +89,11 @@ def train_and_score(
 def trials_frame(spark, trials: list[Trial]) -> DataFrame:
     rows = [
         (t.trial, t.params.stepSize, t.params.maxDepth, t.params.minInstancesPerNode, t.params.subsamplingRate,
-         t.params.featureFraction, t.trees, t.auc)
+         t.params.featureFraction, t.params.minInfoGain, t.trees, t.auc)
         for t in trials
     ]
     return spark.createDataFrame(
         rows,
         "trial int, step_size double, max_depth int, min_instances int, subsampling double, "
-        "feature_fraction double, trees int, auc double",
+        "feature_fraction double, min_info_gain double, trees int, auc double",
     )

@@ -15,9 +15,9 @@ from pyspark.sql import types as T
 from ..config import PipelineConfig
 from ..model.evaluate import median_substitution_summary
 from ..sources import sinks
-from ..sources.fixtures import RawInputs
-from ..sources.normalize import InputError, Inputs, normalize_inputs
+from ..sources.normalize import InputError, Inputs, RawInputs, normalize_inputs
 from ..sources.readers import read_any, resolve_inputs
+from ..session import ensure_checkpoint_dir
 from .feature_job import build_features
 from .model_job import ModelRun, train_and_score, trials_frame
 
@@ -32,13 +32,9 @@ class PipelineResult:
 def discover(spark: SparkSession, cfg: PipelineConfig) -> dict[str, list[str]]:
     """S1 + S8: find the inputs and fail on the driver, before any job, if one is missing."""
     found = resolve_inputs(spark, cfg.data_dir)
-    missing = [k for k in ("transactions", "balances", "kyc") if not found.get(k)]
+    missing = [name for name, paths in found.items() if not paths]
     if missing:
-        raise InputError(f"could not find {missing} under {cfg.data_dir}; found {found}")
-    if not found.get("train_labels"):
-        raise InputError("train_labels.csv was not found")
-    if not found.get("test_ids"):
-        raise InputError("test.csv or sample_submission.csv was not found")
+        raise InputError(f"{cfg.data_dir} holds nothing that looks like: {', '.join(missing)}")
     return found
 
 
@@ -47,11 +43,16 @@ def read_inputs(
     found: dict[str, list[str]],
     labels_schema: T.StructType | None = None,
     test_schema: T.StructType | None = None,
+    cfg: PipelineConfig | None = None,
 ) -> RawInputs:
-    """S2-S6 for the five inputs (CSV schemas explicit when given, inferred otherwise)."""
+    """S2-S6 for the five inputs (CSV schemas explicit when given, inferred otherwise).
+
+    With ``cfg`` the facts' scans leave out what lies after the cutoff where the stored type allows.
+    """
+    trx_cut, bal_cut = ({c: cfg.cutoff_date} for c in (cfg.columns.txn_date_col, cfg.columns.balance_date_col)) if cfg else (None, None)
     return RawInputs(
-        transactions=read_any(spark, found["transactions"]),
-        balances=read_any(spark, found["balances"]),
+        transactions=read_any(spark, found["transactions"], before=trx_cut),
+        balances=read_any(spark, found["balances"], before=bal_cut),
         kyc=read_any(spark, found["kyc"]),
         labels=read_any(spark, found["train_labels"], "csv", labels_schema),
         test_ids=read_any(spark, found["test_ids"], "csv", test_schema),
@@ -69,12 +70,12 @@ def build_feature_store(
     Returns the canonical inputs, the store read back (its lineage is a Parquet scan, not the
     whole job) and the store's path.
     """
-    from ..session import ensure_checkpoint_dir
-
+    if not cfg.cutoff_date:
+        raise InputError("a run needs a cutoff date")
     # the run's work dir is shared storage: use it for checkpoints when the session names none
     ensure_checkpoint_dir(spark, fallback=f"{cfg.work_dir.rstrip('/')}/checkpoints")
     found = discover(spark, cfg)
-    inp = normalize_inputs(read_inputs(spark, found, labels_schema, test_schema), cfg.cutoff_date, cfg.columns)
+    inp = normalize_inputs(read_inputs(spark, found, labels_schema, test_schema, cfg), cfg.cutoff_date, cfg.columns)
     store = f"{cfg.work_dir.rstrip('/')}/account_features"
     if not (cfg.reuse_feature_store and sinks.feature_store_exists(spark, store)):
         built = build_features(inp, cfg.cutoff_date, cfg.broadcast_max_rows).features
@@ -87,12 +88,11 @@ def run_pipeline(
     cfg: PipelineConfig,
     labels_schema: T.StructType | None = None,
     test_schema: T.StructType | None = None,
-    max_depth_cap: int = 8,
     summary: bool = True,
 ) -> PipelineResult:
     inp, features, store = build_feature_store(spark, cfg, labels_schema, test_schema)
 
-    run = train_and_score(features, inp.labels, inp.kyc, inp.test_ids, cfg, max_depth_cap)
+    run = train_and_score(features, inp.labels, inp.kyc, inp.test_ids, cfg)
     out = cfg.output_dir.rstrip("/")
     paths = {
         "feature_store": store,
@@ -106,7 +106,7 @@ def run_pipeline(
     }
     sinks.write_predictions(run.predictions, paths["predictions"])
     sinks.write_record(spark, run.metrics, paths["metrics"])
-    sinks.write_record(spark, {k: v for k, v in cfg.to_dict().items() if k != "columns"}, paths["config"])
+    sinks.write_record(spark, cfg.to_dict(), paths["config"])
     sinks.write_importance(run.importance, paths["importance"])
     sinks.save_model(run.final_model, paths["model"])
     trials_frame(spark, run.trials).coalesce(1).write.mode("overwrite").json(paths["trials"])

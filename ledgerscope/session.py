@@ -8,15 +8,18 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
-#: settings for a cluster session (the caller builds it). Shuffle partition counts are left to
-#: AQE: it starts from ``spark.sql.shuffle.partitions`` and coalesces to the advisory size, and
-#: splits skewed join partitions.
+#: settings for a cluster session (the caller builds it). AQE starts from the initial number of shuffle
+#: partitions (``PipelineConfig.shuffle_partitions``, see ``initial_partitions``), coalesces to the
+#: advisory size and splits skewed join partitions, but never starts more than that number.
 CLUSTER_SETTINGS: dict[str, str] = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.files.maxPartitionBytes": "256m",
+    # a population too large to broadcast still prunes the fact scans by a Bloom filter of its keys
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1g",
     "spark.sql.session.timeZone": "UTC",
     # the median features are quantile digests (ObjectHashAggregate); keep more accounts per
     # task in the hash map before falling back to a sort of the input (a few KB per account)
@@ -24,6 +27,11 @@ CLUSTER_SETTINGS: dict[str, str] = {
 }
 
 
+def initial_partitions(input_bytes: int, target_bytes: int = 256 << 20, least: int = 800) -> int:
+    """Initial shuffle partitions for facts of this size: about ``target_bytes`` each."""
+    return max(least, -(-input_bytes // target_bytes))
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "ledgerscope") -> SparkSession:
     """A local session for tests and the benchmark (UI off, UTC, AQE on).
 
@@ -54,26 +62,29 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Return the checkpoint folder named by the session (``spark.checkpoint.dir``).
+    """The folder for checkpoints and other intermediate data, which every executor must share.
 
-    The setting is read from the session. When it is unset, ``fallback`` (a shared folder
-    such as the run's work dir) is used; only without either — a bare local session in a
-    test — a scratch folder is chosen.
+    ``spark.checkpoint.dir`` of the session, else ``fallback`` (such as the run's work dir). A
+    session that has neither gets a scratch folder if it runs in one local process; anything else
+    is refused, as executors would each write to a disk of their own.
     """
     sc = spark.sparkContext
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current:
         return current
-    if configured or fallback:
-        sc.setCheckpointDir(configured or fallback)
-        return sc.getCheckpointDir() or configured or fallback
-    path = tempfile.mkdtemp(prefix="ledgerscope-ckpt-", dir="/tmp")
-    sc.setCheckpointDir(path)
-    return sc.getCheckpointDir() or path
+    chosen = sc.getConf().get("spark.checkpoint.dir", None) or fallback
+    if not chosen:
+        if not _one_process(sc.master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {sc.master} share")
+        chosen = tempfile.mkdtemp(prefix="ledgerscope-ckpt-")
+    sc.setCheckpointDir(chosen)
+    return sc.getCheckpointDir() or chosen
+
+
+def _one_process(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A folder under the shared checkpoint location (never a machine-local temp dir on a cluster)."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}"
+    """A folder under the checkpoint location."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}"

@@ -10,11 +10,11 @@ work grows with the input tables.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .normalize import RawInputs
+
 #: fixture as-of date and label horizon end (fixed values of the fixture definition)
 FIXTURE_CUTOFF = "2001-01-01"
 FIXTURE_HORIZON_END = "2001-04-01"
@@ -111,18 +111,6 @@ def wallet_test_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@dataclass
-class RawInputs:
-    """The five raw inputs, before canonical renaming."""
-
-    transactions: DataFrame
-    balances: DataFrame
-    kyc: DataFrame
-    labels: DataFrame
-    test_ids: DataFrame
-
-
-#: raw column names of the fixture tables (balances keep the fixture's BAL_DATE name)
 def fixture_columns():
     from ..config import ColumnMap
 

@@ -9,7 +9,17 @@ from pyspark.sql import functions as F
 
 from ..config import ACCOUNT, ColumnMap
 from ..functions.exprs import as_date, as_timestamp, cutoff_lit
-from .fixtures import RawInputs
+
+
+@dataclass
+class RawInputs:
+    """The five tables as read, under their raw column names."""
+
+    transactions: DataFrame
+    balances: DataFrame
+    kyc: DataFrame
+    labels: DataFrame
+    test_ids: DataFrame
 
 
 @dataclass

@@ -2,13 +2,15 @@
 
 Everything goes through Spark's readers and the Hadoop FileSystem of the session, so the
 same code reads local folders, HDFS or object stores. Nothing is rewritten on the driver:
-nanosecond timestamps are read as bigint and truncated to microseconds inside the plan.
+nanosecond timestamps are read as bigint and truncated to microseconds inside the plan, and
+what leaves this module as a time is a timestamp, whatever its unit in the files.
 """
 
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # --------------------------------------------------------------------------------------
@@ -35,6 +37,9 @@ INPUT_TOKENS: dict[str, tuple[tuple[str, ...], ...]] = {
 }
 # --------------------------------------------------------------------------------------
 
+#: inputs that may lie in several places, all of which are read
+FACT_INPUTS = ("transactions", "balances")
+
 NANOS_AS_LONG = "spark.sql.legacy.parquet.nanosAsLong"
 
 
@@ -49,6 +54,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder if it is there."""
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
 def _list_recursive(spark: SparkSession, root: str) -> tuple[list[str], list[str]]:
     """(directories, files) under root, through the Hadoop FileSystem (metadata only)."""
     fs, p = _fs(spark, root)
@@ -69,56 +80,191 @@ def _base(path: str) -> str:
 
 
 def resolve_inputs(spark: SparkSession, root: str) -> dict[str, list[str]]:
-    """The five inputs under ``root``: fixed names first, then directory names, then tokens."""
+    """The five inputs under ``root``: fixed names first, then directory names, then tokens.
+
+    A fact table is everything that matches (all token groups); the others are the first match.
+    """
     root = root.rstrip("/")
-    found: dict[str, list[str]] = {}
     listing: tuple[list[str], list[str]] | None = None
+    found: dict[str, list[str]] = {}
     for name, candidates in INPUT_LOCATIONS.items():
-        hits = [f"{root}/{c}" for c in candidates if path_exists(spark, f"{root}/{c}")]
-        if name in ("kyc", "train_labels", "test_ids"):
-            hits = hits[:1]
+        fact = name in FACT_INPUTS
+        hits = [path for path in (f"{root}/{c}" for c in candidates) if path_exists(spark, path)]
         if not hits:
             if listing is None:
                 listing = _list_recursive(spark, root) if path_exists(spark, root) else ([], [])
-            dirs, files = listing
-            names = {n.lower() for n in INPUT_DIR_NAMES.get(name, ())}
-            hits = [d for d in dirs if _base(d).lower() in names]
-            if not hits:
-                suffix = ".csv" if name in ("train_labels", "test_ids") else ".parquet"
-                pool = [f for f in files if f.lower().endswith(suffix)]
-                for tokens in INPUT_TOKENS[name]:
-                    hit = [f for f in pool if all(t in _base(f).lower() for t in tokens)]
-                    if name in ("transactions", "balances"):
-                        hit = [f for f in pool if any(t in f.lower() for t in tokens)]
-                    if hit:
-                        hits = hit if name in ("transactions", "balances") else hit[:1]
-                        break
-        found[name] = hits
+            hits = _by_directory(name, listing[0]) or _by_tokens(name, listing[1])
+        found[name] = hits if fact else hits[:1]
     return found
 
 
-def _nanos_error(err: Exception) -> bool:
+def _by_directory(name: str, dirs: list[str]) -> list[str]:
+    wanted = {n.lower() for n in INPUT_DIR_NAMES.get(name, ())}
+    return [d for d in dirs if _base(d).lower() in wanted]
+
+
+def _by_tokens(name: str, files: list[str]) -> list[str]:
+    """Files named by the tokens: any token anywhere in a fact's path, else all of a group in the file name."""
+    suffix = ".csv" if name in ("train_labels", "test_ids") else ".parquet"
+    pool = [f for f in files if f.lower().endswith(suffix)]
+    if name in FACT_INPUTS:
+        tokens = [t for group in INPUT_TOKENS[name] for t in group]
+        return [f for f in pool if any(t in f.lower() for t in tokens)]
+    for group in INPUT_TOKENS[name]:
+        hit = [f for f in pool if all(t in _base(f).lower() for t in group)]
+        if hit:
+            return hit
+    return []
+
+
+# ----------------------------------------------------------------------------- Parquet
+
+
+def _has_nested_folders(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` holds sub-folders that are no partitions (``name=value``): those need a recursive scan."""
+    fs, p = _fs(spark, path)
+    if not fs.getFileStatus(p).isDirectory():
+        return False
+    names = [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+    return any("=" not in n and not n.startswith(("_", ".")) for n in names)
+
+
+def _reader(spark: SparkSession, options: dict[str, str]):
+    return spark.read.options(**options)
+
+
+def _is_nanos_error(err: Exception) -> bool:
     text = str(err)
     return "PARQUET_TYPE_ILLEGAL" in text or "NANOS" in text.upper()
 
 
-def read_parquet(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """S3 + S5 + S6: many paths, recursive, nanosecond timestamps accepted.
+def _nanos_session(spark: SparkSession) -> SparkSession:
+    """A session beside ``spark`` whose scans take nanoseconds as bigint; ``spark`` keeps its settings."""
+    other = spark.newSession()
+    other.conf.set(NANOS_AS_LONG, "true")
+    return other
+
+
+def _nanos_columns(spark: SparkSession, file: str) -> dict[str, bool]:
+    """Columns of one file whose footer says TIMESTAMP(NANOS); True for instants, False for wall-clock times."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    source = jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(jvm.org.apache.hadoop.fs.Path(file), conf)
+    reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(source)
+    try:
+        fields = reader.getFileMetaData().getSchema().getFields()
+        kinds = {f.getName(): str(f.getLogicalTypeAnnotation()) for f in fields}
+        return {name: "true" in kind for name, kind in kinds.items() if "NANOS" in kind}
+    finally:
+        reader.close()
 
-    A TIMESTAMP(NANOS) column makes the plain read fail; the read is then repeated with
-    ``nanosAsLong`` so the column arrives as bigint nanoseconds, which the canonical mapping
-    truncates to microseconds (``div 1000``, like a cast that drops the sub-microsecond part).
+
+def _units(spark: SparkSession, nanos: SparkSession, paths: list[str], options: dict[str, str], root: str | None):
+    """Yields ``(paths, holds nanoseconds, options)``: parts of ``paths`` with one time unit each.
+
+    Spark merges the footers of a part in a job of its own. A part that holds both units is
+    halved, so a folder whose format changed once takes about log2(files) such jobs.
     """
-    reader = spark.read.option("recursiveFileLookup", "true")
+    merged = options | {"mergeSchema": "true"}
     try:
-        df = reader.parquet(*paths)
-        df.schema  # noqa: B018 - forces schema resolution here
-        return df
+        _reader(spark, merged).parquet(*paths).schema  # noqa: B018 - resolves the schema
     except AnalysisException as err:
-        if not _nanos_error(err):
+        if not _is_nanos_error(err):
             raise
-    spark.conf.set(NANOS_AS_LONG, "true")
-    return spark.read.option("recursiveFileLookup", "true").parquet(*paths)
+    except Exception as err:  # a footer that fails inside the merging job
+        if not _is_nanos_error(err):
+            # other differences between files than the unit are the plain read's business
+            yield paths, False, options
+            return
+    else:
+        yield paths, False, options
+        return
+    files = paths
+    try:
+        _reader(nanos, merged).parquet(*paths).schema  # noqa: B018
+        mixed = False
+    except Exception:
+        mixed = True
+    if not mixed:
+        yield paths, True, options
+        return
+    if root is None:
+        files = [f for path in paths for f in _parquet_files(spark, path)]
+        root = paths[0] if len(paths) == 1 else None
+        if root and "recursiveFileLookup" not in options and files != paths:
+            options = options | {"basePath": root}
+        root = root or ""
+    if len(files) == 1:
+        yield files, True, options
+        return
+    half = len(files) // 2
+    yield from _units(spark, nanos, files[:half], options, root)
+    yield from _units(spark, nanos, files[half:], options, root)
+
+
+def _parquet_files(spark: SparkSession, path: str) -> list[str]:
+    fs, p = _fs(spark, path)
+    if not fs.getFileStatus(p).isDirectory():
+        return [path]
+    return [f for f in _list_recursive(spark, path)[1] if not _base(f).startswith(("_", "."))]
+
+
+def _micros(column: str, instant: bool) -> Column:
+    """A nanosecond column as a timestamp, cut to microseconds like a cast; wall-clock times stay such."""
+    if instant:
+        return F.timestamp_micros(F.expr(f"`{column}` div 1000"))
+    seconds = f"CAST(CAST(`{column}` div 1000 AS DECIMAL(18, 0)) / 1000000 AS DECIMAL(18, 6))"
+    return F.expr(f"TIMESTAMP_NTZ'1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, {seconds})")
+
+
+def _before(spark: SparkSession, df: DataFrame, column: str, cutoff_date: str, instant: bool | None) -> DataFrame:
+    """Rows before the cutoff's midnight, as a comparison on the stored column, which the scan can prune by.
+
+    ``instant`` is None for a column that is not in nanoseconds.
+    """
+    kind = df.schema[column].dataType
+    if instant is not None:
+        midnight = f"unix_micros(CAST(DATE'{cutoff_date}' AS TIMESTAMP))" if instant else f"unix_date(DATE'{cutoff_date}') * 86400000000L"
+        return df.where(F.col(column) < F.lit(spark.sql(f"SELECT {midnight}").first()[0] * 1000))
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return df.where(F.col(column) < F.lit(cutoff_date).cast("date").cast(kind))
+    return df
+
+
+def read_parquet(spark: SparkSession, paths: list[str], before: dict[str, str] | None = None) -> DataFrame:
+    """S3 + S5 + S6: Parquet folders and files, partitioned or nested, with any time unit.
+
+    Partition columns are kept and prune the scan; a folder with plain sub-folders is read
+    recursively. Nanosecond columns come back as timestamps, cut to microseconds. ``before``
+    maps a time column to a date: rows at or after it are left out in the scan where the stored
+    type allows, so this is no more than an early part of the as-of cut.
+    """
+    nanos = _nanos_session(spark)
+    parts = []
+    for nested in (False, True):
+        group = [p for p in paths if _has_nested_folders(spark, p) == nested]
+        if not group:
+            continue
+        options = {"recursiveFileLookup": "true"} if nested else {}
+        for some, in_nanos, opts in _units(spark, nanos, group, options, None):
+            part = _reader(nanos if in_nanos else spark, opts).parquet(*some)
+            stored = _nanos_columns(spark, _parquet_files(spark, some[0])[0]) if in_nanos else {}
+            for column, date in (before or {}).items():
+                if column in part.columns:
+                    part = _before(spark, part, column, date, stored.get(column))
+            micros = {c: _micros(c, instant) for c, instant in stored.items() if c in part.columns}
+            if in_nanos:
+                part = part.withColumns(micros) if micros else part
+                # planned and run by the caller's session; only the scan keeps the other one's setting
+                part = spark.createDataFrame([], part.schema).unionByName(part)
+            parts.append(part)
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part, allowMissingColumns=True)
+    return out
+
+
+# ----------------------------------------------------------------------------- CSV, dispatch
 
 
 def read_csv(spark: SparkSession, paths: list[str], schema: T.StructType | None = None) -> DataFrame:
@@ -128,24 +274,28 @@ def read_csv(spark: SparkSession, paths: list[str], schema: T.StructType | None
     return reader.csv(paths)
 
 
+def input_format(spark: SparkSession, path: str) -> str:
+    """The format that a path's name, or else its being a folder, stands for."""
+    by_suffix = {".csv": "csv", ".parquet": "parquet"}
+    name = path.lower().rstrip("/")
+    known = next((kind for suffix, kind in by_suffix.items() if name.endswith(suffix)), None)
+    if known:
+        return known
+    fs, p = _fs(spark, path)
+    return "parquet" if fs.exists(p) and fs.getFileStatus(p).isDirectory() else "csv"
+
+
 def read_any(
     spark: SparkSession,
     paths: list[str] | str,
-    fmt_hint: str | None = None,
-    csv_schema: T.StructType | None = None,
+    kind: str | None = None,
+    schema: T.StructType | None = None,
+    before: dict[str, str] | None = None,
 ) -> DataFrame:
-    """CSV by hint or suffix, Parquet by hint, suffix or directory, else CSV."""
-    path_list = [paths] if isinstance(paths, str) else list(paths)
-    if not path_list:
-        raise FileNotFoundError("No input paths found.")
-    first = path_list[0].lower().rstrip("/")
-    if fmt_hint == "csv" or first.endswith(".csv"):
-        return read_csv(spark, path_list, csv_schema)
-    if fmt_hint == "parquet" or first.endswith(".parquet") or _is_dir(spark, path_list[0]):
-        return read_parquet(spark, path_list)
-    return read_csv(spark, path_list, csv_schema)
-
-
-def _is_dir(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
-    return bool(fs.exists(p) and fs.getFileStatus(p).isDirectory())
+    """Parquet or CSV (``schema`` for CSV only); the first path decides unless ``kind`` is given."""
+    every = [paths] if isinstance(paths, str) else list(paths)
+    if not every:
+        raise FileNotFoundError("an input was given no path to read")
+    if (kind or input_format(spark, every[0])) == "parquet":
+        return read_parquet(spark, every, before)
+    return read_csv(spark, every, schema)

@@ -14,3 +14,31 @@ def test_flags_map_to_config_and_column_names():
 def test_defaults():
     cfg = parse([])
     assert cfg.reuse_feature_store is False and cfg.train_sample_frac == 1.0 and cfg.random_seed == 42
+
+
+def test_a_cluster_run_does_not_start_at_spark_s_200_partitions():
+    from ledgerscope.session import initial_partitions
+
+    assert parse([]).shuffle_partitions == 800 and parse(["--shuffle-partitions", "40000"]).shuffle_partitions == 40_000
+    assert initial_partitions(10 << 40) == 40_960 and initial_partitions(1) == 800
+
+
+def test_no_machine_local_checkpoints_on_a_cluster():
+    import pytest
+
+    from ledgerscope.session import ensure_checkpoint_dir
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())

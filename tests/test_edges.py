@@ -138,16 +138,3 @@ def test_kyc_without_optional_columns(spark):
     prepared = L.prepare_labels(labels, kyc)
     with pytest.raises(L.NoSplitColumn):
         L.split_column(prepared)
-
-
-def test_direction_slice_and_prefixing_round_trip(spark):
-    from ledgerscope.operators.transactions import direction_features, feature_names, prefix_columns
-
-    rows = [(1, 2, "2024-03-30 00:00:00", 3.0, "P2P"), (2, 1, "2024-03-20 00:00:00", 4.0, "bill")]
-    wide = transaction_features(trx(spark, rows), CUT, pop(spark, [1, 2, 3]))
-    out = direction_features(wide, "out")
-    assert out.columns == ["ACCOUNT_ID"] + feature_names() and out.count() == 2
-    back = prefix_columns(out, "out")
-    assert back.columns == ["ACCOUNT_ID"] + feature_names("out")
-    cols = [c for c, t in back.dtypes if t != "double"]
-    assert back.select(cols).exceptAll(wide.select(cols)).count() == 0

@@ -57,7 +57,7 @@ def test_end_to_end_run_writes_every_output(spark, tmp_path):
     root = str(tmp_path)
     write_fixture_layout(spark, SMALL, f"{root}/data")
     cfg = catalog.fixture_config(data_dir=f"{root}/data", work_dir=f"{root}/work", output_dir=f"{root}/out")
-    res = run_pipeline(spark, cfg, catalog.LABELS_SCHEMA, catalog.TEST_SCHEMA, max_depth_cap=4)
+    res = run_pipeline(spark, cfg, catalog.LABELS_SCHEMA, catalog.TEST_SCHEMA)
     preds = spark.read.option("header", True).csv(res.paths["predictions"])
     tests = spark.read.option("header", True).schema(catalog.TEST_SCHEMA).csv(f"{root}/data/test.csv")
     expected = tests.join(res.features.select("ACCOUNT_ID"), "ACCOUNT_ID", "left_semi").count()
@@ -72,7 +72,7 @@ def test_end_to_end_run_writes_every_output(spark, tmp_path):
     assert GBTClassificationModel.load(res.paths["model"]).getNumTrees >= 1
     # a second run reuses the stamped store
     cfg.reuse_feature_store = True
-    again = run_pipeline(spark, cfg, catalog.LABELS_SCHEMA, catalog.TEST_SCHEMA, max_depth_cap=4, summary=False)
+    again = run_pipeline(spark, cfg, catalog.LABELS_SCHEMA, catalog.TEST_SCHEMA, summary=False)
     assert again.features.count() == res.features.count()
 
 
@@ -88,3 +88,57 @@ def test_csv_labels_with_inferred_types_join_parquet_keys(spark, tmp_path):
     tests = canonical_test_ids(read_any(spark, [f"{root}/test.csv"]), ColumnMap())
     assert dict(labels.dtypes)["ACCOUNT_ID"] in ("int", "bigint")
     assert sorted(r[0] for r in population_ids(labels, tests, kyc).collect()) == [1, 3]
+
+
+def _write(path, values, unit, name="part-0.parquet"):
+    os.makedirs(path, exist_ok=True)
+    n = len(values)
+    pq.write_table(pa.table({
+        "SRC_ACCOUNT": pa.array(range(n), pa.int64()), "DST_ACCOUNT": pa.array(range(n), pa.int64()),
+        "TRX_DATETIME": pa.array(values, pa.timestamp(unit, tz="UTC")), "TRX_AMT": pa.array([1.0] * n), "TRX_TYPE": pa.array(["P2P"] * n),
+    }), f"{path}/{name}")
+
+
+def test_nanosecond_and_microsecond_files_mix_and_the_session_keeps_its_settings(spark, tmp_path):
+    from ledgerscope.sources.readers import NANOS_AS_LONG, read_parquet
+
+    us = 1_700_000_000_000_000
+    for i in range(5):
+        _write(str(tmp_path), [us + i], "us", f"a{i}.parquet")
+        _write(str(tmp_path), [(us + 100 + i) * 1000 + 7], "ns", f"b{i}.parquet")
+    before = spark.conf.get(NANOS_AS_LONG)
+    df = read_parquet(spark, [str(tmp_path)])
+    assert sorted(r[0] for r in df.select(F.unix_micros("TRX_DATETIME")).collect()) == [us + i for i in range(5)] + [us + 100 + i for i in range(5)]
+    assert spark.conf.get(NANOS_AS_LONG) == before
+
+
+def test_one_instant_has_one_day_whatever_its_unit(spark, tmp_path):
+    instant = 1_711_911_600  # 2024-03-31 19:00 UTC, 2024-04-01 00:30 in Kolkata
+    for unit, scale in (("us", 10**6), ("ns", 10**9)):
+        _write(str(tmp_path / unit), [instant * scale], unit)
+    seconds = spark.createDataFrame([(1, 2, instant, 1.0, "P2P")], "SRC_ACCOUNT long, DST_ACCOUNT long, TRX_DATETIME long, TRX_AMT double, TRX_TYPE string")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz, day in (("UTC", dt.date(2024, 3, 31)), ("Asia/Kolkata", dt.date(2024, 4, 1))):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            frames = [read_any(spark, [str(tmp_path / u)]) for u in ("us", "ns")] + [seconds]
+            assert [canonical_transactions(f, ColumnMap()).first()["TXN_DATE"] for f in frames] == [day] * 3
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_nested_folders_and_partitions(spark, tmp_path):
+    df = spark.createDataFrame([(1, "2024-01-01"), (2, "2024-01-02")], "v long, day string")
+    df.write.partitionBy("day").parquet(str(tmp_path / "parts"))
+    df.where("v = 1").write.parquet(str(tmp_path / "nested/a"))
+    df.where("v = 2").write.parquet(str(tmp_path / "nested/b/c"))
+    read = read_any(spark, [str(tmp_path / "parts")], "parquet")
+    assert sorted(map(tuple, read.selectExpr("v", "cast(day as string)").collect())) == [(1, "2024-01-01"), (2, "2024-01-02")]
+    assert read_any(spark, [str(tmp_path / "nested")], "parquet").count() == 2
+
+
+def test_every_token_group_is_found(spark, tmp_path):
+    df = spark.createDataFrame([(1,)], "ACCOUNT_ID long")
+    for name in ("trx_2023", "transaction_2024"):
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    assert {os.path.basename(os.path.dirname(p)) for p in resolve_inputs(spark, str(tmp_path))["transactions"]} == {"trx_2023.parquet", "transaction_2024.parquet"}

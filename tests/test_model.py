@@ -54,7 +54,7 @@ def test_planted_signal_is_learned(spark, store):
     )
     cfg = PipelineConfig(cutoff_date=catalog.CUTOFF, valid_frac=0.2)
     m = labelled_matrix(feats, planted, inp.kyc, cfg)
-    model, auc = fit_with_validation(m.fit, GBTParams(maxDepth=3, minInstancesPerNode=5), 10, 42)
+    model, auc = fit_with_validation(m.fit, GBTParams(maxDepth=3, minInstancesPerNode=5), 200, 5, 42)
     assert model.getNumTrees >= 1
     assert auc > 0.8
 
@@ -118,3 +118,80 @@ def test_bucketed_prefix_path_gives_the_same_metrics(spark, store):
         a = top_fraction_metrics(scored, 0.1).first()
         b = top_fraction_metrics(scored, 0.1, rows_per_bucket=7).first()
         assert a == b
+
+
+def test_a_fit_goes_on_after_one_bad_round_and_ends_by_patience(spark, monkeypatch):
+    """The loss rises once, falls to its lowest in round 9 and rises for good: nine rounds are kept."""
+    from ledgerscope.model import train as T
+
+    losses = [1.0, 0.8, 0.9, 0.7, 0.75, 0.6, 0.65, 0.55, 0.5] + [0.6 + i / 100 for i in range(40)]
+    fits = []
+
+    class Fitted:
+        def __init__(self, rounds):
+            self.getNumTrees = rounds
+
+        def evaluateEachIteration(self, valid):
+            return losses[: self.getNumTrees]
+
+    class Booster:
+        def __init__(self, rounds):
+            self.rounds = rounds
+
+        def fit(self, train):
+            fits.append(self.rounds)
+            return Fitted(self.rounds)
+
+    monkeypatch.setattr(T, "gbt", lambda params, rounds, seed: Booster(rounds))
+    monkeypatch.setattr(T, "positive_probability", lambda model, df: df.selectExpr("CHURN", "0.5D AS score"))
+    matrix = spark.createDataFrame([(1, True), (0, True), (1, False)], "CHURN int, is_valid boolean")
+    model, auc = T.fit_with_validation(matrix, GBTParams(), 5_000, 3, 1)
+    assert model.getNumTrees == 9 and auc == 0.5
+    assert fits == [6, 12, 9]  # doubled until patience ran out, then the prefix
+
+
+def test_the_search_draws_from_the_whole_published_ranges():
+    import numpy as np
+
+    from ledgerscope.model.train import sample_params
+
+    drawn = [sample_params(np.random.default_rng(i), (0.005, 0.08)) for i in range(400)]
+    assert {p.maxDepth for p in drawn} == set(range(4, 15))
+    assert min(p.stepSize for p in drawn) < 0.006 and max(p.stepSize for p in drawn) > 0.07
+    defaults = PipelineConfig()
+    assert (defaults.search_trials, defaults.search_patience, defaults.final_patience) == (50, 150, 250)
+
+
+def test_tied_big_keys_do_not_depend_on_row_order(spark):
+    rows = [((1 << 60) + i, int(i < 5), 1.0) for i in range(20)]
+    for order in (rows, rows[::-1], rows[7:] + rows[:7]):
+        df = spark.createDataFrame(order, "ACCOUNT_ID long, CHURN int, score double").repartition(3)
+        for bucket in (1_000_000, 3):
+            assert top_fraction_metrics(df, 0.25, rows_per_bucket=bucket).first()["true_positives"] == 5
+    named = spark.createDataFrame([(f"k{i:02d}", int(i < 5), 1.0) for i in range(20)], "ACCOUNT_ID string, CHURN int, score double")
+    assert top_fraction_metrics(named, 0.25).first()["true_positives"] == 5
+
+
+def test_rows_without_a_score_rank_last_in_both_metrics(spark):
+    rows = [(i, 1, 0.9) for i in range(5)] + [(i, 0, 0.1) for i in range(5, 20)] + [(i, 0, None) for i in range(20, 23)] + [(23, 0, float("nan"))]
+    df = spark.createDataFrame(rows, "ACCOUNT_ID long, CHURN int, score double")
+    assert top_fraction_metrics(df, 0.2).first()["precision"] == 1.0
+    assert roc_auc(df).first().asDict() == {"auc": 1.0, "positives": 5, "negatives": 19}
+
+
+def test_a_failed_store_write_leaves_no_stamp(spark, tmp_path):
+    from ledgerscope.sources.sinks import feature_store_exists
+
+    path = str(tmp_path / "fs")
+    write_feature_store(spark.createDataFrame([(1, 2.0)], "ACCOUNT_ID long, x double"), path, "2024-01-01")
+    bad = spark.createDataFrame([(1, 2.0)], "ACCOUNT_ID long, x double").withColumn("x", F.raise_error(F.lit("lost")).cast("double"))
+    with pytest.raises(Exception, match="lost"):
+        write_feature_store(bad, path, "2024-01-01")
+    assert not feature_store_exists(spark, path)
+
+
+def test_the_fill_leaves_the_key_alone(spark):
+    from ledgerscope.operators.assemble import fill_missing
+
+    row = fill_missing(spark.createDataFrame([(None, None, None)], "ACCOUNT_ID long, gap_days double, x double")).first()
+    assert (row["ACCOUNT_ID"], row["gap_days"], row["x"]) == (None, 9999.0, 0.0)

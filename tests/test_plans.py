@@ -58,3 +58,37 @@ def test_whole_table_identical_with_and_without_population_broadcast(spark):
     b = round_doubles(build_features(inp, catalog.CUTOFF, broadcast_max_rows=0).features)
     assert a.count() == b.count()
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_the_cutoff_prunes_partitions_and_nanosecond_scans(spark, tmp_path):
+    import os
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from ledgerscope.sources.readers import read_parquet
+
+    os.makedirs(tmp_path / "ns")
+    pq.write_table(pa.table({"t": pa.array([1_700_000_000_000_000_000], pa.timestamp("ns", tz="UTC"))}), tmp_path / "ns/p.parquet")
+    p = plan_of(read_parquet(spark, [str(tmp_path / "ns")], before={"t": "2024-04-01"}))
+    assert "LessThan(t,1711929600000000000)" in p
+    spark.range(4).selectExpr("id", "date_add(date'2024-03-30', CAST(id AS INT)) AS day").write.partitionBy("day").parquet(str(tmp_path / "parts"))
+    df = read_parquet(spark, [str(tmp_path / "parts")], before={"day": "2024-04-01"})
+    assert "PartitionFilters: [isnotnull(day" in plan_of(df) and df.count() == 2
+
+
+def test_a_large_population_restricts_rows_below_the_first_aggregation(spark):
+    inp = catalog.fixture(spark, SMALL)
+    large = Population.of(population_ids(inp.labels, inp.test_ids, inp.kyc), broadcast_max_rows=1)
+    t = transaction_features(inp.transactions, catalog.CUTOFF, large)
+    plan = t._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    depth = {i: len(line) - len(line.lstrip(" :+-")) for i, line in enumerate(plan)}
+    semi = [i for i, line in enumerate(plan) if "LeftSemi" in line]
+    aggregates = [i for i, line in enumerate(plan) if "Aggregate [" in line]
+    assert semi and all(any(a < i and depth[a] < depth[i] for a in aggregates) for i in semi)
+
+
+def test_keys_are_bounded_by_bytes_too(spark):
+    ids = spark.createDataFrame([("k" * 1000,)], "ACCOUNT_ID string")
+    assert not Population.of(ids, broadcast_max_bytes=999).broadcastable
+    assert Population.of(ids, broadcast_max_bytes=1000).broadcastable
