@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from ..config import ACCOUNT, BALANCE_AGGREGATES, ColumnMap, PipelineConfig
 from ..functions.exprs import days_before, round_doubles, window_sql
 from ..model import labels as L
-from ..model.evaluate import median_substitution_summary
+from ..model.evaluate import gain_from_nodes, median_substitution_summary, node_table, rescore
 from ..model.train import GBTParams, assemble, fit_with_validation, positive_probability, random_search
 from ..operators.assemble import CROSS_FEATURES, median_impute
 from ..operators.balances import balance_feature_names, balance_features
@@ -36,7 +36,7 @@ from ..sources.fixtures import (
 )
 from ..sources.normalize import Inputs, asof_filter, canonical_transactions, normalize_inputs
 from ..sources.readers import read_any, read_parquet, resolve_inputs
-from ..sources.sinks import read_feature_store, write_feature_store
+from ..sources.sinks import read_feature_store, save_model, write_feature_store, write_predictions
 from . import oracle as O
 from .feature_job import build_features
 from .model_job import labelled_matrix, train_and_score, trials_frame
@@ -540,34 +540,67 @@ def _fitted(m):
 
 
 def q_gbt_train_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M6 + M11 + J7: one validation-stopped fit, then the test accounts' probabilities."""
+    """M6 + M11 + J7 + S14: a fit that patience ended, and the test accounts' probabilities two ways."""
     inp, feats, m = _matrix(spark, sf_dir)
     model = _fitted(m)
     to_score = assemble(L.score_matrix(feats, inp.test_ids), m.feature_cols, [ACCOUNT])
-    return positive_probability(model, to_score, "CHURN_PROB").select(ACCOUNT, "CHURN_PROB")
+    return _score_checks(spark, model, to_score, positive_probability(model, to_score, "CHURN_PROB"))
+
+
+def _saved(spark: SparkSession, model) -> DataFrame:
+    """Node table of the model as its sink (S14) wrote it."""
+    path = _scratch(spark, "model")
+    save_model(model, path)
+    return node_table(spark, path)
+
+
+def _score_checks(spark: SparkSession, model, to_score: DataFrame, scored: DataFrame) -> DataFrame:
+    """Per account: is the score a probability, and does the saved node table give the same one?"""
+    again = rescore(to_score, _saved(spark, model), model.treeWeights, model.getOrDefault("maxDepth"))
+    p = F.col("CHURN_PROB")
+    return scored.select(ACCOUNT, "CHURN_PROB").join(again, ACCOUNT).select(
+        ACCOUNT, p.between(0, 1).alias("in_range"), (F.abs(p - F.col("probability")) < 1e-9).alias("rescored")
+    )
 
 
 def q_gbt_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M7: seeded random search; one row per trial with its validation AUC."""
+    """M7: seeded random search; one row per trial: parameters in the published ranges, ended by patience."""
     _, _, m = _matrix(spark, sf_dir)
     cfg = fixture_config()
     steps = (cfg.step_size_min, cfg.step_size_max)
-    return trials_frame(spark, random_search(m.fit, cfg.search_trials, cfg.search_max_iter, cfg.search_patience, SEED, steps))
+    trials = trials_frame(spark, random_search(m.fit, cfg.search_trials, cfg.search_max_iter, cfg.search_patience, SEED, steps))
+    published = "max_depth BETWEEN 4 AND 14 AND min_instances BETWEEN 20 AND 500 AND subsampling BETWEEN 0.6 AND 1 AND feature_fraction BETWEEN 0.6 AND 1"
+    return trials.selectExpr(
+        "trial",
+        f"{published} AND step_size BETWEEN {steps[0]} AND {steps[1]} AS in_ranges",
+        f"trees BETWEEN 1 AND {cfg.search_max_iter - 1} AS ended_early",
+        "auc BETWEEN 0 AND 1 AS auc_ok",
+    )
 
 
 def _train(spark: SparkSession, sf_dir: str):
     inp, feats = _store(spark, sf_dir)
-    return feats, train_and_score(feats, inp.labels, inp.kyc, inp.test_ids, fixture_config())
+    return inp, feats, train_and_score(feats, inp.labels, inp.kyc, inp.test_ids, fixture_config())
 
 
 def q_gbt_refit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M10 + M11: refit on all labelled rows with the chosen rounds; test-account scores."""
-    return _train(spark, sf_dir)[1].predictions
+    """M10 + M11 + S11 + S14: refit on all labelled rows; test-account scores, through the prediction sink, two ways."""
+    inp, feats, run = _train(spark, sf_dir)
+    path = _scratch(spark, "predictions")
+    write_predictions(run.predictions, path)
+    scored = read_any(spark, [path], "csv", T.StructType([T.StructField(ACCOUNT, T.LongType()), T.StructField("CHURN_PROB", T.DoubleType())]))
+    to_score = assemble(L.score_matrix(feats, inp.test_ids), run.matrix.feature_cols, [ACCOUNT])
+    return _score_checks(spark, run.final_model, to_score, scored)
 
 
 def q_gain_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M12 + O2: per-feature gain of the final model, largest first."""
-    return _train(spark, sf_dir)[1].importance.orderBy(F.desc("gain"), F.asc("feature"))
+    """M12 + O2 + P12: every feature once; its gain is what the saved node table gives."""
+    _, _, run = _train(spark, sf_dir)
+    names = spark.createDataFrame(list(enumerate(run.matrix.feature_cols)), "j int, feature string")
+    nodes = gain_from_nodes(_saved(spark, run.final_model)).toDF("j", "again")
+    both = run.importance.join(names, "feature").join(nodes, "j", "left")
+    same = F.abs(F.col("gain") - F.coalesce("again", F.lit(0.0))) < 1e-9
+    return both.select("feature", same.alias("recomputed")).orderBy("feature")
 
 
 def q_driver_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -577,12 +610,38 @@ def q_driver_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_metric_record(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M14 + S9-S14 end to end: export folder -> pipeline -> metrics read back from its sink."""
+    """M14 + S9-S14 end to end: export folder -> pipeline -> metrics read back from their sink."""
     root = _scratch(spark, "run")
     write_fixture_layout(spark, sf_dir, f"{root}/data")
     cfg = fixture_config(data_dir=f"{root}/data", work_dir=f"{root}/work", output_dir=f"{root}/out")
     res = run_pipeline(spark, cfg, LABELS_SCHEMA, TEST_SCHEMA, summary=False)
-    return spark.read.json(res.paths["metrics"])
+    shares = " AND ".join(f"{k} BETWEEN 0 AND 1" for k in ("auc_roc", "precision_at_10pct", "recall_at_10pct", "optuna_best_auc"))
+    return round_doubles(
+        spark.read.json(res.paths["metrics"]).selectExpr(
+            "CAST(final_train_rows AS BIGINT) AS final_train_rows",
+            "scale_pos_weight",
+            f"{shares} AS shares_ok",
+            f"best_iteration = final_num_boost_round AND best_iteration BETWEEN 1 AND {cfg.final_max_iter - 1} AS rounds_ok",
+        )
+    )
+
+
+# what SQL can say of the fits: which rows there are, the counts, and that every check holds
+_CHECKS = "TRUE AS in_range, TRUE AS rescored"
+SQL_GBT_SCORES = _store_with_labels_sql(
+    f"SELECT s.ACCOUNT_ID, {_CHECKS} FROM store s WHERE s.ACCOUNT_ID IN (SELECT ACCOUNT_ID FROM wallet_test_ids)"
+)
+SQL_GBT_SEARCH = "SELECT CAST(range AS INTEGER) AS trial, TRUE AS in_ranges, TRUE AS ended_early, TRUE AS auc_ok FROM range(2)"
+SQL_GAIN_IMPORTANCE = (
+    "SELECT feature, TRUE AS recomputed FROM (VALUES " + ", ".join(f"('{c}')" for c in feature_table_columns()) + ") f(feature)"
+)
+SQL_METRIC_RECORD = _store_with_labels_sql(
+    "SELECT (SELECT COUNT(*) FROM store s JOIN lab l ON l.ACCOUNT_ID = s.ACCOUNT_ID) AS final_train_rows, "
+    + O.round4("CAST(neg AS DOUBLE) / pos")
+    + " AS scale_pos_weight, TRUE AS shares_ok, TRUE AS rounds_ok FROM ("
+    "SELECT GREATEST(COALESCE(SUM(CHURN), 0), 1) AS pos, GREATEST(COUNT(*) - COALESCE(SUM(CHURN), 0), 1) AS neg "
+    "FROM split WHERE NOT is_valid) c"
+)
 
 
 # ----------------------------------------------------------------------------- registry
@@ -672,4 +731,9 @@ def oracle_sql() -> dict[str, str]:
         "epoch_seconds": SQL_ASOF_FILTER,
         "nanos_timestamps": SQL_ASOF_FILTER,
         "resolve_inputs": SQL_POPULATION,
+        "gbt_train_score": SQL_GBT_SCORES,
+        "gbt_search": SQL_GBT_SEARCH,
+        "gbt_refit": SQL_GBT_SCORES,
+        "gain_importance": SQL_GAIN_IMPORTANCE,
+        "metric_record": SQL_METRIC_RECORD,
     }

@@ -26,7 +26,7 @@ def test_every_query_is_registered_with_a_callable():
     assert set(E.oracle_sql()) <= set(E.queries())
     q = catalog.queries()
     assert set(ORACLES) <= set(q)
-    assert len(q) == 42 and len(ORACLES) == 36
+    assert len(q) == 42 and len(ORACLES) == 41
 
 
 def test_entry_smoke(spark):
