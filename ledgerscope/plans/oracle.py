@@ -8,7 +8,8 @@ only the driver's pre-registered raw tables: the wallet tables are inlined as CT
 
 from __future__ import annotations
 
-from ..config import (
+from ..sources.fixtures import FIXTURE_CUTOFF, fixture_ctes
+from .oracle_definitions import (
     ACTIVE_DAY_RATIO_DAYS,
     ACTIVE_DAY_WINDOWS,
     BALANCE_AGGREGATES,
@@ -21,7 +22,6 @@ from ..config import (
     TXN_TYPES_WITH_RECENCY,
     TXN_WINDOWS,
 )
-from ..sources.fixtures import FIXTURE_CUTOFF, fixture_ctes
 
 TYPE_NAMES = tuple(n for n, _ in TXN_TYPE_PATTERNS)
 
