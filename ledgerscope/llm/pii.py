@@ -131,13 +131,18 @@ _BARE_DOT = re.compile(r"(?<![ \t])[ \t]++dot[ \t]++", re.I)
 _DOT_NUMBERS = re.compile(r"(?<![0-9.])[0-9]{1,3}(?:[ \t]+dot[ \t]+[0-9]{1,3}){3}(?![0-9])", re.I)
 
 _TRACE_CHARS = re.compile(
-    "[\u00a0\u0131\u0251\u0261\u00ad\u00b2\u00b3\u00b9\u0370-\u052f\u1d0f\u2000-\u200f\u2010-\u2015\u2024\u202f\u2060-\u2064\u2070-\u2089"
+    "[\u00a0\u0131\u0251\u0261\u00ad\u00b2\u00b3\u00b9\u0370-\u052f\u0660-\u0669\u06f0-\u06f9\u0966-\u096f\u1d0f\u2000-\u200f\u2010-\u2015\u2024\u202f\u2060-\u2064\u2070-\u2089"
     "\u2212\u2460-\u24ff\u3000\u3002\ufe00-\ufe0f\ufeff\uff01-\uff5e\U0001d400-\U0001d7ff]"
 )
 _INVISIBLE = re.compile("[\u00ad\u200b-\u200f\u2060-\u2064\ufe00-\ufe0f\ufeff]")
 _BLANK = re.compile("[\u00a0\u2000-\u200a\u202f\u3000]")
 
 
+#: a long run of digits and the letters that look like some
+_LETTER_DIGITS = re.compile(r"(?<![\w+])\+?[0-9OoIl](?:[ ().-]{0,2}[0-9OoIl])++(?!\w)")
+_LETTER_AMONG_DIGITS = re.compile(r"[0-9][ ().-]{0,2}[OoIl][ ().0-9-]")
+
+
 class Mapped:
     """A rewritten text; character i stands for source[start[i]:end[i]], ``new[i]`` if rewritten."""
 
@@ -178,12 +183,24 @@ def _fold_characters(m: Mapped) -> Mapped:
             to = " "
         else:
             to = HOMOGLYPHS.get(c) or unicodedata.normalize("NFKC", c)
-            to = to if to.isascii() else c
+            if not to.isascii():
+                digit = unicodedata.decimal(c, None)
+                to = c if digit is None else str(digit)
         if to != c:
             edits.append((hit.start(), hit.end(), to))
     return m.replaced(edits)
 
 
+def _letters_for_digits(m: Mapped) -> Mapped:
+    """O and l among many digits become 0 and 1."""
+    edits = []
+    for run in _LETTER_DIGITS.finditer(m.text):
+        letters = [k for k in range(*run.span()) if m.text[k] in "OoIl"]
+        if letters and len(_digits(run[0])) >= max(7, 2 * len(letters)):
+            edits += [(k, k + 1, "0" if m.text[k] in "Oo" else "1") for k in letters]
+    return m.replaced(edits)
+
+
 def _spelled_digits(m: Mapped) -> Mapped:
     edits = []
     for run in _SPELLED_RUN.finditer(m.text):
@@ -250,9 +267,12 @@ def find(text: str) -> tuple[list[Span], list[Span]]:
     """Base spans and all spans, both by kind, then by place."""
     base = detect(text)
     folds = _has_traces(text)
-    if not (folds or _has_number_words(text) or _has_at_or_dot(text)):
+    letters = bool(_DIGIT.search(text) and _LETTER_AMONG_DIGITS.search(text))
+    if not (folds or letters or _has_number_words(text) or _has_at_or_dot(text)):
         return base, base
     m = _fold_characters(Mapped(text)) if folds else Mapped(text)
+    if letters:
+        m = _letters_for_digits(m)
     if _has_number_words(m.text):
         m = _spelled_digits(m)
     if _has_at_or_dot(m.text):

@@ -401,6 +401,9 @@ DISGUISED = [
     ("４１１１１１１１１１１１１１１１", "card"),
     ("four one one one one one one one one one one one one one one one", "card"),
     ("plus one five five five zero one two three four five six", "phone"),
+    ("٤١١١١١١١١١١١١١١١", "card"),
+    ("411l 1111 1l11 1111", "card"),
+    ("+1 (O17) 555-77l3", "phone"),
 ]
 
 
@@ -415,7 +418,7 @@ def test_disguises_are_seen_in_place(text, kind):
     assert pii.mask(whole, spans).endswith(f"<{kind}> , and so on")
 
 
-@pytest.mark.parametrize("text", ["meet me at noon. dot", "at the dot com", "one two three four apples", "look at example.com", "un dos tres", "Привет, как дела"])
+@pytest.mark.parametrize("text", ["meet me at noon. dot", "at the dot com", "one two three four apples", "look at example.com", "un dos tres", "Привет, как дела", "1 l of milk, 2 l of oil", "Ol 1 lo"])
 def test_plain_texts_are_left_alone(text):
     assert pii.find(text) == ([], [])
 
