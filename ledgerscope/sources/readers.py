@@ -289,13 +289,13 @@ def read_any(
     spark: SparkSession,
     paths: list[str] | str,
     kind: str | None = None,
-    schema: T.StructType | None = None,
+    csv_schema: T.StructType | None = None,
     before: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Parquet or CSV (``schema`` for CSV only); the first path decides unless ``kind`` is given."""
+    """Parquet or CSV (``csv_schema`` for CSV only); the first path decides unless ``kind`` is given."""
     every = [paths] if isinstance(paths, str) else list(paths)
     if not every:
         raise FileNotFoundError("an input was given no path to read")
     if (kind or input_format(spark, every[0])) == "parquet":
         return read_parquet(spark, every, before)
-    return read_csv(spark, every, schema)
+    return read_csv(spark, every, csv_schema)
