@@ -59,6 +59,13 @@ def map_arrow(df: DataFrame, function: Callable, schema) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+def _values(column: pa.Array) -> list:
+    """The column as Python values; bytes by way of numpy, which is many times faster."""
+    if pa.types.is_binary(column.type) and not column.null_count:
+        return column.to_numpy(zero_copy_only=False).tolist()
+    return column.to_pylist()
+
+
 def map_batches(df: DataFrame, setup: Callable[[], Callable], schema: str, rows: int = SLICE) -> DataFrame:
     """``mapInArrow`` over plain Python columns.
 
@@ -77,7 +84,7 @@ def map_batches(df: DataFrame, setup: Callable[[], Callable], schema: str, rows:
         work = setup()
         for batch in batches:
             for at in range(0, batch.num_rows, rows):
-                yield batch_of(work(*(c.to_pylist() for c in batch.slice(at, rows).columns)))
+                yield batch_of(work(*map(_values, batch.slice(at, rows).columns)))
         for columns in getattr(work, "finish", list)():
             yield batch_of(columns)
 

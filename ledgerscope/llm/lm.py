@@ -72,11 +72,11 @@ def word_codes(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]
 
     Words are runs of anything but ASCII white space, A-Z lower-cased.
     """
-    lowered = pa.array([t.lower() for t in texts], type=pa.binary()).cast(pa.large_string())
+    lowered = pa.array([t.lower() for t in texts], type=pa.large_binary()).view(pa.large_string())
     split = pc.ascii_split_whitespace(lowered)
     flat = split.flatten()
     coded = flat.dictionary_encode()
-    codes, words = coded.indices.to_numpy(), coded.dictionary.cast(pa.large_binary()).to_pylist()
+    codes, words = coded.indices.to_numpy(), coded.dictionary.view(pa.large_binary()).to_numpy(zero_copy_only=False).tolist()
     counts = np.diff(split.offsets.to_numpy())
     if b"" in words:
         # white space at the ends leaves empty pieces
@@ -193,7 +193,7 @@ def first_weights(v: Vocabulary, seed: int = 7) -> Weights:
 
 
 #: what a scored place may see: itself and what stands before it in the window
-_CAUSAL = np.where(np.arange(WINDOW)[None, :] <= np.arange(WINDOW - STRIDE, WINDOW)[:, None], 0.0, -1e9).astype(np.float32)
+_CAUSAL = np.where(np.arange(WINDOW)[None, :] <= np.arange(WINDOW - STRIDE, WINDOW)[:, None], 60.0, -1e9).astype(np.float32)
 
 
 def hidden(w: Weights, seen: np.ndarray, pad: np.ndarray):
@@ -203,35 +203,40 @@ def hidden(w: Weights, seen: np.ndarray, pad: np.ndarray):
     y = x[:, WINDOW - STRIDE :]
     q, k, v = y @ (w["q"] * np.float32(WIDTH**-0.5)), x @ w["k"], x @ w["v"]
     s = q @ k.transpose(0, 2, 1)
-    s += _CAUSAL
-    if pad.any():
-        s += np.where(pad, np.float32(-1e9), np.float32(0))[:, None, :]
-    np.minimum(s, 60, out=s)
+    np.minimum(s, _CAUSAL, out=s)  # at most 60, and nothing of what comes later
+    first = np.flatnonzero(pad[:, 0])
+    if len(first):  # the first window of a text has empty places
+        s[first] += np.where(pad[first], np.float32(-1e9), np.float32(0))[:, None, :]
     np.exp(s, out=s)
     mass = s @ np.ones((WINDOW, 1), dtype=s.dtype) + np.float32(1e-30)
     a = s @ v
     a /= mass
-    h = y + a @ w["o"]
+    h = a @ w["o"]
+    h += y
     u = h @ w["up"]
     u += w["up0"]
     np.maximum(u, 0, out=u)
-    z = h + u @ w["down"]
+    z = u @ w["down"]
+    z += h
     return z, (x, y, q, k, v, s, mass, a, h, u)
 
 
 def _softmax(logits: np.ndarray) -> np.ndarray:
     logits -= logits.max(axis=1, keepdims=True)
     np.exp(logits, out=logits)
-    logits /= logits.sum(axis=1, keepdims=True)
+    logits /= (logits @ np.ones(logits.shape[1], dtype=logits.dtype))[:, None]
     return logits
 
 
 def _picked(logits: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     """Log softmax of the wanted column of each row."""
-    np.clip(logits, -80, 80, out=logits)
-    out = logits[np.arange(len(logits)), wanted]
-    np.exp(logits, out=logits)
-    return out - np.log(logits @ np.ones(logits.shape[1], dtype=logits.dtype))
+    rows = np.arange(len(logits))
+    out = logits[rows, wanted]
+    total = np.exp(logits) @ np.ones(logits.shape[1], dtype=logits.dtype)
+    if not np.isfinite(total).all():
+        p = _softmax(logits.astype(np.float64))
+        return np.log(np.maximum(p[rows, wanted], 1e-300))
+    return out - np.log(np.maximum(total, np.float32(1e-37)))
 
 
 def _by_group(groups: np.ndarray):
@@ -245,13 +250,19 @@ def _by_group(groups: np.ndarray):
 
 def log_probability(w: Weights, seen: np.ndarray, pad: np.ndarray, wanted: np.ndarray, at_once: int = 64) -> np.ndarray:
     """Natural log probability of the wanted output at each scored place."""
-    z = np.concatenate([hidden(w, seen[i : i + at_once], pad[i : i + at_once])[0].reshape(-1, WIDTH) for i in range(0, len(seen), at_once)])
-    groups, members = np.divmod(wanted.ravel(), MEMBERS)
+    # a last column of ones carries the biases
+    z = np.ones((len(seen) * STRIDE, WIDTH + 1), dtype=w["group"].dtype)
+    for i in range(0, len(seen), at_once):
+        part = hidden(w, seen[i : i + at_once], pad[i : i + at_once])[0]
+        z[i * STRIDE : (i + len(part)) * STRIDE, :WIDTH] = part.reshape(-1, WIDTH)
+    group = np.vstack([w["group"], w["group0"]])
+    member = np.concatenate([w["member"], w["member0"][:, None, :]], axis=1)
+    groups, members = np.divmod(wanted.ravel().astype(np.int32), MEMBERS)
     out = np.empty(len(z))
     for i in range(0, len(z), 2048):
-        out[i : i + 2048] = _picked(z[i : i + 2048] @ w["group"] + w["group0"], groups[i : i + 2048])
+        out[i : i + 2048] = _picked(z[i : i + 2048] @ group, groups[i : i + 2048])
     for g, at in _by_group(groups):
-        out[at] += _picked(z[at] @ w["member"][g] + w["member0"][g], members[at])
+        out[at] += _picked(z[at] @ member[g], members[at])
     return out.reshape(wanted.shape)
 
 
@@ -302,8 +313,10 @@ def gradients(w: Weights, seen: np.ndarray, pad: np.ndarray, wanted: np.ndarray,
     dx = dk @ w["k"].T + dv @ w["v"].T
     dx[:, WINDOW - STRIDE :] += dh + dq @ (w["q"].T * scale)
     g["place"] = dx.sum(axis=0)
+    order = np.argsort(seen, axis=None, kind="stable")
+    ids, firsts = np.unique(seen.ravel()[order], return_index=True)
     g["embed"] = np.zeros_like(w["embed"])
-    np.add.at(g["embed"], seen.ravel(), flat(dx))
+    g["embed"][ids] = np.add.reduceat(flat(dx)[order], firsts, axis=0)
     return loss, g
 
 
@@ -362,7 +375,7 @@ def _encoder(v: Vocabulary):
         firsts = np.cumsum(sizes) - sizes
         each = sizes[codes]
         before = np.cumsum(each) - each
-        places = np.arange(int(each.sum())) + np.repeat(firsts[codes] - before, each)
+        places = np.arange(int(each.sum()), dtype=np.int32) + np.repeat((firsts[codes] - before).astype(np.int32), each)
         of_text = np.add.reduceat(each, np.concatenate([[0], ends + np.arange(1, len(ends) + 1)])[:-1]) if len(counts) else counts
         return words, codes, counts, flat[places], of_text
 
@@ -501,6 +514,7 @@ def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
             rows.select("doc_id", "held_out", "text"),
             setup,
             "row long, doc_id long, held_out boolean, n_tokens long, known long, base double, score double, rare array<binary>, repeats array<long>",
+            rows=512,
         )
     )
     pieces = partly.select("row", F.explode(F.arrays_zip("rare", "repeats")).alias("x")).select("row", F.col("x.rare").alias("word"), F.col("x.repeats").alias("times"))
