@@ -13,25 +13,33 @@ def _state(edges: DataFrame) -> tuple:
     return row["n"], row["h"]
 
 
+#: edges that a task of the later steps handles
+EDGES_PER_TASK = 250_000
+
+
 def connected(edges: DataFrame) -> DataFrame:
     """``node, root`` for every node of ``edges (a, b)`` but the roots; the root is the smallest node.
 
     Every step keeps at most one edge for each edge it read, links each node to the smallest
-    neighbour, and is written to the checkpoint folder. A node with very many neighbours is
-    aggregated map-side; its edges meet its minimum in a join that adaptive execution can split.
+    neighbour, and is written to the checkpoint folder by as many tasks as the edges need. A node
+    with very many neighbours is aggregated map-side; its edges meet its minimum in a join that
+    adaptive execution can split.
     """
     edges = cut(
         edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     )
     before = _state(edges)
+    tasks = -(-before[0] // EDGES_PER_TASK)  # the number of edges never grows
     while before[0]:
-        both = cut(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))))
-        nearest = cut(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
+        edges = edges.coalesce(tasks)
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        nearest = cut(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")).coalesce(tasks))
         # large star: each larger neighbour goes to the smallest of the neighbourhood
-        large = cut(both.join(nearest, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
+        grown = both.join(nearest, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).coalesce(tasks)
+        large = cut(grown.distinct().coalesce(tasks))
         # small star: smaller neighbours and the node itself go to the smallest
-        lowest = cut(large.groupBy("a").agg(F.min("b").alias("m")))
-        small = large.join(lowest, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        lowest = cut(large.groupBy("a").agg(F.min("b").alias("m")).coalesce(tasks))
+        small = large.join(lowest, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).coalesce(tasks)
         edges = cut(small.unionByName(lowest.select("a", F.col("m").alias("b"))).distinct())
         after = _state(edges)
         if after == before:
