@@ -1,9 +1,9 @@
 """Language-model scores of whole texts: a word-unigram base and a causal self-attention model.
 
 Counts are taken over every training text: word counts by a shuffled aggregation, sub-word
-counts from the distinct words. The attention model is trained in numpy inside Spark tasks on a
-fixed share of the training texts, so what it learns from grows with the corpus; each round the
-tasks start from the same weights and the weights are averaged by Spark.
+counts from the distinct words. The attention model is trained in numpy inside Spark tasks on every
+training text, once: the texts are dealt into one block a round; each round the tasks start from the
+same weights, learn from their texts of the block, and the weights are averaged by Spark.
 
 The model reads sub-word ids of the lower-cased words. It predicts in two steps: the group of the next
 id, then the id among its group. The commonest ids are members of their own; the last group's members
@@ -32,8 +32,10 @@ WINDOW, STRIDE = 32, 24
 GROUPS, MEMBERS, WIDTH, HIDDEN = 40, 32, 16, 32
 #: ids that are members of their own
 HEAD = (GROUPS - 1) * MEMBERS
-#: share of the training texts that the attention model learns from; fewer texts than LEAST_TEXTS: more
-SHARE, LEAST_TEXTS, ROUNDS, RATE, BATCH = 1 / 32, 1_000, 3, 4e-3, 64
+#: rounds, of which each learns from a block of its own; rate of the first; windows of a step
+ROUNDS, RATE, BATCH = 3, 4e-3, 128
+#: sub-word ids that a task learns from at least, where there are as many, whatever the input files are
+TRAINER_IDS = 1_000_000
 #: words looked up map-side are those with at least one in FREQUENT of all tokens: at most FREQUENT words
 FREQUENT = 2_000_000
 SMOOTH = 0.1
@@ -135,12 +137,16 @@ def sub_word_counts(counts: DataFrame, size: int) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """Output of an id: its own, or a class's output and log10 of its share in the class."""
+    """Output of an id: its own, or a class's output and log10 of its share in the class.
+
+    ``total`` counts the ids of the training texts.
+    """
 
     output: np.ndarray
     within: np.ndarray
     prior: np.ndarray
     end: int
+    total: int
 
     @property
     def start(self) -> int:
@@ -161,7 +167,7 @@ def build_vocabulary(frequency: np.ndarray, end: int) -> Vocabulary:
     totals = np.bincount(classes, weights=smooth[tail], minlength=MEMBERS)
     within[tail] = np.log10(smooth[tail] / totals[classes])
     by_output = np.bincount(output, weights=smooth, minlength=GROUPS * MEMBERS) + 1e-9
-    return Vocabulary(output, within, by_output / by_output.sum(), end)
+    return Vocabulary(output, within, by_output / by_output.sum(), end, int(frequency.sum()))
 
 
 Weights = dict[str, np.ndarray]
@@ -382,7 +388,7 @@ def _encoder(v: Vocabulary):
     return encode
 
 
-def _train_round(sample: DataFrame, v: Vocabulary, start: Weights, rate: float) -> Weights:
+def _train_round(texts: DataFrame, v: Vocabulary, start: Weights, rate: float) -> Weights:
     """Every task trains on its texts from ``start``; the mean over the tasks, weighted by their ids."""
     names = sorted(start)
     sizes = [start[k].size for k in names]
@@ -418,7 +424,7 @@ def _train_round(sample: DataFrame, v: Vocabulary, start: Weights, rate: float)
         work.finish = finish
         return work
 
-    means = map_batches(sample.select("text"), setup, "at int, weight double, ids double").groupBy("at").agg((F.sum("weight") / F.sum("ids")).alias("weight"))
+    means = map_batches(texts.select("text"), setup, "at int, weight double, ids double").groupBy("at").agg((F.sum("weight") / F.sum("ids")).alias("weight"))
     found = means.toArrow()
     if not found.num_rows:
         return start
@@ -428,13 +434,19 @@ def _train_round(sample: DataFrame, v: Vocabulary, start: Weights, rate: float)
     return {k: c.reshape(start[k].shape) for k, c in zip(names, cuts)}
 
 
+def blocks(training: DataFrame, total: int) -> list[DataFrame]:
+    """The training texts in ``ROUNDS`` parts by id hash, each text in one; ``total`` ids give the number of tasks."""
+    tasks = max(1, total // TRAINER_IDS)
+    block = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(ROUNDS))
+    return [training.where(block == F.lit(r)).coalesce(tasks) for r in range(ROUNDS)]
+
+
 def train(training: DataFrame, texts: int, v: Vocabulary) -> Weights:
-    """The attention model from a share of the training texts that grows with them."""
-    share = min(1.0, max(SHARE, LEAST_TEXTS / max(1, texts)))
-    sample = cut(training.where(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))))
+    """The attention model from all training texts, each seen once."""
     w = first_weights(v)
-    for r in range(ROUNDS):
-        w = _train_round(sample, v, w, RATE * 0.5**r)
+    if texts:
+        for r, block in enumerate(blocks(training, v.total)):
+            w = _train_round(block, v, w, RATE * 0.5**r)
     return w
 
 

@@ -311,6 +311,24 @@ def test_training_lowers_the_held_out_loss(spark, documents):
     assert scores[1] > scores[0]
 
 
+def test_every_training_text_is_learned_from_once(spark, monkeypatch):
+    monkeypatch.setattr(lm, "TRAINER_IDS", 20_000)
+    ids = list(range(3000))
+    training = spark.createDataFrame([(d, bytearray(b"one two three")) for d in ids], "doc_id long, text binary").repartition(64)
+    read = []
+
+    def learn(texts, v, start, rate):
+        read.append(texts)
+        return start
+
+    monkeypatch.setattr(lm, "_train_round", learn)
+    frequency = np.ones(3000, dtype=np.int64) * 20
+    lm.train(training, len(ids), lm.build_vocabulary(frequency, 2999))
+    assert sorted(r["doc_id"] for part in read for r in part.collect()) == ids
+    # the tasks follow from the ids, not from the files
+    assert {part.rdd.getNumPartitions() for part in read} == {3}
+
+
 # ------------------------------------------------------------------ lines
 
 
