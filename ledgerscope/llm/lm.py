@@ -5,9 +5,9 @@ counts from the distinct words. The attention model is trained in numpy inside S
 training text, once: the texts are dealt into one block a round; each round the tasks start from the
 same weights, learn from their texts of the block, and the weights are averaged by Spark.
 
-The model reads sub-word ids of the lower-cased words. It predicts in two steps: the group of the next
-id, then the id among its group. The commonest ids are members of their own; the last group's members
-are classes of the rarer ids, which share a class by their corpus frequency. A text is scored in
+The model reads sub-word ids of the lower-cased words, each by an embedding of its own. It predicts in two
+steps: the group of the next id, then the id among its group. The commonest ids are members of their own;
+the last group's members are classes of the rarer ids, which share a class by their corpus frequency. A text is scored in
 overlapping windows: each window sees ``WINDOW`` ids, and only its last ``STRIDE`` are scored, so that
 every id is scored once with at least ``WINDOW - STRIDE`` ids before it (or all there are).
 """
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from ledgerscope.llm.common import cut, fold, map_batches, text_bytes
 
-WINDOW, STRIDE = 32, 24
+WINDOW, STRIDE = 64, 32
 #: groups and members of each, width of the model, of its hidden layer
 GROUPS, MEMBERS, WIDTH, HIDDEN = 40, 32, 16, 32
 #: ids that are members of their own
@@ -152,6 +152,11 @@ class Vocabulary:
     def start(self) -> int:
         return len(self.prior)
 
+    @property
+    def opening(self) -> int:
+        """What stands before a text, among the ids that the model reads."""
+        return len(self.output)
+
 
 def build_vocabulary(frequency: np.ndarray, end: int) -> Vocabulary:
     order = np.lexsort((np.arange(len(frequency)), -frequency))
@@ -182,7 +187,8 @@ def first_weights(v: Vocabulary, seed: int = 7) -> Weights:
         return (rng.standard_normal(shape) * scale).astype(np.float32)
 
     return {
-        "embed": normal(n + 1, d, scale=0.3),
+        # one row an id and one for the opening; ids of a class start alike and then learn apart
+        "embed": normal(n + 1, d, scale=0.3)[np.append(v.output, n)],
         "place": normal(WINDOW, d, scale=0.1),
         "q": normal(d, d, scale=d**-0.5),
         "k": normal(d, d, scale=d**-0.5),
@@ -274,6 +280,14 @@ def log_probability(w: Weights, seen: np.ndarray, pad: np.ndarray, wanted: np.nd
 
 def gradients(w: Weights, seen: np.ndarray, pad: np.ndarray, wanted: np.ndarray, real: np.ndarray) -> tuple[float, Weights]:
     """Mean loss over the ``real`` places and its gradient."""
+    loss, g, ids = _gradients(w, seen, pad, wanted, real)
+    every = np.zeros_like(w["embed"])
+    every[ids] = g["embed"]
+    return loss, {**g, "embed": every}
+
+
+def _gradients(w: Weights, seen: np.ndarray, pad: np.ndarray, wanted: np.ndarray, real: np.ndarray) -> tuple[float, Weights, np.ndarray]:
+    """Mean loss, its gradient, and the ids whose embeddings the gradient's "embed" is of."""
     z, (x, y, q, k, v, s, mass, a, h, u) = hidden(w, seen, pad)
     s = s / mass
     n, shape = max(1, int(real.sum())), z.shape
@@ -321,9 +335,8 @@ def gradients(w: Weights, seen: np.ndarray, pad: np.ndarray, wanted: np.ndarray,
     g["place"] = dx.sum(axis=0)
     order = np.argsort(seen, axis=None, kind="stable")
     ids, firsts = np.unique(seen.ravel()[order], return_index=True)
-    g["embed"] = np.zeros_like(w["embed"])
-    g["embed"][ids] = np.add.reduceat(flat(dx)[order], firsts, axis=0)
-    return loss, g
+    g["embed"] = np.add.reduceat(flat(dx)[order], firsts, axis=0)
+    return loss, g, ids
 
 
 class Adam:
@@ -331,16 +344,21 @@ class Adam:
         self.rate, self.t = rate, 0
         self.m, self.s = ({k: np.zeros_like(x) for k, x in w.items()} for _ in range(2))
 
-    def step(self, w: Weights, g: Weights) -> None:
+    def step(self, w: Weights, g: Weights, ids: np.ndarray) -> None:
+        """``g["embed"]`` is of the embeddings of ``ids``; the others stay as they are."""
         self.t += 1
         for k in w:
-            self.m[k] = 0.9 * self.m[k] + 0.1 * g[k]
-            self.s[k] = 0.99 * self.s[k] + 0.01 * g[k] ** 2
-            w[k] -= self.rate * (self.m[k] / (1 - 0.9**self.t)) / (np.sqrt(self.s[k] / (1 - 0.99**self.t)) + 1e-6)
+            at = ids if k == "embed" else slice(None)
+            m = 0.9 * self.m[k][at] + 0.1 * g[k]
+            s = 0.99 * self.s[k][at] + 0.01 * g[k] ** 2
+            self.m[k][at], self.s[k][at] = m, s
+            w[k][at] -= self.rate * (m / (1 - 0.9**self.t)) / (np.sqrt(s / (1 - 0.99**self.t)) + 1e-6)
 
 
-def windows(outputs: np.ndarray, lengths: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Windows over the texts whose outputs stand one after the other.
+def windows(
+    outputs: np.ndarray, lengths: np.ndarray, start: int, inputs: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Windows over the texts whose outputs (and what is read for each, if that differs) stand one after the other.
 
     Returns what each window sees (windows, WINDOW), which of it is empty, the wanted outputs
     (windows, STRIDE), which places are real, and the position in ``outputs`` of each wanted one.
@@ -355,7 +373,7 @@ def windows(outputs: np.ndarray, lengths: np.ndarray, start: int) -> tuple[np.nd
     # place j of a window sees the id before the one wanted there
     before = k[:, None] * STRIDE + np.arange(STRIDE - WINDOW, STRIDE) - 1
     inside = (before >= 0) & (before < length[:, None])
-    seen = np.where(inside, outputs[np.where(inside, first[:, None] + before, 0)], start)
+    seen = np.where(inside, (outputs if inputs is None else inputs)[np.where(inside, first[:, None] + before, 0)], start)
     return seen, before < -1, outputs[at], real, at
 
 
@@ -389,14 +407,25 @@ def _encoder(v: Vocabulary):
 
 
 def _train_round(texts: DataFrame, v: Vocabulary, start: Weights, rate: float) -> Weights:
-    """Every task trains on its texts from ``start``; the mean over the tasks, weighted by their ids."""
-    names = sorted(start)
-    sizes = [start[k].size for k in names]
+    """Every task trains on its texts from ``start``; the mean over the tasks, weighted by their ids.
+
+    The mean of an embedding is over the tasks that met its id.
+    """
+    names = sorted(k for k in start if k != "embed")
+    sent = texts.sparkSession.sparkContext.broadcast((v, start))
+    columns = [f"w{i}" for i in range(WIDTH)]
+
+    def in_rows(w):
+        """The weights in rows of WIDTH: the embeddings, then all others."""
+        flat = np.concatenate([w[k].ravel() for k in names])
+        return np.vstack([w["embed"], np.pad(flat, (0, -len(flat) % WIDTH)).reshape(-1, WIDTH)])
 
     def setup():
+        v, start = sent.value
         encode = _encoder(v)
         w = {k: x.copy() for k, x in start.items()}
         adam, rng, kept, total = Adam(w, rate), np.random.default_rng(11), [], [0]
+        met = np.zeros(len(w["embed"]))
 
         def learn(least):
             while kept and sum(len(x[0]) for x in kept) >= least:
@@ -404,34 +433,40 @@ def _train_round(texts: DataFrame, v: Vocabulary, start: Weights, rate: float) -
                 kept.clear()
                 order = rng.permutation(len(parts[0]))
                 for i in range(0, len(order), BATCH):
-                    gradient = gradients(w, *(p[order[i : i + BATCH]] for p in parts))[1]
-                    adam.step(w, gradient)
+                    adam.step(w, *_gradients(w, *(p[order[i : i + BATCH]] for p in parts))[1:])
 
         def work(texts):
             _, _, _, ids, lengths = encode(texts)
-            seen, pad, wanted, real, _ = windows(v.output[ids], lengths, v.start)
+            seen, pad, wanted, real, _ = windows(v.output[ids], lengths, v.opening, ids)
             kept.append((seen, pad, wanted, real))
             total[0] += len(ids)
+            met[:-1] += np.bincount(ids, minlength=len(met) - 1)
+            met[-1] += len(lengths)
             learn(64 * BATCH)
-            return [[]] * 3
+            return [[]] * (2 + WIDTH)
 
         def finish():
             learn(1)
             if total[0]:
-                flat = np.concatenate([w[k].ravel() for k in names]).astype(np.float64)
-                yield pa.array(np.arange(len(flat), dtype=np.int32)), pa.array(flat * total[0]), pa.array(np.full(len(flat), float(total[0])))
+                rows = in_rows(w).astype(np.float64)
+                # an embedding counts as often as the task met its id
+                ids = np.concatenate([met, np.full(len(rows) - len(met), float(total[0]))])
+                at = np.flatnonzero(ids)
+                rows = rows[at] * ids[at, None]
+                yield pa.array(at.astype(np.int32)), pa.array(ids[at]), *(pa.array(np.ascontiguousarray(c)) for c in rows.T)
 
         work.finish = finish
         return work
 
-    means = map_batches(texts.select("text"), setup, "at int, weight double, ids double").groupBy("at").agg((F.sum("weight") / F.sum("ids")).alias("weight"))
+    schema = ", ".join(["at int", "ids double", *(f"{c} double" for c in columns)])
+    means = map_batches(texts.select("text"), setup, schema).groupBy("at").agg(*[(F.sum(c) / F.sum("ids")).alias(c) for c in columns])
     found = means.toArrow()
-    if not found.num_rows:
-        return start
-    flat = np.empty(sum(sizes), dtype=np.float32)
-    flat[found["at"].to_numpy()] = found["weight"].to_numpy()
-    cuts = np.split(flat, np.cumsum(sizes)[:-1])
-    return {k: c.reshape(start[k].shape) for k, c in zip(names, cuts)}
+    sent.unpersist()
+    rows = in_rows(start)
+    rows[found["at"].to_numpy()] = np.column_stack([found[c].to_numpy() for c in columns])
+    embed, flat = rows[: len(start["embed"])], rows[len(start["embed"]) :].ravel()
+    cuts = np.split(flat, np.cumsum([start[k].size for k in names]))
+    return {"embed": embed} | {k: c.reshape(start[k].shape) for k, c in zip(names, cuts)}
 
 
 def blocks(training: DataFrame, total: int) -> list[DataFrame]:
@@ -550,7 +585,7 @@ def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 def _score(w: Weights, v: Vocabulary, ids: np.ndarray, lengths: np.ndarray, at_once: int = 1024) -> np.ndarray:
     """log10 probability of each text: classes by attention, ids within their class by frequency."""
     outputs = v.output[ids]
-    seen, pad, wanted, real, at = windows(outputs, lengths, v.start)
+    seen, pad, wanted, real, at = windows(outputs, lengths, v.opening, ids)
     by_id = v.within[ids]
     for i in range(0, len(seen), at_once):
         cutout = slice(i, i + at_once)

@@ -329,6 +329,21 @@ def test_every_training_text_is_learned_from_once(spark, monkeypatch):
     assert {part.rdd.getNumPartitions() for part in read} == {3}
 
 
+def test_rare_ids_are_told_apart_as_context():
+    v, w = small_model()
+    rare = np.flatnonzero(v.output == v.output[np.argsort(v.within)[0]])[:2]
+    assert lm.STRIDE <= lm.WINDOW // 2 and len(w["embed"]) == 3001
+    texts = [np.array([5, r, 9]) for r in rare]
+    parts = [lm.windows(v.output[x], np.array([3]), v.opening, x)[:4] for x in texts]
+    assert (parts[0][0] != parts[1][0]).any()
+    _, g, ids = lm._gradients(w, *parts[0])
+    adam = lm.Adam(w, 0.1)
+    adam.step(w, g, ids)
+    assert not np.allclose(w["embed"][rare[0]], w["embed"][rare[1]])
+    logs = [lm.log_probability(w, *p[:3])[0, 2] for p in parts]
+    assert logs[0] != pytest.approx(logs[1], rel=1e-6)
+
+
 # ------------------------------------------------------------------ lines
 
 
