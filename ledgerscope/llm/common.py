@@ -97,13 +97,24 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def keep_ids(docs: DataFrame, ids: DataFrame, how: str, doc_id: str = "doc_id") -> DataFrame:
-    """Semi- or anti-join of ``docs`` with the one-column id table ``ids``; null ids match null ids.
+def keep_rows(docs: DataFrame, classes: DataFrame, digest: Column, doc_id: str = "doc_id") -> DataFrame:
+    """One row of ``docs`` for each class that is kept, and none of the others.
 
-    Only the columns of ``docs`` come back, whatever their names.
+    Rows with one id (null ids too) and one ``digest`` are a class; ``classes`` is ``doc_id, digest, kept, copies``, a
+    row for each. Only the columns of ``docs`` come back, whatever their names.
     """
-    right = ids.toDF("_llm_id")
-    return docs.alias("_llm_docs").join(right, F.col(f"_llm_docs.{doc_id}").eqNullSafe(right["_llm_id"]), how)
+    odd = cut(classes.where(~F.col("kept") | (F.col("copies") > 1)).select("doc_id", "digest", "kept"))
+    rows = docs.select(F.struct("*").alias("_llm_row"), F.col(doc_id).alias("_llm_id"), digest.alias("_llm_digest"))
+
+    def same(right: DataFrame) -> Column:
+        return F.col("_llm_id").eqNullSafe(right["doc_id"]) & (F.col("_llm_digest") == right["digest"])
+
+    out = rows.join(odd, same(odd), "left_anti").select("_llm_row")
+    several = odd.where("kept")
+    if not several.isEmpty():
+        repeated = rows.join(several, same(several), "left_semi")
+        out = out.unionByName(repeated.groupBy("_llm_id", "_llm_digest").agg(F.first("_llm_row").alias("_llm_row")).select("_llm_row"))
+    return out.select("_llm_row.*")
 
 
 def remove(spark: SparkSession, path: str) -> None:

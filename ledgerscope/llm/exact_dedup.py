@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerscope.llm.common import cut, keep_ids
+from ledgerscope.llm.common import cut, keep_rows
 
 #: the characters of ``[\x20\x09-\x0D]``
 WHITE = "\t\n\x0b\x0c\r "
@@ -56,11 +56,28 @@ def _classes(docs: DataFrame, content_hash: Callable[[Column], Column], doc_id:
     return cut(sure.unionByName(apart))
 
 
+def _ranked(docs: DataFrame, content_hash: Callable[[Column], Column], doc_id: str, text: str) -> DataFrame:
+    """The classes with ``best`` and ``group_size`` of their texts; ``first`` marks the class that keeps a row."""
+    classes = _classes(docs, content_hash, doc_id, text)
+    best = cut(
+        classes.groupBy("key", "sub").agg(
+            F.min(F.struct((-F.col("n_chars")).alias("n"), F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"))).alias("best"),
+            F.sum("copies").alias("group_size"),
+        )
+    )
+    first = (F.col("best.doc_id").eqNullSafe(F.col("doc_id"))) & (F.col("best.n") == -F.col("n_chars"))
+    return classes.join(best, ["key", "sub"]).withColumn("first", first)
+
+
+def _md5(norm: Column) -> Column:
+    return F.md5(norm.cast("binary"))
+
+
 def exact_groups(
     docs: DataFrame,
     doc_id: str = "doc_id",
     text: str = "text",
-    content_hash: Callable[[Column], Column] = lambda c: F.md5(c.cast("binary")),
+    content_hash: Callable[[Column], Column] = _md5,
 ) -> DataFrame:
     """One row per input row: ``doc_id, keep_id, group_size, kept, text_sha256``.
 
@@ -69,31 +86,24 @@ def exact_groups(
     and empty texts are equal to each other. Of rows that agree in id and length exactly one is
     kept. An empty table gives no rows; other columns are ignored.
     """
-    classes = _classes(docs, content_hash, doc_id, text)
-    best = cut(
-        classes.groupBy("key", "sub").agg(
-            F.min(F.struct((-F.col("n_chars")).alias("n"), F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"))).alias("best"),
-            F.sum("copies").alias("group_size"),
-        )
-    )
-    joined = classes.join(best, ["key", "sub"])
-    first = (F.col("best.doc_id").eqNullSafe(F.col("doc_id"))) & (F.col("best.n") == -F.col("n_chars"))
+    joined = _ranked(docs, content_hash, doc_id, text)
     return joined.select(
         "doc_id",
         F.col("best.doc_id").alias("keep_id"),
         F.col("group_size").cast("long").alias("group_size"),
-        first.alias("first"),
+        "first",
         "text_sha256",
         F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy"),
     ).select("doc_id", "keep_id", "group_size", (F.col("first") & (F.col("copy") == 1)).alias("kept"), "text_sha256")
 
 
 def drop_exact_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` without the rows whose text another, kept row holds; all columns of ``docs`` come back.
+    """``docs`` without the rows that ``exact_groups`` does not keep; all columns of ``docs`` come back.
 
-    Decided by id: rows that repeat both id and text stay or go together, except that an id
-    with one kept row is never dropped.
+    Of each group of equal texts exactly one row stays, whatever ids are null or repeated.
     """
-    groups = cut(exact_groups(docs, doc_id, text))
-    gone = groups.groupBy("doc_id").agg(F.max("kept").alias("kept")).where(~F.col("kept")).select("doc_id")
-    return keep_ids(docs, gone, "left_anti", doc_id)
+    classes = _ranked(docs, _md5, doc_id, text).select(
+        "doc_id", F.concat_ws(":", "text_sha256", "n_chars").alias("digest"), F.col("first").alias("kept"), "copies"
+    )
+    digest = F.concat_ws(":", F.sha2(normalised(F.col(text)), 256), F.length(F.coalesce(F.col(text), F.lit(""))))
+    return keep_rows(docs, classes, digest, doc_id)

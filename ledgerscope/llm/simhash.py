@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerscope.llm.common import cut, keep_ids, map_batches, text_bytes
+from ledgerscope.llm.common import cut, keep_rows, map_batches, text_bytes
 from ledgerscope.llm.components import connected
 
 SHINGLE, DISTANCE, SEED, BITS = 4, 4, 42, 64
@@ -306,10 +306,21 @@ def near_duplicates(
 def drop_near_copies(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE
 ) -> DataFrame:
-    """``docs`` with one document of each component: the one with the component's id.
+    """``docs`` with one row of each component: the one with the component's id.
 
-    Rows that repeat an id stay or go together; rows with a null id stay, as no id names them.
+    Of several rows with that id one stays; null ids come last, so a component of null ids alone keeps a row, too.
     """
-    found = near_duplicates(docs, doc_id, text, shingle, distance)
-    gone = cut(found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct())
-    return keep_ids(docs, gone, "left_anti", doc_id)
+
+    def setup():
+        return lambda keys, texts, digests: (keys, np.array([fingerprint(t, shingle) for t in texts], dtype=np.uint64).view(np.int64).tolist(), digests)
+
+    digest = F.sha2(text_bytes(text), 256)
+    rows = map_batches(docs.select(F.col(doc_id).alias("doc_id"), text_bytes(text), digest.alias("digest")), setup, "doc_id long, fp long, digest string")
+    classes = cut(rows.groupBy("fp", "doc_id", "digest").agg(F.count(F.lit(1)).alias("copies")))
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest")
+    by_fp = cut(classes.groupBy("fp").agg(F.min(order).alias("least")))
+    linked = cut(link_fingerprints(by_fp.select("fp"), distance))
+    best = cut(linked.join(by_fp, "fp").groupBy("comp").agg(F.min("least").alias("best")))
+    named = cut(linked.join(best, "comp").select("fp", "best"))
+    kept = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("digest") == F.col("best.digest"))
+    return keep_rows(docs, classes.join(named, "fp").select("doc_id", "digest", kept.alias("kept"), "copies"), digest, doc_id)

@@ -60,6 +60,23 @@ def test_one_of_identical_rows_is_kept(spark):
     assert [r["kept"] for r in rows].count(True) == 1 and {r["group_size"] for r in rows} == {3}
 
 
+def test_both_dedups_keep_one_row_of_a_group(spark):
+    a, b, c = "one text of a few words", "an entirely different passage about boats", "a third thing, of which one copy has no id"
+    rows = [(1, a), (1, a), (2, a), (None, a), (None, b), (None, b), (None, "  " + c), (7, c), (7, b + " and much else that makes it longer than others")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    exact = [tuple(r) for r in exact_dedup.drop_exact_copies(docs).collect()]
+    assert sorted(exact, key=str) == sorted([(1, a), (None, b), (None, "  " + c), rows[8]], key=str)
+    assert len(exact) == exact_dedup.exact_groups(docs).where("kept").count()
+    near = [tuple(r) for r in simhash.drop_near_copies(docs, distance=1).collect()]
+    assert sorted(near, key=str) == sorted([(1, a), (None, b), (7, c), rows[8]], key=str)
+
+
+def test_an_id_with_two_texts_loses_only_the_copy(spark):
+    a, b = "one text of a few words", "an entirely different passage about boats"
+    docs = spark.createDataFrame([(1, a), (2, a), (2, b), (3, b)], "doc_id long, text string")
+    assert sorted(tuple(r) for r in simhash.drop_near_copies(docs, distance=1).collect()) == [(1, a), (2, b)]
+
+
 def test_simhash_of_odd_rows(odd_documents):
     rows = simhash.near_duplicates(odd_documents).collect()
     blank = [r for r in rows if r["fingerprint"] == "0" * 16]
