@@ -110,9 +110,16 @@ LEAST_SPELLED = 4
 
 _NUMBER_WORD = "|".join(sorted(SPELLED, key=len, reverse=True))
 _DIGIT_SEP = r"(?:[ ,.-]|, | - )"
+_NUMBER_PART = rf"(?:[0-9]{{1,3}}|(?:{_NUMBER_WORD})(?:[ -](?:{_NUMBER_WORD})(?!\w)){{0,9}})"
+#: four numbers, spelled or not, joined by dot words
+_SPELLED_DOTS = re.compile(rf"(?<![\w.]){_NUMBER_PART}(?:[ \t]++dot[ \t]++{_NUMBER_PART}){{3}}(?!\w)", re.I)
 _SPELLED_RUN = re.compile(
     rf"(?<!\w)(?:plus[ -]?)?(?:{_NUMBER_WORD}|[0-9]+)(?!\w)(?:{_DIGIT_SEP}{{1,2}}(?:{_NUMBER_WORD}|[0-9]+)(?!\w))*+", re.I
 )
+#: letters that a regular expression takes for i and s when case is ignored
+_FOLDED = str.maketrans({"\u0131": "i", "\u0307": None, "\u017f": "s"})
+_WORD = re.compile(r"\w+")
+_NUMBER_TOKEN = re.compile(rf"(?<!\w)(?:{_NUMBER_WORD}|[0-9]+)(?!\w)", re.I)
 _SPELLED_TOKEN = re.compile(rf"(?<!\w)(?:{_NUMBER_WORD}|plus)(?!\w)", re.I)
 
 _OPEN, _CLOSE = r"[\[({<]", r"[\])}>]"
@@ -201,16 +208,33 @@ def _letters_for_digits(m: Mapped) -> Mapped:
     return m.replaced(edits)
 
 
+def _spelled(word: str) -> str:
+    return SPELLED[word.lower().translate(_FOLDED)]
+
+
+def _spelled_addresses(m: Mapped) -> Mapped:
+    """Spelled digits of four numbers joined by dot words, however few; the dot words are left to ``_at_and_dot``."""
+    edits = []
+    for run in _SPELLED_DOTS.finditer(m.text):
+        numbers = list(_NUMBER_TOKEN.finditer(m.text, *run.span()))
+        for n, following in zip(numbers, [*numbers[1:], None]):
+            gap = m.text[n.end() : following.start()] if following else ""
+            if not "0" <= n[0][0] <= "9":
+                edits.append((n.start(), n.end() + (len(gap) if gap in (" ", "-") else 0), _spelled(n[0])))
+    return m.replaced(edits)
+
+
 def _spelled_digits(m: Mapped) -> Mapped:
+    m = _spelled_addresses(m)
     edits = []
     for run in _SPELLED_RUN.finditer(m.text):
         tokens = list(_SPELLED_TOKEN.finditer(m.text, *run.span()))
-        if sum(t[0].lower() != "plus" for t in tokens) < LEAST_SPELLED:
+        if sum(t[0].lower().translate(_FOLDED) != "plus" for t in tokens) < LEAST_SPELLED:
             continue
         for k, t in enumerate(tokens):
             follows = tokens[k + 1].start() if k + 1 < len(tokens) else run.end()
             gap = m.text[t.end() : follows]
-            to = "+" if t[0].lower() == "plus" else SPELLED[t[0].lower()]
+            to = "+" if t[0].lower().translate(_FOLDED) == "plus" else _spelled(t[0])
             # a comma and blanks between two digits would end a number; a sign is kept
             tail = len(gap) if gap and not gap.strip(" ,") and follows < run.end() else 0
             edits.append((t.start(), t.end() + tail, to))
@@ -237,8 +261,6 @@ def _between_labels(text: str, a: int, b: int) -> bool:
     return 0 < a and b < len(text) and text[a - 1] in _LOCAL and text[b] in _LOCAL
 
 
-#: number words as they stand between blanks
-_NUMBERS = frozenset(w + tail for w in SPELLED for tail in ("", ",", "."))
 _LATIN_TRACES = "\u00a0\u00ad\u00b2\u00b3\u00b9"
 
 
@@ -254,9 +276,16 @@ def _has_traces(text: str) -> bool:
 
 
 def _has_number_words(text: str) -> bool:
-    """Whether two number words follow each other."""
-    flags = bytes(map(_NUMBERS.__contains__, text.lower().replace("-", " ").split()))
-    return b"\1\1" in flags
+    """Whether a number word stands next to another or to digits, over any separator of a run or a dot word."""
+    tokens = [t for t in _WORD.findall(text.lower().translate(_FOLDED)) if t != "dot"]
+    flags = bytes(map(SPELLED.__contains__, tokens))
+    at = flags.find(1)
+    while at >= 0:
+        for k in (at - 1, at + 1):
+            if 0 <= k < len(tokens) and (flags[k] or tokens[k].isdecimal()):
+                return True
+        at = flags.find(1, at + 1)
+    return False
 
 
 def _has_at_or_dot(text: str) -> bool:

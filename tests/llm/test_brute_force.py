@@ -451,6 +451,32 @@ def test_disguises_are_seen_in_place(text, kind):
     assert pii.mask(whole, spans).endswith(f"<{kind}> , and so on")
 
 
+@pytest.mark.parametrize(
+    "text, kind, value",
+    [
+        ("four" + ",one" * 15, "card", "four" + ",one" * 15),
+        ("five.five.five.five", "ip", "five.five.five.five"),
+        ("(four 1 one 1 one 1 one 1 one 1 one 1 one 1 one 1)", "card", "four 1 one 1 one 1 one 1 one 1 one 1 one 1 one 1"),
+        ("eight dot eight dot eight dot eight", "ip", "eight dot eight dot eight dot eight"),
+        ("room 5 one two seven dot zero dot zero dot one.", "ip", "one two seven dot zero dot zero dot one"),
+        ("(one dot 2 dot 3 dot 4)", "ip", "one dot 2 dot 3 dot 4"),
+    ],
+)
+def test_spelled_numbers_over_any_separator(text, kind, value):
+    assert [(k, text[a:b]) for k, a, b in pii.find(text)[1]] == [(kind, value)]
+
+
+def test_gates_lose_nothing(monkeypatch):
+    rng = random.Random(8)
+    parts = ["one", "Four", "1", "25", "dot", "plus", "ſeven", "zero", "word", "(", ")", "x@y", "[at]"]
+    texts = ["".join(rng.choice(parts) + rng.choice([" ", " ", ",", ".", "-", ", ", " - "]) for _ in range(rng.randint(3, 24))) for _ in range(1500)]
+    texts += [rng.choice([",", ".", " ", "-"]).join(["four"] + ["one"] * 15) for _ in range(20)]
+    gated = [pii.find(t) for t in texts]
+    for gate in ("_has_traces", "_has_number_words", "_has_at_or_dot"):
+        monkeypatch.setattr(pii, gate, lambda text: True)
+    assert [pii.find(t) for t in texts] == gated
+
+
 @pytest.mark.parametrize("text", ["meet me at noon. dot", "at the dot com", "one two three four apples", "look at example.com", "un dos tres", "Привет, как дела", "1 l of milk, 2 l of oil", "Ol 1 lo"])
 def test_plain_texts_are_left_alone(text):
     assert pii.find(text) == ([], [])
