@@ -9,8 +9,9 @@ minimising
 
 with the logistic loss l: the toxic texts hidden in U are subtracted by way of the class prior,
 and the difference is kept from going below zero, where it would only reward overfitting. P and U
-are bounded samples in id-hash order (documented parameters); the prior is counted over all
-labelled rows, and every text of the table is scored.
+are bounded samples of distinct texts (documented parameters), drawn by the text's hash in proportion to
+their copies; a text with more copies than a draw stands for is in once, by its weight. The prior is
+counted over all labelled rows, and every text of the table is scored.
 """
 
 from __future__ import annotations
@@ -23,16 +24,16 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerscope.llm.common import cut, fold, map_arrow, map_batches, text_bytes
 
-#: about how many texts of P and of U are fitted (whole texts, chosen by the id's hash)
+#: about how many texts of P and of U are fitted (whole distinct texts, chosen by their hash)
 MAX_POSITIVE, MAX_UNLABELLED = 6_000, 18_000
 #: traits are hashed into 2^BITS cells; word beginnings of these lengths; counts of alike beginnings
 BITS, PREFIXES, LEVELS = 20, range(4, 9), 3
-#: a trait is fitted if it is in this many texts of P at least and this many times commoner than in U
+#: a trait is fitted if it is in this many texts of P at least and this many times commoner than in clean texts
 LEAST_TEXTS, LEAST_LIFT = 6, 2.0
 MASK = (1 << BITS) - 1
 _WORD = re.compile(r"[^\W\d_]+")
@@ -91,24 +92,40 @@ class Model:
         return float(1.0 / (1.0 + np.exp(-np.clip(self.margin(text), -40.0, 40.0))))
 
 
-def choose(in_p: np.ndarray, in_u: np.ndarray, n_p: int, n_u: int) -> np.ndarray:
-    """Which traits are markedly commoner in P than in U; the others say nothing and only add noise."""
+def choose(
+    in_p: np.ndarray, in_u: np.ndarray, n_p: float, n_u: float, prior: float = 0.0, texts: tuple[np.ndarray, int, int] | None = None
+) -> np.ndarray:
+    """Which traits are markedly commoner in P than in clean texts; the others say nothing and only add noise.
+
+    U holds toxic texts in the share ``prior``; the rate in clean texts is what they leave of U's. ``texts`` has how
+    many distinct texts of P have each trait, and the distinct texts of P and of U, where the counts are weighted.
+    """
+    support, texts_p, texts_u = texts or (in_p, n_p, n_u)
     rate_p, rate_u = (in_p + 0.5) / (n_p + 1), (in_u + 0.5) / (n_u + 1)
-    spread = np.sqrt(rate_u * (1 - rate_u) * (1 / max(1, n_p) + 1 / max(1, n_u)))
-    return (in_p >= LEAST_TEXTS) & (rate_p > LEAST_LIFT * rate_u) & (rate_p - rate_u > 5.0 * spread)
+    spread = np.sqrt(rate_u * (1 - rate_u) * (1 / max(1, texts_p) + 1 / max(1, texts_u)))
+    clean = np.maximum(rate_u - prior * rate_p, 0.0) / (1 - prior)
+    # rate_p - rate_u is 1 - prior of the difference to the clean rate, and so is its spread
+    return (support >= LEAST_TEXTS) & (rate_p > LEAST_LIFT * clean) & (rate_p - rate_u > 5.0 * spread)
 
 
 def fit_nnpu(
-    positive: list[np.ndarray], unlabelled: list[np.ndarray], chosen: np.ndarray, prior: float, rounds: int = 600, rate: float = 0.5, l2: float = 2e-4
+    positive: list[np.ndarray],
+    unlabelled: list[np.ndarray],
+    chosen: np.ndarray,
+    prior: float,
+    rounds: int = 600,
+    rate: float = 0.5,
+    l2: float = 2e-4,
+    weights: tuple[np.ndarray, np.ndarray] | None = None,
 ) -> Model:
-    """Train from the cells of each text, of which only ``chosen`` (sorted) are used.
+    """Train from the cells of each text, of which only ``chosen`` (sorted) are used; ``weights`` of P's and U's texts.
 
     Without positives the score is the prior everywhere.
     """
     if not positive or not unlabelled:
         p = min(max(prior, 1e-6), 0.49)
         return Model({}, float(np.log(p / (1 - p))))
-    np_, nu = len(positive), len(unlabelled)
+    of_p, of_u = (x / x.sum() for x in weights or (np.ones(len(positive)), np.ones(len(unlabelled))))
     place = np.full(1 << BITS, -1)
     place[chosen] = np.arange(len(chosen))
 
@@ -134,11 +151,11 @@ def fit_nnpu(
     for step in range(rounds):
         gp, gu = margin("p"), margin("u")
         sp, su = 1 / (1 + np.exp(-gp)), 1 / (1 + np.exp(-gu))
-        negative = np.logaddexp(0, gu).mean() - prior * np.logaddexp(0, gp).mean()
+        negative = np.logaddexp(0, gu) @ of_u - prior * (np.logaddexp(0, gp) @ of_p)
         # derivatives of l(g) on P, of l(-g) on U and on P
-        a, a0 = pull("p", prior * (sp - 1) / np_)
-        n, n0 = pull("u", su / nu)
-        c, c0 = pull("p", prior * sp / np_)
+        a, a0 = pull("p", prior * (sp - 1) * of_p)
+        n, n0 = pull("u", su * of_u)
+        c, c0 = pull("p", prior * sp * of_p)
         if negative >= 0:
             grad, grad0 = a + n - c, a0 + n0 - c0
         else:
@@ -152,40 +169,43 @@ def fit_nnpu(
     return Model({int(k): float(v) for k, v in zip(chosen, w, strict=True) if abs(v) > 1e-6}, float(b))
 
 
-def _sample(texts: DataFrame, n: int, total: int) -> DataFrame:
-    """About ``n`` of the ``total`` texts, chosen by the id's hash."""
-    share = min(1.0, n / max(1, total))
-    return texts.where(F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1 << 30)) < F.lit(int(share * (1 << 30))))
+def _drawn(copies: str, share: float, salt: int) -> Column:
+    """Weight of a distinct text with that many rows in a sample of the ``share`` of all rows; 0 if not drawn.
 
+    Texts are drawn in proportion to their rows; a text of more rows than a draw stands for is always in.
+    """
+    place = F.pmod(F.xxhash64("hash", F.lit(salt)), F.lit(1 << 30)) / float(1 << 30)
+    expected = F.col(copies) * F.lit(share)
+    return F.when(place < expected, F.greatest(expected, F.lit(1.0))).otherwise(0.0)
 
-def _trait_counts(samples: DataFrame) -> tuple[np.ndarray, np.ndarray, int, int]:
-    """In how many texts of P and of U each cell is, and the sizes of P and U."""
+
+def _trait_counts(samples: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """By cell, the weight of the texts of P and of U that have it, and P's distinct texts that have it."""
 
     def setup():
-        total = np.zeros((2, (1 << BITS) + 1), dtype=np.int64)
+        total = np.zeros((3, 1 << BITS))
 
-        def work(sides, keys, texts):
-            for side, t in zip(sides, texts):
-                total[side, traits(t.decode())] += 1
-                total[side, -1] += 1
-            return [[]] * 3
+        def work(p, u, texts):
+            for in_p, in_u, t in zip(p, u, texts):
+                cells = traits(t.decode())
+                total[0, cells] += in_p
+                total[1, cells] += in_u
+                total[2, cells] += in_p > 0
+            return [[]] * 4
 
         def finish():
-            for side in (0, 1):
-                at = np.flatnonzero(total[side])
-                yield pa.array(np.full(len(at), side, dtype=np.int32)), pa.array(at.astype(np.int32)), pa.array(total[side, at])
+            at = np.flatnonzero(total.any(axis=0))
+            yield at.tolist(), *total[:, at].tolist()
 
         work.finish = finish
         return work
 
-    counted = map_batches(samples, setup, "side int, cell int, n long").groupBy("side", "cell").agg(F.sum("n").alias("n"))
-    out = np.zeros((2, (1 << BITS) + 1), dtype=np.int64)
+    parts = map_batches(samples.select("p", "u", "text"), setup, "cell int, p double, u double, texts double")
     # cells that are too rare to be chosen stay behind
-    common = counted.groupBy("cell").agg(*[F.sum(F.when(F.col("side") == s, F.col("n")).otherwise(0)).alias(f"n{s}") for s in (0, 1)])
-    found = common.where((F.col("n1") >= LEAST_TEXTS) | (F.col("cell") == (1 << BITS))).toArrow()
-    at = found["cell"].to_numpy()
-    out[0, at], out[1, at] = found["n0"].to_numpy(), found["n1"].to_numpy()
-    return out[1, :-1], out[0, :-1], int(out[1, -1]), int(out[0, -1])
+    found = parts.groupBy("cell").agg(*[F.sum(c).alias(c) for c in ("p", "u", "texts")]).where(F.col("texts") >= LEAST_TEXTS).toArrow()
+    out = np.zeros((3, 1 << BITS))
+    out[:, found["cell"].to_numpy()] = [found[c].to_numpy() for c in ("p", "u", "texts")]
+    return out[0], out[1], out[2]
 
 
 def fit(
@@ -210,24 +230,28 @@ def fit(
         .agg(F.max("label").alias("label"))
     )
     counts = known.agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("label") == 1).cast("long")).alias("toxic")).first()
-    prior = min(0.5, max(1e-4, (counts["toxic"] or 0) / max(1, counts["n"])))
+    prior = min(1 - 1e-4, max(1e-4, (counts["toxic"] or 0) / max(1, counts["n"])))
     texts = docs.select(F.col(doc_id).alias("doc_id"), text_bytes(text)).where((fold("doc_id", 5) != 0) & F.col("doc_id").isNotNull())
-    marked = _sample(known.where("label = 1"), max_positive, counts["toxic"] or 0).select("doc_id").limit(2 * max_positive)
-    positive = texts.join(F.broadcast(marked), "doc_id", "left_semi")
-    unlabelled = _sample(texts, max_unlabelled, texts.count())
-    samples = cut(
-        positive.select(F.lit(1).alias("side"), "doc_id", "text").unionByName(unlabelled.select(F.lit(0).alias("side"), "doc_id", "text"))
-    )
-    in_p, in_u, n_p, n_u = _trait_counts(samples)
-    chosen = np.flatnonzero(choose(in_p, in_u, n_p, n_u))
+    texts = texts.withColumn("hash", F.xxhash64("text"))
+    toxic = known.where("label = 1").select("doc_id", F.lit(1).alias("toxic"))
+    distinct = cut(texts.select("doc_id", "hash").join(toxic, "doc_id", "left").groupBy("hash").agg(F.count("toxic").alias("p"), F.count(F.lit(1)).alias("u")))
+    rows = distinct.agg(F.sum("p").alias("p"), F.sum("u").alias("u")).first()
+    shares = [min(1.0, n / max(1, found or 0)) for n, found in ((max_positive, rows["p"]), (max_unlabelled, rows["u"]))]
+    drawn = distinct.select("hash", _drawn("p", shares[0], 7).alias("p"), _drawn("u", shares[1], 8).alias("u")).where("p > 0 or u > 0")
+    samples = cut(texts.select("hash", "text").join(F.broadcast(drawn), "hash").groupBy("hash").agg(*[F.first(c).alias(c) for c in ("p", "u", "text")]))
+    in_p, in_u, support = _trait_counts(samples)
+    sums = samples.agg(*[f(x).alias(f"{k}{n}") for k in "pu" for n, f, x in (("", F.sum, F.col(k)), ("_texts", F.count, F.when(F.col(k) > 0, 1)))]).first()
+    n_p, n_u = sums["p"] or 0.0, sums["u"] or 0.0
+    chosen = np.flatnonzero(choose(in_p, in_u, n_p, n_u, prior, (support, sums["p_texts"], sums["u_texts"])))
 
     def setup():
-        return lambda sides, keys, found: (sides, keys, [np.intersect1d(traits(t.decode()), chosen).astype(np.int32) for t in found])
+        return lambda hashes, p, u, found: (hashes, p, u, [np.intersect1d(traits(t.decode()), chosen).astype(np.int32) for t in found])
 
-    rows = map_batches(samples, setup, "side int, doc_id long, cells array<int>").collect()
-    rows.sort(key=lambda r: (r["side"], r["doc_id"], r["cells"]))
-    sides = [[np.array(r["cells"], dtype=np.int64) for r in rows if r["side"] == s] for s in (1, 0)]
-    return fit_nnpu(*sides, chosen, prior)
+    fitted = map_batches(samples.select("hash", "p", "u", "text"), setup, "hash long, p double, u double, cells array<int>").collect()
+    fitted.sort(key=lambda r: r["hash"])
+    sides = [[np.array(r["cells"], dtype=np.int64) for r in fitted if r[side] > 0] for side in "pu"]
+    weights = tuple(np.array([r[side] for r in fitted if r[side] > 0]) for side in "pu")
+    return fit_nnpu(*sides, chosen, prior, weights=weights)
 
 
 def score_texts(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -168,6 +168,23 @@ def test_toxicity_learns_inflected_insults():
     assert model.margin(sample) == pytest.approx(model.bias + sum(model.weights.get(c, 0.0) for c in toxicity.traits(sample)))
 
 
+def test_half_of_the_texts_toxic_and_many_of_them_copies(spark):
+    rng = random.Random(6)
+    vocabulary = ["".join(rng.choices("abcdefgh", k=rng.randint(3, 8))) for _ in range(2000)]
+
+    def text(toxic):
+        words = rng.choices(vocabulary, k=60) + toxic * rng.choices(["schuft", "grobling", "trottel"], k=4)
+        return " ".join(rng.sample(words, len(words)))
+
+    copied = text(True)
+    rows = [(i, copied if i % 3 == 0 else text(i % 6 == 1), int(i % 3 == 0 or i % 6 == 1)) for i in range(1800)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    model = toxicity.fit(docs, spark.createDataFrame([(d, y) for d, _, y in rows], "doc_id long, toxic int"))
+    left = {r["doc_id"] for r in toxicity.drop_toxic(docs, model).collect()}
+    right = sum((d in left) == (y == 0) for d, _, y in rows)
+    assert right >= 0.97 * len(rows)
+
+
 # ------------------------------------------------------------------ decontamination
 
 
