@@ -11,13 +11,13 @@ import re
 
 import numpy as np
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerscope.llm.common import fold, map_batches, text_bytes
+from ledgerscope.llm.common import cut, fold, map_batches, text_bytes
 
-#: bytes of a dictionary, texts looked at for it, and languages learned at most (bounds of the fit)
-DICTIONARY, SAMPLE_TEXTS, MAX_LANGUAGES = 98_304, 600, 500
+#: bytes of a dictionary, of one text in it, and distinct texts looked at for it (bounds of the fit of each language)
+DICTIONARY, PIECE, SAMPLE_TEXTS = 98_304, 12_288, 600
 #: bytes encoded at a time: short, so that the dictionary counts in every block of a long text
 BLOCK = 2_048
 LEVEL = 3
@@ -35,34 +35,51 @@ def letters(text: str) -> bytes:
     return " ".join(_LETTERS.findall(text.lower())).encode()
 
 
+def _piece(plain: bytes, place: float) -> bytes:
+    """At most ``PIECE`` bytes of the letters, of a long text from an offset that ``place`` (0 to 1) gives, at blanks where there are any."""
+    if len(plain) <= PIECE:
+        return plain
+    at = int(place * (len(plain) - PIECE + 1))
+    part = plain[at : at + PIECE]
+    return part[part.find(b" ") + 1 :] if at and b" " in part[:-1] else part
+
+
 def learn(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> dict[str, bytes]:
     """Dictionary of each language from rows whose crc32(id) mod 5 is not 0, commonest language last.
 
-    Uses whole texts in id-hash order until ``DICTIONARY`` bytes are full: a bounded sample, about
-    ``SAMPLE_TEXTS`` texts a language. Rows with a null text, language or id are not learned from.
+    Every language of these rows is learned. Takes distinct texts in hash order until ``DICTIONARY`` bytes
+    are full, from a bounded sample of about ``SAMPLE_TEXTS`` a language: whole texts first, and where these do not
+    fill it, a piece of ``PIECE`` bytes of each longer one. Rows with a null text, language or id are not learned from.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"), F.col(text).alias("text")).where(
         (fold("doc_id", 5) != 0) & F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull()
     )
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()}
+    rows = rows.select("lang", "text", F.xxhash64("text").alias("hash"))
+    counts = cut(rows.groupBy("lang", "hash").agg(F.count(F.lit(1)).alias("n")).groupBy("lang").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("texts")))
+    sizes = {r["lang"]: r["n"] for r in counts.collect()}
     if not sizes:
         return {}
-    # about SAMPLE_TEXTS rows of each language, by a hash threshold of its own
-    share = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, SAMPLE_TEXTS / n))])
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    sampled = rows.where(place < F.coalesce(share[F.col("lang")], F.lit(0.0))).select("lang", place.alias("place"), "doc_id", "text")
+    # about SAMPLE_TEXTS distinct texts of each language, by a hash threshold of its own
+    place = F.pmod(F.xxhash64("hash"), F.lit(1 << 30)) / float(1 << 30)
+    shares = F.broadcast(counts.select("lang", (F.lit(float(SAMPLE_TEXTS)) / F.col("texts")).alias("share")))
+    sampled = rows.join(shares, "lang").where(place < F.col("share")).groupBy("lang", "hash").agg(F.first("text").alias("text"))
 
     def setup():
-        return lambda langs, places, ids, texts: (langs, places, ids, [letters(t) for t in texts])
+        def work(langs, hashes, places, texts):
+            plain = [letters(t) for t in texts]
+            return langs, hashes, places, [len(p) > PIECE for p in plain], [_piece(p, x) for p, x in zip(plain, places)]
+
+        return work
 
-    cleaned = map_batches(sampled, setup, "lang string, place double, doc_id long, letters binary")
+    offset = F.pmod(F.xxhash64("hash", F.lit(3)), F.lit(1 << 30)) / float(1 << 30)
+    cleaned = map_batches(sampled.select("lang", "hash", offset.alias("offset"), "text"), setup, "lang string, hash long, offset double, long boolean, letters binary")
+    ordered = Window.partitionBy("lang").orderBy("long", place, "hash")
+    before = F.sum(F.length("letters") + 1).over(ordered.rowsBetween(Window.unboundedPreceding, -1))
+    nth = F.row_number().over(ordered)
+    found = cleaned.where(F.length("letters") > 0).select("lang", "letters", nth.alias("nth"), F.coalesce(before, F.lit(0)).alias("before"))
     picked: dict[str, list[bytes]] = {k: [] for k in sizes}
-    held = dict.fromkeys(sizes, 0)
-    short = F.length("letters") <= DICTIONARY // 8  # one long text would fill a dictionary by itself
-    for r in sorted(cleaned.where(short).collect(), key=lambda r: (r["place"], r["doc_id"])):
-        if r["letters"] and held[r["lang"]] < DICTIONARY:
-            picked[r["lang"]].append(bytes(r["letters"]))
-            held[r["lang"]] += len(r["letters"]) + 1
+    for r in sorted(found.where(F.col("before") < DICTIONARY).collect(), key=lambda r: r["nth"]):
+        picked[r["lang"]].append(bytes(r["letters"]))
     # the end of a dictionary is the cheapest to refer to, whatever its order
     return {k: b" ".join(picked[k])[:DICTIONARY] for k in sorted(sizes, key=lambda k: (sizes[k], k)) if picked[k]}
 

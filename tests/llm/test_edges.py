@@ -118,6 +118,18 @@ def test_langid_without_language(spark):
     assert {r["lang_pred"] for r in langid.identify(docs, langid.learn(docs)).collect()} == {"und"}
 
 
+def test_every_language_is_learned_from_distinct_texts(spark):
+    long = " ".join(f"wort{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}" for i in range(4000))
+    copies = [(i, "the very same words again", "en") for i in range(2000)]
+    others = [(3000 + i, f"text {chr(97 + i % 26)}{chr(97 + i // 26)}", "en") for i in range(500)]
+    books = [(5000 + i, long + f" ende{chr(97 + i)}", "de") for i in range(10)]
+    rare = [(10_000 + i * 5 + k, f"kind {chr(97 + i % 26)}", f"l{i}") for i in range(510) for k in range(5)]
+    learned = langid.learn(spark.createDataFrame(copies + others + books + rare, "doc_id long, text string, lang string"))
+    assert langid.letters(long)[:4] == b"wort" and 0 < len(learned["de"]) <= langid.DICTIONARY
+    assert learned["en"].count(b"the very same words again") <= 1 and learned["en"].count(b"text") > 300
+    assert len(learned) >= 505
+
+
 def test_pipeline_on_its_tables(spark, tmp_path):
     out = corpus_pipeline.run(spark, SMALL)
     ids = [r["doc_id"] for r in out.select("doc_id").collect()]
