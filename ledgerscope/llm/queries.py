@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerscope.llm import decontam, exact_dedup, langid, line_dedup, lm, pieces, pii, simhash, token_counts, toxicity
+from ledgerscope.llm import decontam, exact_dedup, langid, line_dedup, lm, pieces, pii, sharding, simhash, token_counts, toxicity
 from ledgerscope.llm.common import table
+from ledgerscope.session import shared_dir
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,6 +60,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_dir(spark, f"shards-{uuid.uuid4().hex}")
+    return sharding.shard_rows(sharding.write_shards(table(spark, sf_dir, "documents"), folder))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
         op1_simhash,
@@ -70,6 +77,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_exact_dedup,
         op9_sentencepiece,
         op10_toxicity,
+        op11_sharding,
     )
     return {f.__name__: f for f in every}
 
