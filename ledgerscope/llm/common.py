@@ -22,6 +22,7 @@ _ARROW = {
     "array<int>": pa.list_(pa.int32()),
     "array<long>": pa.list_(pa.int64()),
     "array<binary>": pa.list_(pa.binary()),
+    "array<string>": pa.list_(pa.string()),
 }
 
 #: where this library lies; workers that were started elsewhere look for it here too
