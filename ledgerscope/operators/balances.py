@@ -41,7 +41,7 @@ def _ratio(name: str, num: str, den: str, absolute: bool) -> str:
 
 def balance_features(bal: DataFrame, cutoff_date: str, population: Population | None = None) -> DataFrame:
     """ACCOUNT_ID + 34 balance features."""
-    b = population.semi_join(bal) if population is not None else bal
+    b = population.restrict(bal) if population is not None else bal
     b = b.select(ACCOUNT, "BAL_DATE", "BALANCE", days_before("BAL_DATE", cutoff_date).alias("d"))
     aggs = [f"{_aggregate(fn, window_sql(lo, hi))} AS {name}" for name, fn, lo, hi in BALANCE_AGGREGATES]
     aggs += [
@@ -49,6 +49,7 @@ def balance_features(bal: DataFrame, cutoff_date: str, population: Population |
         "min_by(BALANCE, struct(BAL_DATE, BALANCE)) AS first_balance_90d",
     ]
     agg = b.groupBy(ACCOUNT).agg(*[F.expr(e) for e in aggs])
+    agg = population.settle(agg) if population is not None else agg
     derived = [_ratio(*r) for r in BALANCE_RATIOS]
     derived.append("avg_balance_90d - avg_balance_30d AS balance_drop_30d")
     derived += [_ratio(*r) for r in BALANCE_RATIOS_TAIL]

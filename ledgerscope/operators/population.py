@@ -5,11 +5,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import ACCOUNT
 from ..session import ensure_checkpoint_dir
+from .key_filter import KeyFilter
 
 
 def population_ids(labels: DataFrame, test_ids: DataFrame, kyc: DataFrame) -> DataFrame:
@@ -32,10 +33,10 @@ class Population:
     test ids and kyc, and an executor loss does not re-run that derivation.
 
     ``rows`` and ``bytes`` (of the keys as text) are exact, taken once. Below both bounds the
-    keys are broadcast into the fact scans (a map-side semi-join, no fact shuffle). Above them the
-    facts meet the keys in a shuffled semi-join, before anything is derived from them: AQE splits a
-    hot account's rows there, and on large inputs Spark sends a Bloom filter of the keys into the
-    scan first (``CLUSTER_SETTINGS``). Either way other accounts' rows go before any aggregation.
+    keys are broadcast into the fact scans (a map-side semi-join, no fact shuffle). Above them a Bloom
+    filter of the keys (``KeyFilter``, built once) takes other accounts' rows out at the scan, the facts are
+    aggregated as usual, map-side first, and the exact semi-join is made on the aggregated rows, which are
+    partitioned by the account already: no raw fact row is shuffled for the population's sake.
     """
 
     ids: DataFrame
@@ -43,6 +44,7 @@ class Population:
     bytes: int
     broadcast_max_rows: int
     broadcast_max_bytes: int
+    _filter: KeyFilter | None = None
 
     @classmethod
     def of(cls, ids: DataFrame, broadcast_max_rows: int = 2_000_000, broadcast_max_bytes: int = 64 << 20) -> "Population":
@@ -59,3 +61,21 @@ class Population:
         """The rows of ``df`` whose ``key`` is in the population."""
         ids = self.ids.withColumnRenamed(ACCOUNT, key)
         return df.join(F.broadcast(ids) if self.broadcastable else ids, key, "left_semi")
+
+    def may_hold(self, column: str, df: DataFrame) -> Column:
+        """False only for values of ``column`` that aren't in the population."""
+        if self._filter is None:
+            self._filter = KeyFilter.of(self.ids, ACCOUNT, self.rows)
+        return self._filter.may_hold(column, df)
+
+    def restrict(self, facts: DataFrame) -> DataFrame:
+        """Fact rows of the population; above the broadcast bound some others remain until ``settle``."""
+        return self.semi_join(facts) if self.broadcastable else facts.where(self.may_hold(ACCOUNT, facts))
+
+    def settle(self, aggregated: DataFrame) -> DataFrame:
+        """Rows aggregated from ``restrict``'s, without other accounts.
+
+        The keys are distinct, so an inner join is a semi-join; one written as such would be pushed below
+        the aggregation, where it would shuffle the facts.
+        """
+        return aggregated if self.broadcastable else aggregated.join(self.ids, ACCOUNT)

@@ -247,6 +247,11 @@ def q_feature_store_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_doubles(build_features(fixture(spark, sf_dir), CUTOFF).features)
 
 
+def q_feature_store_large_population(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J2a-d beyond the broadcast bound: the same table by way of the key filter and the exact join on grain rows."""
+    return round_doubles(build_features(fixture(spark, sf_dir), CUTOFF, broadcast_max_rows=0).features)
+
+
 def q_feature_store_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S9 + S10 + R3: write the store (stamped with cutoff and version) and read it back."""
     path = shared_dir(spark, f"feature_store_{uuid.uuid4().hex[:8]}")
@@ -665,6 +670,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "balance_derived": _bal_query("derived"),
         "kyc_features": q_kyc_features,
         "feature_store_flow": q_feature_store_flow,
+        "feature_store_large_population": q_feature_store_large_population,
         "feature_store_roundtrip": q_feature_store_roundtrip,
         "median_impute": q_median_impute,
         "time_split": q_time_split,
@@ -712,6 +718,7 @@ def oracle_sql() -> dict[str, str]:
         "balance_derived": _bal_sql("derived"),
         "kyc_features": SQL_KYC_FEATURES,
         "feature_store_flow": _store_sql(),
+        "feature_store_large_population": _store_sql(),
         "feature_store_roundtrip": _store_sql(),
         "median_impute": _median_impute_sql(),
         "time_split": SQL_TIME_SPLIT,

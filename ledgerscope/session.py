@@ -17,9 +17,6 @@ CLUSTER_SETTINGS: dict[str, str] = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.files.maxPartitionBytes": "256m",
-    # a population too large to broadcast still prunes the fact scans by a Bloom filter of its keys
-    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
-    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1g",
     "spark.sql.session.timeZone": "UTC",
     # the median features are quantile digests (ObjectHashAggregate); keep more accounts per
     # task in the hash map before falling back to a sort of the input (a few KB per account)

@@ -77,15 +77,54 @@ def test_the_cutoff_prunes_partitions_and_nanosecond_scans(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(day" in plan_of(df) and df.count() == 2
 
 
-def test_a_large_population_restricts_rows_below_the_first_aggregation(spark):
+def test_a_large_population_filters_both_keys_at_the_scan(spark, tmp_path):
     inp = catalog.fixture(spark, SMALL)
+    inp.transactions.write.parquet(str(tmp_path / "t"))
     large = Population.of(population_ids(inp.labels, inp.test_ids, inp.kyc), broadcast_max_rows=1)
-    t = transaction_features(inp.transactions, catalog.CUTOFF, large)
+    t = transaction_features(spark.read.parquet(str(tmp_path / "t")), catalog.CUTOFF, large)
     plan = t._jdf.queryExecution().optimizedPlan().toString().splitlines()
-    depth = {i: len(line) - len(line.lstrip(" :+-")) for i, line in enumerate(plan)}
-    semi = [i for i, line in enumerate(plan) if "LeftSemi" in line]
-    aggregates = [i for i, line in enumerate(plan) if "Aggregate [" in line]
-    assert semi and all(any(a < i and depth[a] < depth[i] for a in aggregates) for i in semi)
+    depth = [len(line) - len(line.lstrip(" :+-")) for line in plan]
+
+    def above(i):
+        """The lines of the operators between line i and the root, nearest first."""
+        out, at = [], depth[i]
+        for j in range(i, -1, -1):
+            if depth[j] < at:
+                out.append(plan[j].lstrip(" :+-"))
+                at = depth[j]
+        return out
+
+    scans = [i for i, line in enumerate(plan) if "Relation [" in line]
+    assert len(scans) == 3
+    for i in scans:
+        up = above(i)
+        fan_out = next(k for k, line in enumerate(up) if line.startswith("Generate"))
+        tested = next(k for k, line in enumerate(up) if line.startswith("Filter") and " OR " in line)
+        # both keys are tested below the fan-out; what stands between is neither join nor aggregation
+        assert up[tested].count("getbit") >= 6 and "DST_ACCOUNT_ID" in up[tested] and tested < fan_out
+        assert not any(line.startswith(("Join", "Aggregate")) for line in up[:fan_out])
+        # each side is tested again alone, and no join comes before the first aggregation
+        assert any(line.startswith("Filter") and line.count("getbit") >= 3 for line in up[fan_out + 1 :])
+        kinds = [line.split(" ")[0] for line in up if line.startswith(("Join", "Aggregate"))]
+        assert kinds[0] == "Aggregate"
+    # the exact join: the day grain meets the keys
+    assert sum("LogicalRDD [ACCOUNT_ID" in line for line in plan) == 1
+
+
+def test_key_filter_misses_no_key_and_few_others_pass(spark):
+    from ledgerscope.operators.key_filter import KeyFilter, filter_bits
+
+    keys = spark.range(0, 150_000, 3).withColumnRenamed("id", "k").unionByName(spark.createDataFrame([(None,), (-5,), (1 << 60,)], "k long"))
+    found = KeyFilter.of(keys, "k", 50_002)
+    rows = spark.range(200_000).selectExpr("id AS x").unionByName(spark.createDataFrame([(None,), (-5,), (1 << 60,)], "x long"))
+    passed = rows.where(found.may_hold("x", rows))
+    assert passed.where("x % 3 = 0 AND x < 150000 AND x >= 0 OR x = -5 OR x = 1L << 60").count() == 50_002
+    assert passed.where("x IS NULL").count() == 0 and passed.count() < 50_002 + 0.05 * 150_000
+    assert filter_bits(0) == 1 << 16 and filter_bits(10**9) == 1 << 28 and filter_bits(10**6) >= 10**7
+    other = rows.selectExpr("CAST(x AS STRING) AS x")
+    assert other.where(found.may_hold("x", other)).count() == 200_002
+    none = KeyFilter.of(keys.where("k = 7"), "k", 0)
+    assert rows.where(none.may_hold("x", rows)).count() == 0
 
 
 def test_keys_are_bounded_by_bytes_too(spark):
