@@ -18,10 +18,13 @@ shuffled grows with the distinct pairs of segments and not with the links of doc
 from __future__ import annotations
 
 import hashlib
+import pickle
 import re
 import uuid
+from itertools import chain
 
 import numpy as np
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,13 +36,15 @@ from ledgerscope.session import shared_dir
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 #: words (with repeats) at which a segment ends, and bytes of text; a longer text is a segment of its own
-SEGMENT_WORDS, SEGMENT_BYTES = 1 << 18, 4 << 20
+SEGMENT_WORDS, SEGMENT_BYTES = 1 << 17, 2 << 20
 #: distinct words and their characters that a task's table may hold; it is emptied beyond them
-TABLE_WORDS, TABLE_CHARS = 200_000, 4_000_000
+TABLE_WORDS, TABLE_CHARS = 300_000, 6_000_000
 
 #: places where a text may be cut: before spaces that follow another character, or before one space that
 #: stands between other white space and a character
 _CUT = re.compile(r"(?<=[^\s\u180e])(?= )|(?<=[\s\u180e])(?<! )(?= [^\s\u180e])")
+#: words that are encoded as one text
+BLOCK = 1000
 #: where splitting at every space would differ from that
 _ODD = re.compile(r"[\s\u180e] | [\s\u180e]|^ | $")
 
@@ -80,6 +85,10 @@ def links(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends), ends
 
 
+#: ids and tokens per word on either side, and whether a word's tokens say its bytes
+Coded = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+
+
 class Aligner:
     """Encodes words by both tokenizers and aligns them, each distinct word once."""
 
@@ -104,68 +113,111 @@ class Aligner:
         self.mark = [self.b.piece_to_id(MARK)]
         self.widths_a = np.array([len(x) for x in self.bytes_a])
         self.widths_b = np.array([len(x) for x in self.bytes_b])
+        # how a token is written: an A id before another or the last of its group, then B ids likewise
+        n_a, n_b = len(self.bytes_a), len(self.bytes_b)
+        self.said = [f"{i}{end}" for n, end in ((n_a, ","), (n_a, "|"), (n_b, ","), (n_b, ";")) for i in range(n)]
+        self.said_at = np.array([0, n_a, 2 * n_a, 2 * n_a + n_b])
+        self.said_length = np.array([len(x) for x in self.said])
         self.most_words = most_words
         self.clear()
 
     def clear(self) -> None:
         self.index: dict[str, int] = {}
         self.chars = 0
-        #: per word: token, group counts; the groups as text; linked id pairs
-        self.sizes: list[tuple[int, int, int]] = []
+        #: per word: the groups as text; tokens of A and B, groups, links and where its links begin
         self.groups: list[str] = []
-        self.pairs: list[np.ndarray] = []
+        self.sizes = np.empty((0, 5), dtype=np.int64)
+        self.pairs = np.empty(0, dtype=np.int64)
         self.uneven: set[int] = set()
+        self._new: list[tuple[np.ndarray, np.ndarray]] = []
 
     def full(self) -> bool:
         return len(self.index) > self.most_words or self.chars > TABLE_CHARS
 
     def encode(self, words: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        """The ids of each word on both sides."""
         in_a = [e.ids for e in self.a.encode_batch_fast(words, add_special_tokens=False)]
         # the library puts one marker before a text itself, but none before an empty one
         in_b = self.b.encode([w[1:] for w in words], num_threads=1)
         return in_a, [ids if w != " " else self.mark for w, ids in zip(words, in_b, strict=True)]
 
-    def add(self, words: list[str]) -> None:
-        """Aligns words that the table doesn't have."""
+    def _together(self, words: list[str]) -> Coded | None:
+        """Words that don't end in white space, as one text, which both tokenizers cut between them; None if they don't."""
+        text = "".join(words)
+        ids_a, ids_b = self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.b.encode(text[1:])
+        raw = text.encode()
+        if not b"".join([self.bytes_a[i] for i in ids_a]) == raw == b"".join([self.bytes_b[i] for i in ids_b]):
+            return None
+        edges = np.cumsum(_sizes([w.encode() for w in words]))
+        out = []
+        for ids, widths in ((ids_a, self.widths_a), (ids_b, self.widths_b)):
+            ids = np.array(ids, dtype=np.int64)
+            ends = np.cumsum(widths[ids])
+            upto = np.searchsorted(ends, edges, "right")
+            if (upto == 0).any() or (ends[upto - 1] != edges).any():
+                return None
+            out += [ids, np.diff(upto, prepend=0)]
+        return out[0], out[1], out[2], out[3], np.ones(len(words), bool)
+
+    def _apart(self, words: list[str]) -> Coded:
+        """Words encoded one by one; those that a tokenizer doesn't give back have no tokens."""
         in_a, in_b = self.encode(words)
-        raw = [w.encode() for w in words]
         good = [
-            b"".join([self.bytes_a[i] for i in a]) == r == b"".join([self.bytes_b[i] for i in b])
-            for a, b, r in zip(in_a, in_b, raw, strict=True)
+            b"".join([self.bytes_a[i] for i in a]) == w.encode() == b"".join([self.bytes_b[i] for i in b])
+            for a, b, w in zip(in_a, in_b, words, strict=True)
         ]
-        ids_a = np.array([i for ids, ok in zip(in_a, good, strict=True) if ok for i in ids], dtype=np.int64)
-        ids_b = np.array([i for ids, ok in zip(in_b, good, strict=True) if ok for i in ids], dtype=np.int64)
+        in_a, in_b = ([x if ok else [] for x, ok in zip(side, good, strict=True)] for side in (in_a, in_b))
+        flat = [np.fromiter(chain.from_iterable(x), np.int64) for x in (in_a, in_b)]
+        return flat[0], _sizes(in_a), flat[1], _sizes(in_b), np.array(good, dtype=bool)
+
+    def add(self, words: list[str]) -> None:
+        """Aligns words that the table doesn't have."""
+        joinable = [w for w in words if not (w[-1].isspace() or w[-1] == "\u180e")]
+        others = list(set(words).difference(joinable)) if len(joinable) < len(words) else []
+        blocks = [joinable[i : i + BLOCK] for i in range(0, len(joinable), BLOCK)]
+        coded = [self._together(x) or self._apart(x) for x in blocks] + ([self._apart(others)] if others else [])
+        ids_a, n_a, ids_b, n_b, good = (np.concatenate(x) for x in zip(*coded, strict=True))
+        words = joinable + others
+        at = len(self.groups)
+        self.index.update(zip(words, range(at, at + len(words)), strict=True))
+        self.chars += sum(map(len, words))
+        self.uneven.update((at + np.flatnonzero(~good)).tolist())
+        groups, sizes, pairs = self._align(ids_a, n_a, ids_b, n_b)
+        self.groups += groups
+        self._new.append((sizes, pairs))
+
+    def _align(self, ids_a: np.ndarray, n_a: np.ndarray, ids_b: np.ndarray, n_b: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """All words at once: their groups as text, their sizes (the last column counts links before) and their id pairs."""
+        if not len(ids_a):
+            return [""] * len(n_a), np.zeros((len(n_a), 5), dtype=np.int64), ids_a
         ends_a, ends_b = np.cumsum(self.widths_a[ids_a]), np.cumsum(self.widths_b[ids_b])
-        edges = np.cumsum([len(r) for r, ok in zip(raw, good, strict=True) if ok])
-        labels, of_a, of_b, texts = np.empty(0, dtype=np.int64), None, None, []
-        if len(ids_a):
-            end = terminals(ends_a, ends_b)
-            labels, group = np.unique(end, return_inverse=True)
-            of_a = np.searchsorted(group[: len(ids_a)], np.arange(len(labels) + 1)).tolist()
-            of_b = np.searchsorted(group[len(ids_a) :], np.arange(len(labels) + 1)).tolist()
-            say_a, say_b = list(map(str, ids_a.tolist())), list(map(str, ids_b.tolist()))
-            texts = [
-                f"{','.join(say_a[i:j])}|{','.join(say_b[k:m])}"
-                for i, j, k, m in zip(of_a, of_a[1:], of_b, of_b[1:], strict=False)
-            ]
-        left, right, shared = links(ends_a, ends_b) if len(ids_a) else (labels, labels, labels)
-        linked = ids_a[left] << 32 | ids_b[right]
-        group_ends = np.searchsorted(ends_b[labels - len(ids_a)], edges, "right").tolist()
-        link_ends = np.searchsorted(shared, edges, "right").tolist()
-        group_at = link_at = at = 0
-        for word, a, b, ok in zip(words, in_a, in_b, good, strict=True):
-            self.index[word] = len(self.sizes)
-            self.chars += len(word)
-            if not ok:
-                self.sizes.append((0, 0, 0))
-                self.uneven.add(len(self.groups))
-                self.groups.append("")
-                self.pairs.append(linked[:0])
-                continue
-            self.sizes.append((len(a), len(b), group_ends[at] - group_at))
-            self.groups.append(";".join(texts[group_at : group_ends[at]]))
-            self.pairs.append(linked[link_at : link_ends[at]].copy())
-            group_at, link_at, at = group_ends[at], link_ends[at], at + 1
+        edges = np.concatenate([[0], ends_a])[np.cumsum(n_a)]
+        labels, group = np.unique(terminals(ends_a, ends_b), return_inverse=True)
+        left, right, shared = links(ends_a, ends_b)
+        pairs = ids_a[left] << 32 | ids_b[right]
+        group_ends = np.searchsorted(ends_b[labels - len(ids_a)], edges, "right")
+        link_ends = np.searchsorted(shared, edges, "right")
+        n_groups, n_links = np.diff(group_ends, prepend=0), np.diff(link_ends, prepend=0)
+        # the tokens in the order in which they are written: group by group, A before B
+        order = np.argsort(group * 2 + (np.arange(len(group)) >= len(ids_a)), kind="stable")
+        sides = [group[: len(ids_a)], group[len(ids_a) :]]
+        last = np.concatenate([np.append(g[1:] != g[:-1], True) for g in sides])
+        kind = np.repeat([0, 2], [len(ids_a), len(ids_b)]) + last
+        codes = (np.concatenate([ids_a, ids_b]) + self.said_at[kind])[order]
+        text = "".join(map(self.said.__getitem__, codes.tolist()))
+        token_ends = np.cumsum(n_a + n_b)
+        chars = np.concatenate([[0], np.cumsum(self.said_length[codes])])[token_ends].tolist()
+        groups = [text[a : max(a, b - 1)] for a, b in zip([0, *chars], chars, strict=False)]
+        return groups, np.stack([n_a, n_b, n_groups, n_links, link_ends - n_links], axis=1), pairs
+
+    def settle(self) -> None:
+        """Puts the sizes and pairs of the words added since the last time into one array each."""
+        if self._new:
+            shift = np.cumsum([len(self.pairs), *[len(p) for _, p in self._new]])
+            moved = [s + np.array([0, 0, 0, 0, at]) for (s, _), at in zip(self._new, shift, strict=False)]
+            self.sizes = np.concatenate([self.sizes, *moved])
+            self.pairs = np.concatenate([self.pairs, *[p for _, p in self._new]])
+            self._new = []
 
     def numbers(self, texts: list[str]) -> list[list[int]]:
         """Word numbers of each text; none for an empty text or one whose bytes a tokenizer doesn't give back."""
@@ -175,17 +227,14 @@ class Aligner:
             self.add(sorted(new))
         get = self.index.__getitem__
         found = [list(map(get, words)) for words in split]
-        return [x if self.uneven.isdisjoint(x) else [] for x in found]
+        return [x if not self.uneven or self.uneven.isdisjoint(x) else [] for x in found]
 
 
 class Segment:
     """Documents of a task until their words or bytes are enough for one row of the segment table."""
 
-    COLUMNS = (
-        "segment long, doc_id array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, "
-        "groups_sha256 array<string>, doc_ends array<long>, words array<int>, word_ends array<long>, links array<int>, "
-        "pairs array<long>, pair_docs array<long>"
-    )
+    #: ``body`` holds the documents' columns, the word numbers of each and the links of each word
+    COLUMNS = "segment long, pairs array<long>, pair_docs array<long>, body binary"
 
     def __init__(self, aligner: Aligner, most_words: int):
         self.aligner, self.most_words = aligner, most_words
@@ -209,34 +258,41 @@ class Segment:
     def row(self) -> list:
         """The segment as one value per column; the next segment starts empty."""
         table = self.aligner
-        lengths = np.array([len(x) for x in self.docs], dtype=np.int64)
-        every = np.array([w for x in self.docs for w in x], dtype=np.int64)
+        table.settle()
+        lengths = _sizes(self.docs)
+        every = np.fromiter(chain.from_iterable(self.docs), np.int64, self.words)
         used, local = np.unique(every, return_inverse=True)
-        sizes = np.array([table.sizes[w] for w in used.tolist()], dtype=np.int64).reshape(-1, 3)
-        held = [table.pairs[w] for w in used.tolist()]
-        link_counts = np.array([len(x) for x in held], dtype=np.int64)
-        pairs, linked = np.unique(np.concatenate(held) if held else np.empty(0, dtype=np.int64), return_inverse=True)
+        sizes = table.sizes[used]
+        link_counts = sizes[:, 3]
+        pairs, linked = np.unique(table.pairs[_ranges(sizes[:, 4], link_counts)], return_inverse=True)
         doc = np.repeat(np.arange(len(self.docs)), lengths)
-        per_doc = [_sums(v, lengths) for v in (*sizes[local].T, link_counts[local])]
-        groups = table.groups
-        shas = [hashlib.sha256(";".join([groups[w] for w in x]).encode()).hexdigest() if x else "" for x in self.docs]
+        per_doc = [_sums(v, lengths) for v in sizes[local, :4].T]
+        get = table.groups.__getitem__
+        shas = [hashlib.sha256(";".join(map(get, x)).encode()).hexdigest() if x else "" for x in self.docs]
         # distinct words of documents, then distinct pairs of documents
-        words_of = np.unique(doc * max(len(used), 1) + local)
+        words_of = _distinct(doc * max(len(used), 1) + local)
         doc_of, word_of = np.divmod(words_of, max(len(used), 1))
         starts = np.cumsum(link_counts) - link_counts
         pair_of = linked[_ranges(starts[word_of], link_counts[word_of])]
-        seen = np.unique(np.repeat(doc_of, link_counts[word_of]) * max(len(pairs), 1) + pair_of)
+        seen = _distinct(np.repeat(doc_of, link_counts[word_of]) * max(len(pairs), 1) + pair_of)
         pair_docs = np.bincount(seen % max(len(pairs), 1), minlength=len(pairs))[: len(pairs)]
         number = (TaskContext.get().partitionId() << 32) + self.number
-        out = [
-            number, self.keys, *per_doc, shas, np.cumsum(lengths), local.astype(np.int32), np.cumsum(link_counts),
-            linked.astype(np.int32), pairs, pair_docs,
-        ]
+        body = (self.keys, per_doc, shas, lengths, local.astype(np.int32), link_counts.astype(np.int32), linked.astype(np.int32))
+        out = [number, pairs, pair_docs, zstandard.compress(pickle.dumps(body), 1)]
         self.number += 1
         self.clear()
         return out
 
 
+def _sizes(values: list) -> np.ndarray:
+    return np.fromiter(map(len, values), np.int64, len(values))
+
+
+def _distinct(values: np.ndarray) -> np.ndarray:
+    values = np.sort(values)
+    return values[np.append(True, values[1:] != values[:-1])] if len(values) else values
+
+
 def _sums(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Sums of consecutive runs of the given lengths, empty ones included."""
     total = np.concatenate([[0], np.cumsum(values)])
@@ -325,24 +381,21 @@ def align_corpus(
         .groupBy("segment")
         .agg(F.sort_array(F.collect_list(F.struct("at", "count", "best"))).alias("answers"))
     )
-    joined = segments.join(answers, "segment", "left").select(
-        *["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "doc_ends", "words", "word_ends", "links"],
-        F.col("answers.count").alias("counts"),
-        F.col("answers.best").cast("array<int>").alias("best"),
+    joined = segments.select("segment", "body").join(answers, "segment", "left").select(
+        "body", F.col("answers.count").alias("counts"), F.col("answers.best").cast("array<int>").alias("best")
     )
     schema = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
     return map_batches(joined, lambda: _totals, schema, rows=1)
 
 
-def _totals(keys, n_a, n_b, n_groups, n_links, shas, doc_ends, words, word_ends, linked, counts, best):
+def _totals(bodies, counts, best):
     """The documents of one segment with the sums over their links."""
-    doc_ends, word_ends, at, words = (np.array(x[0], dtype=np.int64) for x in (doc_ends, word_ends, linked, words))
-    lengths, link_counts = np.diff(doc_ends, prepend=0), np.diff(word_ends, prepend=0)
+    keys, per_doc, shas, lengths, words, link_counts, linked = pickle.loads(zstandard.decompress(bodies[0]))
     sums = []
     for values in (best[0], counts[0]):
-        of_word = _sums(np.array(values or [], dtype=np.int64)[at], link_counts)
+        of_word = _sums(np.array(values or [], dtype=np.int64)[linked], link_counts.astype(np.int64))
         sums.append(_sums(of_word[words], lengths))
-    return keys[0], n_a[0], n_b[0], n_groups[0], n_links[0], *sums, shas[0]
+    return keys, *per_doc, *sums, shas
 
 
 def align_tokens(
