@@ -98,6 +98,11 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def merged(df: DataFrame) -> DataFrame:
+    """The side of a join that is to be shuffled and not broadcast, however small it turns out."""
+    return df.hint("merge")
+
+
 def keep_rows(docs: DataFrame, classes: DataFrame, digest: Column, doc_id: str = "doc_id") -> DataFrame:
     """One row of ``docs`` for each class that is kept, and none of the others.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerscope.llm.common import cut
+from ledgerscope.llm.common import cut, merged
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -21,7 +21,8 @@ def connected(edges: DataFrame) -> DataFrame:
     """``node, root`` for every node of ``edges (a, b)`` but the roots; the root is the smallest node.
 
     Every step keeps at most one edge for each edge it read, links each node to the smallest
-    neighbour, and is written to the checkpoint folder by as many tasks as the edges need. A node
+    neighbour, and is written to the checkpoint folder twice. Joins are shuffled: the driver holds plans
+    and two numbers a step, whatever the edges. A node
     with very many neighbours is aggregated map-side; its edges meet its minimum in a join that
     adaptive execution can split.
     """
@@ -33,13 +34,13 @@ def connected(edges: DataFrame) -> DataFrame:
     while before[0]:
         edges = edges.coalesce(tasks)
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        nearest = cut(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")).coalesce(tasks))
+        nearest = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         # large star: each larger neighbour goes to the smallest of the neighbourhood
-        grown = both.join(nearest, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).coalesce(tasks)
+        grown = both.join(merged(nearest), "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = cut(grown.distinct().coalesce(tasks))
         # small star: smaller neighbours and the node itself go to the smallest
-        lowest = cut(large.groupBy("a").agg(F.min("b").alias("m")).coalesce(tasks))
-        small = large.join(lowest, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).coalesce(tasks)
+        lowest = large.groupBy("a").agg(F.min("b").alias("m"))
+        small = large.join(merged(lowest), "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         edges = cut(small.unionByName(lowest.select("a", F.col("m").alias("b"))).distinct())
         after = _state(edges)
         if after == before:

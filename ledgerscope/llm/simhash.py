@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerscope.llm.common import cut, keep_rows, map_batches, text_bytes
+from ledgerscope.llm.common import cut, keep_rows, map_batches, merged, text_bytes
 from ledgerscope.llm.components import connected
 
 SHINGLE, DISTANCE, SEED, BITS = 4, 4, 42, 64
@@ -76,10 +76,9 @@ def _bit_counts(fps: DataFrame) -> tuple[int, np.ndarray]:
         work.finish = finish
         return work
 
-    rows = map_batches(fps.select("fp"), setup, "cell int, n long", rows=4096).groupBy("cell").agg(F.sum("n").alias("n")).collect()
+    rows = map_batches(fps.select("fp"), setup, "cell int, n long", rows=4096).groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     cells = np.zeros(BITS * BITS + 1)
-    for r in rows:
-        cells[r["cell"]] = r["n"]
+    cells[rows["cell"].to_numpy()] = rows["n"].to_numpy()
     return int(cells[-1]), cells[:-1].reshape(BITS, BITS)
 
 
@@ -187,9 +186,11 @@ def _cells(fps: DataFrame, groups: list[list[int]]) -> list[np.ndarray]:
         return work
 
     rows = map_batches(fps.select("fp"), setup, "part int, cell int, n long", rows=4096).groupBy("part", "cell").agg(F.sum("n").alias("n"))
+    found = rows.toArrow()  # at most partitions x 2^CELL_BITS cells of three numbers
+    part, cell, n = (found[c].to_numpy() for c in ("part", "cell", "n"))
     out = [np.zeros(1 << min(len(g), CELL_BITS), dtype=np.int64) for g in groups]
-    for r in rows.collect():
-        out[r["part"]][r["cell"]] = r["n"]
+    for i, counts in enumerate(out):
+        counts[cell[part == i]] = n[part == i]
     return out
 
 
@@ -239,7 +240,7 @@ def _probes(fps: DataFrame, groups: list[list[int]], cells: list[np.ndarray], di
 
 def _labelled(fps: DataFrame, roots: DataFrame) -> DataFrame:
     """``fp, comp`` from ``node, root``; a fingerprint without a root is its own component."""
-    return fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("comp"))
+    return fps.join(merged(roots.withColumnRenamed("node", "fp")), "fp", "left").select("fp", F.coalesce("root", "fp").alias("comp"))
 
 
 def link_fingerprints(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
@@ -251,7 +252,7 @@ def link_fingerprints(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
     # first links: every member of a bucket with the bucket's smallest and largest, where close
     index = cut(_index(fps.select("fp", F.col("fp").alias("comp")), groups))
     ends = cut(index.groupBy("part", "value").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("lo <> hi"))
-    paired = index.join(ends, ["part", "value"])
+    paired = index.join(merged(ends), ["part", "value"])
     first = F.array(*[F.when((F.col("fp") != F.col(e)) & (F.bit_count(F.col("fp").bitwiseXOR(F.col(e))) <= distance), F.col(e)) for e in ("lo", "hi")])
     links = cut(paired.select(F.col("fp").alias("a"), F.explode(F.array_compact(first)).alias("b")).distinct())
     labelled = cut(_labelled(fps, connected(links)))
@@ -263,7 +264,7 @@ def link_fingerprints(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
     hits = cut(
         probes.alias("p")
         .join(
-            held.alias("q"),
+            merged(held).alias("q"),
             (F.col("p.part") == F.col("q.part"))
             & (F.col("p.value") == F.col("q.value"))
             & (F.col("p.comp") != F.col("q.comp"))
@@ -273,12 +274,12 @@ def link_fingerprints(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
     )
     single = hits.where("n = 1").select(F.col("comp").alias("a"), F.col("other").alias("b"))
     several = hits.where("n > 1").alias("p").join(
-        index.alias("q"),
+        merged(index).alias("q"),
         (F.col("p.part") == F.col("q.part")) & (F.col("p.value") == F.col("q.value")) & (F.col("p.other") == F.col("q.comp")) & close,
     )
     between = single.unionByName(several.select(F.col("p.comp").alias("a"), F.col("p.other").alias("b"))).distinct()
     roots = connected(between)
-    moved = labelled.join(roots.select(F.col("node").alias("comp"), "root"), "comp", "left")
+    moved = labelled.join(merged(roots).select(F.col("node").alias("comp"), "root"), "comp", "left")
     return moved.select("fp", F.coalesce("root", "comp").alias("comp"))
 
 
@@ -297,10 +298,10 @@ def near_duplicates(
     by_fp = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
     linked = cut(link_fingerprints(by_fp.select("fp"), distance))
     least = cut(
-        linked.join(by_fp, "fp").groupBy("comp").agg(F.min("least").alias("component_id"))
+        linked.join(merged(by_fp), "fp").groupBy("comp").agg(F.min("least").alias("component_id"))
     )
-    named = cut(linked.join(least, "comp").select("fp", "component_id"))
-    return rows.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    named = cut(linked.join(merged(least), "comp").select("fp", "component_id"))
+    return rows.join(merged(named), "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def drop_near_copies(
@@ -320,7 +321,7 @@ def drop_near_copies(
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest")
     by_fp = cut(classes.groupBy("fp").agg(F.min(order).alias("least")))
     linked = cut(link_fingerprints(by_fp.select("fp"), distance))
-    best = cut(linked.join(by_fp, "fp").groupBy("comp").agg(F.min("least").alias("best")))
-    named = cut(linked.join(best, "comp").select("fp", "best"))
+    best = cut(linked.join(merged(by_fp), "fp").groupBy("comp").agg(F.min("least").alias("best")))
+    named = cut(linked.join(merged(best), "comp").select("fp", "best"))
     kept = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("digest") == F.col("best.digest"))
-    return keep_rows(docs, classes.join(named, "fp").select("doc_id", "digest", kept.alias("kept"), "copies"), digest, doc_id)
+    return keep_rows(docs, classes.join(merged(named), "fp").select("doc_id", "digest", kept.alias("kept"), "copies"), digest, doc_id)
