@@ -28,11 +28,28 @@ from ledgerscope.llm.exact_dedup import WHITE
 
 #: least words of a repeated run
 MIN_WORDS = 50
-#: places are ordered by id and line; a null id comes after all others
-_LINES = 1 << 31
+#: places are ordered by id, text and line: the text's hash tells rows apart that share an id or have none
+_LINES, _TEXTS = 1 << 31, 1 << 30
 _LAST = Decimal(1 << 63)
 
 
+#: the columns that name a row
+ROW = ("id", "t1", "t2")
+
+
+def _row_key(doc_id: str, text: str) -> list[Column]:
+    """``id, t1, t2``: the id and two hashes of the text, which name a row; repeated rows have one name."""
+    whole = F.coalesce(F.col(text), F.lit(""))
+    return [F.col(doc_id).alias("id"), F.xxhash64(whole).alias("t1"), F.xxhash64(F.lit(1), whole).alias("t2")]
+
+
+def _row_order() -> Column:
+    """Rows by id, then by a hash of their text; those without an id after all others, by a longer hash."""
+    no_id = F.lit(_LAST) + F.shiftrightunsigned("t1", 2).cast("decimal(20,0)")
+    first = F.coalesce(F.col("id").cast("decimal(20,0)"), no_id.cast("decimal(20,0)"))
+    return (first * F.lit(_TEXTS) + F.shiftrightunsigned("t2", 34)).cast("decimal(30,0)")
+
+
 def _lines(text: str) -> Column:
     """The lines of a text that have a word, as ``(one, two, words)``: two hashes of the line."""
     lines = F.split(F.coalesce(F.col(text), F.lit("")), "\n")
@@ -76,7 +93,7 @@ def _run_name(side: str, start: Column, size: Column, rounds: int) -> Column:
 
 
 def _minimal_runs(lines: DataFrame, min_words: int) -> DataFrame:
-    """``doc_id, kind, size, one, two, place, first, last``: minimal runs by start (0) and by end (1).
+    """``id, t1, t2, kind, size, one, two, place, first, last``: minimal runs by start (0) and by end (1).
 
     ``place`` orders the runs of a name; ``first`` and ``last`` say which lines the run would delete, counted
     among the lines that have a word.
@@ -117,18 +134,17 @@ def _minimal_runs(lines: DataFrame, min_words: int) -> DataFrame:
         return F.filter(F.transform(F.col(reached), described), lambda x: x["whole"])
 
     docs = docs.withColumn("starts", runs("forward", 0)).withColumn("ends", runs("back", 1))
-    each = docs.select("doc_id", F.explode(F.concat("starts", "ends")).alias("r"))
-    order = F.coalesce(F.col("doc_id").cast("decimal(20,0)"), F.lit(_LAST))
+    each = docs.select(*ROW, F.explode(F.concat("starts", "ends")).alias("r"))
     return each.select(
-        "doc_id",
+        *ROW,
         *[F.col(f"r.{c}").alias(c) for c in ("kind", "size", "one", "two", "first", "last")],
-        (order * F.lit(_LINES) + F.col("r.from")).cast("decimal(38,0)").alias("place"),
+        (_row_order() * F.lit(_LINES) + F.col("r.from")).cast("decimal(38,0)").alias("place"),
     )
 
 
 def _repeated(docs: DataFrame, doc_id: str, text: str, min_words: int) -> DataFrame:
-    """``doc_id, at array<int>``: lines to delete, counted among the lines that have a word."""
-    lines = docs.select(F.col(doc_id).alias("doc_id"), _lines(text).alias("lines"))
+    """``id, t1, t2, at array<int>``: lines to delete in a row, counted among the lines that have a word."""
+    lines = docs.select(*_row_key(doc_id, text), _lines(text).alias("lines"))
     runs = cut(_minimal_runs(lines, min_words))
     key = ["kind", "size", "one", "two"]
     kept = cut(
@@ -139,32 +155,35 @@ def _repeated(docs: DataFrame, doc_id: str, text: str, min_words: int) -> DataFr
     )
     later = runs.join(kept, key).where("place > kept")
     return cut(
-        later.select("doc_id", F.explode(F.sequence("first", "last")).alias("line"))
-        .groupBy("doc_id")
+        later.select(*ROW, F.explode(F.sequence("first", "last")).alias("line"))
+        .groupBy(*ROW)
         .agg(F.array_sort(F.collect_set("line")).alias("at"))
     )
 
 
 def _with_deleted(docs: DataFrame, doc_id: str, text: str, min_words: int) -> DataFrame:
-    """``docs`` and ``_llm_lines, _llm_deleted``: all lines, and the numbers (from 0) of those to delete."""
-    gone = _repeated(docs, doc_id, text, min_words).toDF("_llm_gone", "_llm_at")
-    joined = docs.alias("_llm_docs").join(gone, F.col(f"_llm_docs.{doc_id}").eqNullSafe(gone["_llm_gone"]), "left")
-    lines = F.split(F.coalesce(F.col(f"_llm_docs.{text}"), F.lit("")), "\n")
+    """``_llm_row, _llm_lines, _llm_deleted``: the row, all its lines, and the numbers (from 0) of those to delete."""
+    gone = _repeated(docs, doc_id, text, min_words)
+    rows = docs.select(F.struct("*").alias("_llm_row"), *_row_key(doc_id, text)).alias("d")
+    same = F.col("d.id").eqNullSafe(gone["id"]) & (F.col("d.t1") == gone["t1"]) & (F.col("d.t2") == gone["t2"])
+    joined = rows.join(gone, same, "left")
+    lines = F.split(F.coalesce(F.col(f"_llm_row.`{text}`"), F.lit("")), "\n")
     worded = F.filter(F.transform(lines, lambda x, i: F.when(F.btrim(x, F.lit(WHITE)) != "", i)), lambda x: x.isNotNull())
-    deleted = F.when(gone["_llm_at"].isNull(), F.array().cast("array<int>")).otherwise(F.transform(gone["_llm_at"], lambda at: F.get(worded, at)))
-    own = [F.col(f"_llm_docs.`{c}`") for c in docs.columns]
-    return joined.select(F.struct(*own).alias("_llm_row"), lines.alias("_llm_lines"), deleted.alias("_llm_deleted"))
+    deleted = F.when(gone["at"].isNull(), F.array().cast("array<int>")).otherwise(F.transform(gone["at"], lambda at: F.get(worded, at)))
+    return joined.select("_llm_row", lines.alias("_llm_lines"), deleted.alias("_llm_deleted"))
 
 
 def line_report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """``doc_id, n_lines, n_deleted, deleted``: one row per row; ``deleted`` lists runs of lines as first-last.
 
     A line is deleted if it lies in a run of lines that together have ``min_words`` words and that
-    also stands at an earlier place: in a document with a smaller id, or earlier in the same one.
+    also stands at an earlier place: in a row with a smaller id, or earlier in the same one.
     Lines are compared without white space around them; lines without a word count for nothing, break
-    no run and are never deleted. Rows that share an id are one place, so a repeated row deletes
-    nothing by itself; null ids come last and are one place. Null and empty texts have one line, without
-    a word. Lines are numbered from 0, runs of numbers follow each other comma-joined.
+    no run and are never deleted. A row is known by its id and text: rows with both the same are one place, so a
+    repeated row deletes nothing by itself; rows that share an id but not the text are places of their own, in
+    the order of a hash of their texts, and so are rows without an id, which come last. Null and empty texts
+    have one line, without a word; texts of any length are read whole; an empty table gives no rows. Lines are
+    numbered from 0, runs of numbers follow each other comma-joined.
     """
     found = F.col("_llm_deleted")
     opens = F.array_except(found, F.transform(found, lambda x: x + 1))

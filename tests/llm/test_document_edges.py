@@ -97,6 +97,26 @@ def test_line_report_of_odd_rows(spark):
     assert texts == {1: run, 2: "before\nafter", None: "", 3: None, 4: "", 5: ""}
 
 
+def test_rows_that_share_an_id_or_have_none_keep_their_own_lines(spark):
+    def lines(name, n=14):
+        return "\n".join(f"{name} {i} has just these seven words" for i in range(n))
+
+    run, rows = lines("line", 12), []
+    for i in (None, 5):
+        rows += [(i, lines(f"clean {i}")), (i, run), (i, f"before {i}\n" + run), (i, lines(f"other {i}") + "\n" + run)]
+    docs = spark.createDataFrame([(1, run), *rows, *rows], "doc_id long, text string").repartition(4)
+    found = {(r["doc_id"], r["text"]) for r in line_dedup.drop_repeated_lines(docs).collect()}
+    expected = {(1, run)}
+    for i in (None, 5):
+        expected |= {(i, lines(f"clean {i}")), (i, ""), (i, f"before {i}"), (i, lines(f"other {i}"))}
+    assert found == expected
+    # a passage that only rows without an id hold stays in one of them
+    passage = lines("said", 9)
+    only = spark.createDataFrame([(None, passage + f"\nend {i}") for i in range(6)], "doc_id long, text string")
+    counts = sorted((r["n_deleted"] for r in line_dedup.line_report(only).collect()))
+    assert counts == [0, 9, 9, 9, 9, 9]
+
+
 def test_leaks_of_odd_rows(spark, odd_documents, no_documents):
     items = spark.createDataFrame([(1, None), (2, ""), (None, "the same words in the same order stand here"), (3, "too short")], "item_id long, text string")
     found = decontam.find_leaks(odd_documents, items).collect()
@@ -118,6 +138,13 @@ def test_langid_without_language(spark):
     assert {r["lang_pred"] for r in langid.identify(docs, langid.learn(docs)).collect()} == {"und"}
 
 
+def test_number_signs_are_no_letters(spark):
+    docs = spark.createDataFrame([(1, "²½ ① Ⅷ ٣ 7 _"), (2, "xⅧ y²z"), (3, "ª ʰ Ǆ 漢 א")], "doc_id long, text string")
+    rows = {r["doc_id"]: r["lang_pred"] for r in langid.identify(docs, {"en": b"x y z"}).collect()}
+    assert rows == {1: "und", 2: "en", 3: "en"}
+    assert langid.letters("xⅧ y²z ½") == b"x yz"
+
+
 def test_every_language_is_learned_from_distinct_texts(spark):
     long = " ".join(f"wort{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}" for i in range(4000))
     copies = [(i, "the very same words again", "en") for i in range(2000)]
