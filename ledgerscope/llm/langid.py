@@ -31,8 +31,11 @@ _LETTERS = re.compile(r"[^\W\d_]+")
 
 
 def letters(text: str) -> bytes:
-    """The lower-cased letter runs of the text, one blank between them."""
-    return " ".join(_LETTERS.findall(text.lower())).encode()
+    """The lower-cased letter runs of the text, one blank between them; letters are characters of the categories L."""
+    runs = _LETTERS.findall(text.lower())
+    # what the pattern takes besides letters: number signs such as superscripts, fractions and Roman numerals
+    kept = [r if r.isalpha() else "".join(filter(str.isalpha, r)) for r in runs]
+    return " ".join(filter(None, kept)).encode()
 
 
 def _piece(plain: bytes, place: float) -> bytes:
@@ -111,7 +114,8 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], doc_id: str = "doc
     """``doc_id, held_out, lang_pred, score, rejected`` for every whole text.
 
     ``und`` with score 0 when the text is null or has no letter, or nothing was learned. One row per
-    input row, repeated rows and null ids included; no other column is read.
+    input row, repeated rows and null ids included; an empty table gives no rows; texts of any length are
+    read whole; no other column is read.
     """
 
     def setup():
