@@ -185,8 +185,9 @@ def write_fixture_layout(spark: SparkSession, sf_dir: str, root: str) -> str:
     return root
 
 
-def write_nanos_copy(df: DataFrame, path: str) -> int:
-    """Write ``df`` as Parquet with TIMESTAMP(NANOS) columns (what some exporters produce).
+def write_nanos_copy(df: DataFrame, path: str, instants: bool = False) -> int:
+    """Write ``df`` as Parquet with TIMESTAMP(NANOS) columns (what some exporters produce): wall-clock times, or
+    instants that read the same in UTC.
 
     Spark itself writes microseconds, so each task converts its own batches with Arrow and
     writes one file per partition; returns the number of rows written.
@@ -210,7 +211,7 @@ def write_nanos_copy(df: DataFrame, path: str) -> int:
             for pdf in batches:
                 table = pa.Table.from_pandas(pdf, preserve_index=False)
                 fields = [
-                    pa.field(f.name, pa.timestamp("ns", tz=f.type.tz)) if pa.types.is_timestamp(f.type) else f
+                    pa.field(f.name, pa.timestamp("ns", tz="UTC" if instants else f.type.tz)) if pa.types.is_timestamp(f.type) else f
                     for f in table.schema
                 ]
                 table = table.cast(pa.schema(fields))

@@ -8,7 +8,9 @@ what leaves this module as a time is a timestamp, whatever its unit in the files
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -133,11 +135,6 @@ def _reader(spark: SparkSession, options: dict[str, str]):
     return spark.read.options(**options)
 
 
-def _is_nanos_error(err: Exception) -> bool:
-    text = str(err)
-    return "PARQUET_TYPE_ILLEGAL" in text or "NANOS" in text.upper()
-
-
 def _nanos_session(spark: SparkSession) -> SparkSession:
     """A session beside ``spark`` whose scans take nanoseconds as bigint; ``spark`` keeps its settings."""
     other = spark.newSession()
@@ -145,61 +142,55 @@ def _nanos_session(spark: SparkSession) -> SparkSession:
     return other
 
 
-def _nanos_columns(spark: SparkSession, file: str) -> dict[str, bool]:
-    """Columns of one file whose footer says TIMESTAMP(NANOS); True for instants, False for wall-clock times."""
+#: footers read at a time
+FOOTERS = 32
+
+
+def _columns_of(spark: SparkSession, file: str) -> tuple[tuple[str, str], ...]:
+    """``(column, type)`` of one file's footer, in the footer's order: the logical type, or else the physical one."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     source = jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(jvm.org.apache.hadoop.fs.Path(file), conf)
     reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(source)
     try:
         fields = reader.getFileMetaData().getSchema().getFields()
-        kinds = {f.getName(): str(f.getLogicalTypeAnnotation()) for f in fields}
-        return {name: "true" in kind for name, kind in kinds.items() if "NANOS" in kind}
+        return tuple((f.getName(), str(f.getLogicalTypeAnnotation() or f)) for f in fields)
     finally:
         reader.close()
 
 
-def _units(spark: SparkSession, nanos: SparkSession, paths: list[str], options: dict[str, str], root: str | None):
-    """Yields ``(paths, holds nanoseconds, options)``: parts of ``paths`` with one time unit each.
+def footer_table(spark: SparkSession, files: list[str]) -> dict[tuple[tuple[str, str], ...], list[str]]:
+    """The files of each schema. Footers are small and read side by side, through the session's file systems."""
+    found: dict[tuple[tuple[str, str], ...], list[str]] = {}
+    with ThreadPoolExecutor(FOOTERS) as pool:
+        for file, columns in zip(files, pool.map(lambda f: _columns_of(spark, f), files), strict=True):
+            found.setdefault(tuple(sorted(columns)), []).append(file)
+    return found
 
-    Spark merges the footers of a part in a job of its own. A part that holds both units is
-    halved, so a folder whose format changed once takes about log2(files) such jobs.
+
+def nanos_columns(columns: Iterable[tuple[str, str]]) -> dict[str, bool]:
+    """The columns in nanoseconds; True for instants, False for wall-clock times."""
+    return {name: "true" in kind for name, kind in columns if "NANOS" in kind}
+
+
+def _parts(spark: SparkSession, path: str, options: dict[str, str]):
+    """Yields ``(files, nanosecond columns, options)``: parts of a path within which every column has one type.
+
+    Where Spark can merge the footers of all files, that is one part. Otherwise the footers say which files go
+    together: a folder whose format changed once has two parts, whatever the number of its files.
     """
-    merged = options | {"mergeSchema": "true"}
     try:
-        _reader(spark, merged).parquet(*paths).schema  # noqa: B018 - resolves the schema
-    except AnalysisException as err:
-        if not _is_nanos_error(err):
+        _reader(spark, options | {"mergeSchema": "true"}).parquet(path).schema  # noqa: B018 - resolves the schema
+    except Exception:  # nanoseconds, or types that don't merge; the footers tell
+        files = _parquet_files(spark, path)
+        if not files:
             raise
-    except Exception as err:  # a footer that fails inside the merging job
-        if not _is_nanos_error(err):
-            # other differences between files than the unit are the plain read's business
-            yield paths, False, options
-            return
+        if "recursiveFileLookup" not in options and files != [path]:
+            options = options | {"basePath": path}
+        for columns, some in footer_table(spark, files).items():
+            yield some, nanos_columns(columns), options
     else:
-        yield paths, False, options
-        return
-    files = paths
-    try:
-        _reader(nanos, merged).parquet(*paths).schema  # noqa: B018
-        mixed = False
-    except Exception:
-        mixed = True
-    if not mixed:
-        yield paths, True, options
-        return
-    if root is None:
-        files = [f for path in paths for f in _parquet_files(spark, path)]
-        root = paths[0] if len(paths) == 1 else None
-        if root and "recursiveFileLookup" not in options and files != paths:
-            options = options | {"basePath": root}
-        root = root or ""
-    if len(files) == 1:
-        yield files, True, options
-        return
-    half = len(files) // 2
-    yield from _units(spark, nanos, files[:half], options, root)
-    yield from _units(spark, nanos, files[half:], options, root)
+        yield [path], {}, options
 
 
 def _parquet_files(spark: SparkSession, path: str) -> list[str]:
@@ -235,32 +226,42 @@ def read_parquet(spark: SparkSession, paths: list[str], before: dict[str, str] |
     """S3 + S5 + S6: Parquet folders and files, partitioned or nested, with any time unit.
 
     Partition columns are kept and prune the scan; a folder with plain sub-folders is read
-    recursively. Nanosecond columns come back as timestamps, cut to microseconds. ``before``
+    recursively. Nanosecond columns come back as timestamps, cut to microseconds. Files may differ in
+    their times: units and kinds (instants, wall-clock times, bigint seconds) are taken from each file's
+    footer; where a column holds both instants and wall-clock times, the latter are read in the
+    session's zone. ``before``
     maps a time column to a date: rows at or after it are left out in the scan where the stored
     type allows, so this is no more than an early part of the as-of cut.
     """
     nanos = _nanos_session(spark)
     parts = []
-    for nested in (False, True):
-        group = [p for p in paths if _has_nested_folders(spark, p) == nested]
-        if not group:
-            continue
-        options = {"recursiveFileLookup": "true"} if nested else {}
-        for some, in_nanos, opts in _units(spark, nanos, group, options, None):
-            part = _reader(nanos if in_nanos else spark, opts).parquet(*some)
-            stored = _nanos_columns(spark, _parquet_files(spark, some[0])[0]) if in_nanos else {}
+    for path in paths:
+        options = {"recursiveFileLookup": "true"} if _has_nested_folders(spark, path) else {}
+        for files, stored, opts in _parts(spark, path, options):
+            part = _reader(nanos if stored else spark, opts).parquet(*files)
             for column, date in (before or {}).items():
                 if column in part.columns:
                     part = _before(spark, part, column, date, stored.get(column))
-            micros = {c: _micros(c, instant) for c, instant in stored.items() if c in part.columns}
-            if in_nanos:
-                part = part.withColumns(micros) if micros else part
+            if stored:
+                part = part.withColumns({c: _micros(c, instant) for c, instant in stored.items()})
                 # planned and run by the caller's session; only the scan keeps the other one's setting
                 part = spark.createDataFrame([], part.schema).unionByName(part)
             parts.append(part)
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part, allowMissingColumns=True)
+    return _together(parts)
+
+
+def _together(parts: list[DataFrame]) -> DataFrame:
+    """The rows of all parts; a column that is a time in some and a bigint in others counts seconds there."""
+    kinds: dict[str, set[str]] = {}
+    for part in parts:
+        for f in part.schema.fields:
+            kinds.setdefault(f.name, set()).add(f.dataType.typeName())
+    mixed = [c for c, k in kinds.items() if k & {"long", "integer"} and k & {"timestamp", "timestamp_ntz"}]
+    out = None
+    for part in parts:
+        seconds = [c for c in mixed if c in part.columns and part.schema[c].dataType.typeName() in ("long", "integer")]
+        part = part.withColumns({c: F.timestamp_seconds(F.col(c)) for c in seconds})
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     return out
 
 

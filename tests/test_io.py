@@ -127,6 +127,55 @@ def test_one_instant_has_one_day_whatever_its_unit(spark, tmp_path):
         spark.conf.set("spark.sql.session.timeZone", zone)
 
 
+def test_times_of_every_kind_in_one_folder(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from ledgerscope.sources.readers import footer_table, nanos_columns, read_parquet
+
+    def write(name, values, kind):
+        n = len(values)
+        pq.write_table(pa.table({
+            "SRC_ACCOUNT": pa.array(range(n), pa.int64()), "DST_ACCOUNT": pa.array(range(n), pa.int64()),
+            "TRX_DATETIME": pa.array(values, kind), "TRX_AMT": pa.array([1.0] * n), "TRX_TYPE": pa.array([name] * n),
+        }), f"{tmp_path}/{name}.parquet")
+
+    second = 1_711_911_600  # 2024-03-31 19:00 UTC, 2024-04-01 00:30 in Kolkata
+    write("wall_ns", [second * 10**9], pa.timestamp("ns"))
+    write("instant_ns", [second * 10**9], pa.timestamp("ns", tz="UTC"))
+    write("wall_us", [second * 10**6], pa.timestamp("us"))
+    write("instant_us", [second * 10**6], pa.timestamp("us", tz="UTC"))
+    write("seconds", [second], pa.int64())
+    files = [f"{tmp_path}/{n}.parquet" for n in ("wall_ns", "instant_ns", "wall_us", "instant_us", "seconds")]
+    kinds = {f[0].rsplit("/", 1)[1]: nanos_columns(c) for c, f in footer_table(spark, files).items()}
+    assert kinds == {"wall_ns.parquet": {"TRX_DATETIME": False}, "instant_ns.parquet": {"TRX_DATETIME": True},
+                     "wall_us.parquet": {}, "instant_us.parquet": {}, "seconds.parquet": {}}
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz, instant_day in (("UTC", dt.date(2024, 3, 31)), ("Asia/Kolkata", dt.date(2024, 4, 1)), ("America/New_York", dt.date(2024, 3, 31))):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            for before in (None, {"TRX_DATETIME": "2025-01-01"}):
+                df = canonical_transactions(read_parquet(spark, [str(tmp_path)], before=before), ColumnMap())
+                days = {r["TXN_TYPE"]: r["TXN_DATE"] for r in df.collect()}
+                assert days == {"wall_ns": dt.date(2024, 3, 31), "wall_us": dt.date(2024, 3, 31), "instant_ns": instant_day,
+                                "instant_us": instant_day, "seconds": instant_day}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_columns_that_came_later_and_files_of_other_times_keep_partitions(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from ledgerscope.sources.readers import read_parquet
+
+    for day, kind, extra in (("2024-01-01", pa.timestamp("ns"), {}), ("2024-01-02", pa.timestamp("us"), {"more": pa.array([5])})):
+        os.makedirs(tmp_path / f"day={day}")
+        pq.write_table(pa.table({"t": pa.array([10**9], kind), **extra}), tmp_path / f"day={day}/p.parquet")
+    rows = read_parquet(spark, [str(tmp_path)]).selectExpr("CAST(day AS STRING) AS day", "more", "unix_micros(CAST(t AS TIMESTAMP)) AS t").collect()
+    assert sorted(map(tuple, rows), key=str) == [("2024-01-01", None, 10**6), ("2024-01-02", 5, 10**9)]
+
+
 def test_nested_folders_and_partitions(spark, tmp_path):
     df = spark.createDataFrame([(1, "2024-01-01"), (2, "2024-01-02")], "v long, day string")
     df.write.partitionBy("day").parquet(str(tmp_path / "parts"))
