@@ -3,12 +3,12 @@ and the optional median imputation operator (M2)."""
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Imputer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import ACCOUNT, MISSING_RECENCY_FILL, RECENCY_NAME_MARKERS
 from ..functions.exprs import numeric_columns
+from .quantiles import exact_quantiles
 
 #: F7 as SQL over the joined columns (fixed values: names and definitions). In braces: 0 where missing;
 #: ``greatest`` skips nulls, so a missing denominator divides by one
@@ -75,13 +75,16 @@ def assemble_features(
     return fill_missing(df) if fill else df
 
 
-def median_impute(df: DataFrame, columns: list[str], relative_error: float = 0.001) -> DataFrame:
-    """M2: replace nulls / NaN of ``columns`` by their (approximate) median, via MLlib.
+def median_impute(df: DataFrame, columns: list[str]) -> DataFrame:
+    """M2: replace nulls / NaN of ``columns`` by their exact lower median (a column without values stays as it is).
 
     Offered on its own: in the default assembly it would change nothing, because the fill
-    runs first. The fit computes one quantile summary per column (bounded size).
+    runs first. The medians come from a distributed selection; one number a column reaches the driver.
     """
-    tmp = [f"{c}__imputed" for c in columns]
-    imputer = Imputer(inputCols=columns, outputCols=tmp, strategy="median", relativeError=relative_error)
-    out = imputer.fit(df).transform(df)
-    return out.select(*[F.col(f"{c}__imputed").alias(c) if c in columns else F.col(c) for c in df.columns])
+    medians = {c: m for c, m in exact_quantiles(df, columns).items() if m is not None}
+
+    def filled(c: str):
+        own = F.col(c).cast("double")
+        return F.when(own.isNull() | F.isnan(own), F.lit(medians[c])).otherwise(own).alias(c)
+
+    return df.select(*[filled(c) if c in medians else F.col(c) for c in df.columns])

@@ -37,6 +37,9 @@ def exclusive_prefix(df: DataFrame, order_col: str, sum_cols: list[str], rows_pe
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     buckets = max(1, math.ceil(df.count() / rows_per_bucket))
+    if buckets == 1:  # at most ``rows_per_bucket`` rows: one window, nothing to write
+        whole = Window.orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
+        return df.select(*df.columns, *[F.coalesce(F.sum(c).over(whole), F.lit(0)).alias(f"below_{c}") for c in sum_cols])
     x = df.repartitionByRange(buckets, order_col).withColumn("__b", F.spark_partition_id()).checkpoint()
     totals = x.groupBy("__b").agg(*[F.sum(c).alias(f"__t_{c}") for c in sum_cols]).collect()  # one row a bucket
     running = dict.fromkeys(sum_cols, 0)
