@@ -166,7 +166,12 @@ class PipelineConfig:
     broadcast_max_rows: int = 2_000_000
     #: top fraction for precision / recall
     top_frac: float = 0.10
-    #: a fit ends when its validation loss has not improved for ``patience`` rounds; the limits are only there
+    #: ``leafwise``: leaf-wise boosting with the published parameters, trials by successive halving, an end by
+    #: validation AUC; ``mllib``: MLlib's boosting, trials one after another, an end by validation loss
+    engine: str = "leafwise"
+    #: rounds after which the trials are compared for the first time (leafwise)
+    search_first_rounds: int = 100
+    #: a fit ends when it has not improved on the validation rows for ``patience`` rounds; the limits are only there
     #: to end a fit that never stops improving
     search_max_iter: int = 5_000
     search_patience: int = 150

@@ -26,6 +26,14 @@ def gain_importance(spark: SparkSession, model: GBTClassificationModel, feature_
     return spark.createDataFrame(rows, "feature string, gain double")
 
 
+def sampled_rows(matrix: DataFrame, seed: int, max_rows: int) -> DataFrame:
+    """About ``max_rows`` rows by a hash of the account, so that a lost task samples the same rows again; spread over tasks."""
+    share = min(1.0, max_rows / max(matrix.count(), 1))
+    place = F.pmod(F.xxhash64(F.col(ACCOUNT), F.lit(seed)), F.lit(1 << 30))
+    tasks = max(1, matrix.sparkSession.sparkContext.defaultParallelism)
+    return matrix.filter(place < F.lit(int(share * (1 << 30)))).select(ACCOUNT, "features").repartition(tasks, ACCOUNT)
+
+
 def median_substitution_summary(
     model: GBTClassificationModel,
     matrix: DataFrame,
@@ -43,14 +51,7 @@ def median_substitution_summary(
     max_rows x features), rescored by the model, and averaged per feature.
     """
     spark = matrix.sparkSession
-    share = min(1.0, max_rows / max(matrix.count(), 1))
-    # by a hash of the account, so that a lost task samples the same rows again; spread before the fan-out
-    place = F.pmod(F.xxhash64(F.col(ACCOUNT), F.lit(seed)), F.lit(1 << 30))
-    sample = (
-        matrix.filter(place < F.lit(int(share * (1 << 30))))
-        .select(ACCOUNT, "features")
-        .repartition(max(1, spark.sparkContext.defaultParallelism), ACCOUNT)
-    )
+    sample = sampled_rows(matrix, seed, max_rows)
     medians = wide.approxQuantile(feature_cols, [0.5], 0.001)  # one number per feature
     med = [float(m[0]) if m and m[0] is not None and not math.isnan(m[0]) else 0.0 for m in medians]
     base = model.transform(sample).select(ACCOUNT, vector_to_array("probability")[1].alias("p0"))

@@ -9,6 +9,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,8 +17,11 @@ from pyspark.sql import types as T
 from ..config import ACCOUNT, BALANCE_AGGREGATES, ColumnMap, PipelineConfig
 from ..functions.exprs import days_before, round_doubles, window_sql
 from ..model import labels as L
+from ..model.boost import Boosting, LeafParams
 from ..model.evaluate import gain_from_nodes, median_substitution_summary, node_table, rescore
+from ..model.search import draw_params, successive_halving
 from ..model.train import GBTParams, assemble, fit_with_validation, positive_probability, random_search
+from ..model.trees import attribute
 from ..operators.assemble import CROSS_FEATURES, median_impute
 from ..operators.balances import balance_feature_names, balance_features
 from ..operators.dimension import kyc_features
@@ -263,14 +267,10 @@ MEDIAN_IMPUTE_COLUMNS = ["avg_balance_30d", "out_avg_txn_amount", "in_median_txn
 
 
 def q_median_impute(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M2: median imputation of unfilled feature columns.
-
-    relativeError 0 asks for exact medians: the accounts with a balance are at most the population, and
-    the query is held against exact medians; production keeps the default error.
-    """
+    """M2: unfilled feature columns with their exact medians put in."""
     feats = build_features(fixture(spark, sf_dir), CUTOFF, fill=False).features
     df = feats.select(ACCOUNT, *MEDIAN_IMPUTE_COLUMNS)
-    return round_doubles(median_impute(df, MEDIAN_IMPUTE_COLUMNS, relative_error=0.0))
+    return round_doubles(median_impute(df, MEDIAN_IMPUTE_COLUMNS))
 
 
 def _median_impute_sql() -> str:
@@ -508,6 +508,28 @@ def q_nanos_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _transfers_before_cutoff(read_parquet(spark, [path], before={"TRX_DATETIME": CUTOFF}))
 
 
+def q_nanos_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S5 + S6: one folder of nanosecond files, some with wall-clock times, some with instants, and newer ones in microseconds."""
+    path = _scratch(spark, "trx_kinds")
+    trx = wallet_trx(spark, sf_dir).withColumn("TRX_DATETIME", F.col("TRX_DATETIME").cast("timestamp_ntz"))
+    time = F.col("TRX_DATETIME")
+    first, second = (F.lit(d).cast("timestamp_ntz") for d in ("1994-01-01", "1996-01-01"))
+    write_nanos_copy(trx.where(time < first), path)
+    write_nanos_copy(trx.where((time >= first) & (time < second)), path, instants=True)
+    trx.where(time >= second).withColumn("TRX_DATETIME", time.cast("timestamp")).write.mode("append").parquet(path)
+    return _transfers_before_cutoff(read_parquet(spark, [path], before={"TRX_DATETIME": CUTOFF}))
+
+
+def q_nanos_and_seconds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S6 + X1: one folder, older files with nanoseconds, newer ones with bigint seconds since the epoch."""
+    path = _scratch(spark, "trx_seconds")
+    trx = wallet_trx(spark, sf_dir).withColumn("TRX_DATETIME", F.col("TRX_DATETIME").cast("timestamp"))
+    old = F.col("TRX_DATETIME") < F.lit("1996-01-01").cast("timestamp")
+    trx.where(~old).withColumn("TRX_DATETIME", F.unix_timestamp("TRX_DATETIME")).write.parquet(path)
+    write_nanos_copy(trx.where(old), path, instants=True)
+    return _transfers_before_cutoff(read_parquet(spark, [path], before={"TRX_DATETIME": CUTOFF}))
+
+
 def q_epoch_seconds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transfer times as bigint seconds since the epoch."""
     trx = wallet_trx(spark, sf_dir)
@@ -528,7 +550,7 @@ def q_resolve_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fixture_config(**kw):
     """Two trials with large steps and little patience, so that fits stop early; depth, rounds and rows as published."""
     base = dict(
-        cutoff_date=CUTOFF, search_trials=2, search_patience=3, final_patience=3, step_size_min=0.3, step_size_max=0.5, random_seed=SEED
+        engine="mllib", cutoff_date=CUTOFF, search_trials=2, search_patience=3, final_patience=3, step_size_min=0.3, step_size_max=0.5, random_seed=SEED
     )
     base.update(kw)
     return PipelineConfig(**base)
@@ -620,15 +642,130 @@ def q_metric_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_fixture_layout(spark, sf_dir, f"{root}/data")
     cfg = fixture_config(data_dir=f"{root}/data", work_dir=f"{root}/work", output_dir=f"{root}/out")
     res = run_pipeline(spark, cfg, LABELS_SCHEMA, TEST_SCHEMA, summary=False)
+    return round_doubles(_metric_checks(spark, res.paths["metrics"], cfg.final_max_iter))
+
+
+def _metric_checks(spark: SparkSession, path: str, limit: int) -> DataFrame:
     shares = " AND ".join(f"{k} BETWEEN 0 AND 1" for k in ("auc_roc", "precision_at_10pct", "recall_at_10pct", "optuna_best_auc"))
+    return spark.read.json(path).selectExpr(
+        "CAST(final_train_rows AS BIGINT) AS final_train_rows",
+        "scale_pos_weight",
+        f"{shares} AS shares_ok",
+        f"best_iteration = final_num_boost_round AND best_iteration BETWEEN 1 AND {limit - 1} AS rounds_ok",
+    )
+
+
+# ----------------------------------------------------------------------------- leaf-wise boosting
+
+BOOST_FEATURES = MATRIX_FEATURES + ["out_days_since_last_transaction"]
+BOOST_BINS, BOOST_PARAMS = 16, LeafParams(num_leaves=2, learning_rate=0.5, min_child_samples=20, lambda_l1=0.5, lambda_l2=2.0)
+
+
+def _boost_matrix(spark: SparkSession, sf_dir: str):
+    """The labelled matrix of a few features, rounded as the oracle has them."""
+    inp, feats = _store(spark, sf_dir)
+    return labelled_matrix(round_doubles(feats.select(ACCOUNT, *BOOST_FEATURES)), inp.labels, inp.kyc, fixture_config())
+
+
+def q_boost_round(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M6: the first round: every split of the root with its gain and leaf values; ``best`` is the one the tree took."""
+    m = _boost_matrix(spark, sf_dir)
+    with Boosting(m.fit, m.feature_cols, [BOOST_PARAMS], SEED, BOOST_BINS) as b:
+        splits = b.splits(b.histogram({0: [0]}, {}, {0: np.arange(len(m.feature_cols))})).checkpoint()
+        b.round()
+        root, edges = b.trials[0].trees[0], b.edges
+    m.data.unpersist()
+    borders = spark.createDataFrame(
+        [(j, k, m.feature_cols[j], t, root.feature[0] == j and root.threshold[0] == t) for j, e in enumerate(edges) for k, t in enumerate(e)],
+        "feature int, bin int, name string, threshold double, best boolean",
+    )
+
+    def value(g: str, h: str) -> str:
+        p = BOOST_PARAMS
+        return f"-sign({g}) * greatest(abs({g}) - {p.lambda_l1}D, 0D) / ({h} + {p.lambda_l2}D)"
+
     return round_doubles(
-        spark.read.json(res.paths["metrics"]).selectExpr(
-            "CAST(final_train_rows AS BIGINT) AS final_train_rows",
-            "scale_pos_weight",
-            f"{shares} AS shares_ok",
-            f"best_iteration = final_num_boost_round AND best_iteration BETWEEN 1 AND {cfg.final_max_iter - 1} AS rounds_ok",
+        splits.join(F.broadcast(borders), ["feature", "bin"]).selectExpr(
+            "name AS feature", "threshold", "nl AS rows_left", "nt AS rows_all", "gain",
+            f"{value('gl', 'hl')} AS left_value", f"{value('(gt - gl)', '(ht - hl)')} AS right_value", "best",
         )
+    )
+
+
+def q_tree_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Margin, expected margin and contributions of every labelled account after one round of two leaves."""
+    m = _boost_matrix(spark, sf_dir)
+    with Boosting(m.fit, m.feature_cols, [BOOST_PARAMS], SEED, BOOST_BINS) as b:
+        b.round()
+        model = b.model(b.trials[0], 1)
+    found = attribute(model, m.data)
+    return round_doubles(
+        found.select(ACCOUNT, "margin", "base", *[F.get("contributions", F.lit(j)).alias(f"of_{c}") for j, c in enumerate(m.feature_cols)])
+    )
+
+
+def q_halving_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M7: one row per trial and comparison: parameters, rounds, best round, validation AUC, and whether it went on."""
+    inp, feats = _store(spark, sf_dir)
+    m = labelled_matrix(feats, inp.labels, inp.kyc, fixture_config())
+    params = [draw_params(SEED, i) for i in range(4)]
+    found = successive_halving(m.fit, m.feature_cols, params, 2, 8, 3, SEED, eta=2)
+    m.data.unpersist()
+    return found.table(spark)
+
+
+def q_metric_record_leafwise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M6-M14 + S9-S14 end to end on the leaf-wise engine, exact contributions included."""
+    root = _scratch(spark, "run")
+    write_fixture_layout(spark, sf_dir, f"{root}/data")
+    cfg = fixture_config(
+        engine="leafwise", data_dir=f"{root}/data", work_dir=f"{root}/work", output_dir=f"{root}/out", search_first_rounds=2, final_max_iter=30
     )
+    res = run_pipeline(spark, cfg, LABELS_SCHEMA, TEST_SCHEMA)
+    return round_doubles(_metric_checks(spark, res.paths["metrics"], cfg.final_max_iter))
+
+
+_BOOST_SQL = f"""
+weights AS (SELECT CAST(GREATEST(SUM(CASE WHEN CHURN = 1 THEN 0 ELSE 1 END), 1) AS DOUBLE) / GREATEST(SUM(CHURN), 1) AS scale
+            FROM split WHERE NOT is_valid),
+train AS (SELECT s.*, t.CHURN, CASE WHEN t.CHURN = 1 THEN scale ELSE 1.0 END AS w
+          FROM store s JOIN split t ON t.ACCOUNT_ID = s.ACCOUNT_ID CROSS JOIN weights WHERE NOT t.is_valid),
+start AS (SELECT SUM(w * CHURN) / SUM(w) AS p FROM train),
+wide AS (SELECT train.*, w * (p - CHURN) AS g, w * p * (1 - p) AS h FROM train CROSS JOIN start),
+long AS ({" UNION ALL ".join(f"SELECT {j} AS j, '{c}' AS feature, CAST({c} AS DOUBLE) AS x, g, h FROM wide" for j, c in enumerate(BOOST_FEATURES))}),
+borders AS (SELECT DISTINCT j, t FROM (
+  SELECT j, UNNEST(QUANTILE_DISC(x, [{", ".join(str(i / BOOST_BINS) for i in range(1, BOOST_BINS))}])) AS t FROM long GROUP BY j) q),
+sums AS (
+  SELECT l.j, l.feature, b.t, COUNT(*) FILTER (WHERE x <= t) AS nl, COUNT(*) AS nt,
+         COALESCE(SUM(g) FILTER (WHERE x <= t), 0) AS gl, COALESCE(SUM(h) FILTER (WHERE x <= t), 0) AS hl, SUM(g) AS gt, SUM(h) AS ht
+  FROM long l JOIN borders b ON b.j = l.j GROUP BY l.j, l.feature, b.t
+),
+gains AS (
+  SELECT *, POWER(GREATEST(ABS(gl) - {BOOST_PARAMS.lambda_l1}, 0), 2) / (hl + {BOOST_PARAMS.lambda_l2})
+    + POWER(GREATEST(ABS(gt - gl) - {BOOST_PARAMS.lambda_l1}, 0), 2) / (ht - hl + {BOOST_PARAMS.lambda_l2})
+    - POWER(GREATEST(ABS(gt) - {BOOST_PARAMS.lambda_l1}, 0), 2) / (ht + {BOOST_PARAMS.lambda_l2}) AS gain,
+    -SIGN(gl) * GREATEST(ABS(gl) - {BOOST_PARAMS.lambda_l1}, 0) / (hl + {BOOST_PARAMS.lambda_l2}) AS left_value,
+    -SIGN(gt - gl) * GREATEST(ABS(gt - gl) - {BOOST_PARAMS.lambda_l1}, 0) / (ht - hl + {BOOST_PARAMS.lambda_l2}) AS right_value
+  FROM sums WHERE nl >= {BOOST_PARAMS.min_child_samples} AND nt - nl >= {BOOST_PARAMS.min_child_samples}
+),
+ranked AS (SELECT *, ROW_NUMBER() OVER (ORDER BY gain DESC, j, t) = 1 AND gain > 0 AS best FROM gains)"""
+SQL_BOOST_ROUND = _store_with_labels_sql("").rstrip() + "," + _BOOST_SQL + f"""
+SELECT feature, {O.round4('t')} AS threshold, nl AS rows_left, nt AS rows_all, {O.round4('gain')} AS gain,
+       {O.round4('left_value')} AS left_value, {O.round4('right_value')} AS right_value, best FROM ranked"""
+_RATE = BOOST_PARAMS.learning_rate
+SQL_TREE_ATTRIBUTION = _store_with_labels_sql("").rstrip() + "," + _BOOST_SQL + f""",
+chosen AS (
+  SELECT feature, t, {_RATE} * left_value AS lv, {_RATE} * right_value AS rv,
+         {_RATE} * (nl * left_value + (nt - nl) * right_value) / nt AS expected, (SELECT LN(p / (1 - p)) FROM start) AS start
+  FROM ranked WHERE best
+),
+rows_ AS (
+  SELECT s.ACCOUNT_ID, c.*,
+         CASE WHEN CASE c.feature {" ".join(f"WHEN '{c}' THEN CAST(s.{c} AS DOUBLE)" for c in BOOST_FEATURES)} END <= c.t THEN lv ELSE rv END AS v
+  FROM store s JOIN lab l ON l.ACCOUNT_ID = s.ACCOUNT_ID CROSS JOIN chosen c
+)
+SELECT ACCOUNT_ID, {O.round4('start + v')} AS margin, {O.round4('start + expected')} AS base,
+       {", ".join(O.round4(f"CASE WHEN feature = '{c}' THEN v - expected ELSE 0 END") + f" AS of_{c}" for c in BOOST_FEATURES)} FROM rows_"""
 
 
 # what SQL can say of the fits: which rows there are, the counts, and that every check holds
@@ -687,6 +824,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "partitioned_scan": q_partitioned_scan,
         "resolve_multi": q_resolve_multi,
         "nanos_mixed": q_nanos_mixed,
+        "nanos_kinds": q_nanos_kinds,
+        "nanos_and_seconds": q_nanos_and_seconds,
         "epoch_seconds": q_epoch_seconds,
         "nanos_timestamps": q_nanos_timestamps,
         "resolve_inputs": q_resolve_inputs,
@@ -696,6 +835,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "gain_importance": q_gain_importance,
         "driver_summary": q_driver_summary,
         "metric_record": q_metric_record,
+        "boost_round": q_boost_round,
+        "tree_attribution": q_tree_attribution,
+        "halving_search": q_halving_search,
+        "metric_record_leafwise": q_metric_record_leafwise,
     }
 
 
@@ -735,6 +878,8 @@ def oracle_sql() -> dict[str, str]:
         "partitioned_scan": SQL_ASOF_FILTER,
         "resolve_multi": SQL_ASOF_FILTER,
         "nanos_mixed": SQL_ASOF_FILTER,
+        "nanos_kinds": SQL_ASOF_FILTER,
+        "nanos_and_seconds": SQL_ASOF_FILTER,
         "epoch_seconds": SQL_ASOF_FILTER,
         "nanos_timestamps": SQL_ASOF_FILTER,
         "resolve_inputs": SQL_POPULATION,
@@ -743,4 +888,7 @@ def oracle_sql() -> dict[str, str]:
         "gbt_refit": SQL_GBT_SCORES,
         "gain_importance": SQL_GAIN_IMPORTANCE,
         "metric_record": SQL_METRIC_RECORD,
+        "boost_round": SQL_BOOST_ROUND,
+        "tree_attribution": SQL_TREE_ATTRIBUTION,
+        "metric_record_leafwise": SQL_METRIC_RECORD,
     }

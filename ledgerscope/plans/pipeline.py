@@ -13,13 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..config import PipelineConfig
-from ..model.evaluate import median_substitution_summary
 from ..sources import sinks
 from ..sources.normalize import InputError, Inputs, RawInputs, normalize_inputs
 from ..sources.readers import read_any, resolve_inputs
 from ..session import ensure_checkpoint_dir
 from .feature_job import build_features
-from .model_job import ModelRun, train_and_score, trials_frame
+from .model_job import ModelRun, train_and_score
 
 
 @dataclass
@@ -104,14 +103,15 @@ def run_pipeline(
         "trials": f"{out}/search_trials",
         "summary": f"{out}/driver_summary",
     }
-    sinks.write_predictions(run.predictions, paths["predictions"])
-    sinks.write_record(spark, run.metrics, paths["metrics"])
-    sinks.write_record(spark, cfg.to_dict(), paths["config"])
-    sinks.write_importance(run.importance, paths["importance"])
-    sinks.save_model(run.final_model, paths["model"])
-    trials_frame(spark, run.trials).coalesce(1).write.mode("overwrite").json(paths["trials"])
-    if summary:
-        s = median_substitution_summary(run.final_model, run.matrix.data, run.matrix.feature_cols, features, cfg.random_seed)
-        s.coalesce(1).write.mode("overwrite").option("header", "true").csv(paths["summary"])
-    run.matrix.data.unpersist()
+    try:
+        sinks.write_predictions(run.predictions, paths["predictions"])
+        sinks.write_record(spark, run.metrics, paths["metrics"])
+        sinks.write_record(spark, cfg.to_dict(), paths["config"])
+        sinks.write_importance(run.importance, paths["importance"])
+        run.save(paths["model"])
+        run.trials_table().coalesce(1).write.mode("overwrite").json(paths["trials"])
+        if summary:
+            run.summary(features, cfg.random_seed).coalesce(1).write.mode("overwrite").option("header", "true").csv(paths["summary"])
+    finally:
+        run.matrix.data.unpersist()
     return PipelineResult(features, run, paths)
