@@ -9,7 +9,9 @@ and compilation of the generated code of the same plan shapes, which a long-runn
 pays once), then is timed on the BENCH_SF_DIR export. The headline value is the wall time of
 the whole feature-store job (path A): input resolution, reading, canonical mapping and
 cutoff, population, both transaction directions, balances, kyc, assembly and the stamped
-Parquet write. The reference publishes no timings, so these numbers are ours only.
+Parquet write. The reference publishes no timings, so these numbers are ours only;
+``single_level_transactions`` is the published job's shape over the same input, to compare
+``transaction_features`` with.
 """
 
 from __future__ import annotations
@@ -35,6 +37,46 @@ def _sf(path: str) -> float | str:
         return base
 
 
+def single_level_features(trx, cutoff: str, population):
+    """The published job's shape, for comparison: per direction one aggregate with ``count(DISTINCT ...)`` and a gap window
+    over distinct days, joined outer. The same base features as ``transaction_features``, without the ratios."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from ledgerscope.config import ACCOUNT, ACTIVE_DAY_WINDOWS, COUNTERPARTY_WINDOWS, TXN_WINDOWS
+    from ledgerscope.functions.exprs import days_before, type_flags, window_sql
+    from ledgerscope.operators.transactions import TYPE_NAMES
+
+    sides = []
+    for prefix, account, other in (("out", ACCOUNT, "DST_ACCOUNT_ID"), ("in", "DST_ACCOUNT_ID", ACCOUNT)):
+        t = population.semi_join(
+            trx.select(
+                F.col(account).alias(ACCOUNT), F.col(other).alias("cp"), "TXN_DATE", "TXN_AMOUNT", "TXN_TYPE",
+                days_before("TXN_DATE", cutoff).alias("d"), *type_flags("TXN_TYPE"),
+            )
+        )
+        aggs = []
+        for sfx, lo, hi in TXN_WINDOWS:
+            inside = "true" if lo is None else window_sql(lo, hi)
+            aggs += [f"count_if({inside}) AS {prefix}_count_{sfx}", f"sum(CASE WHEN {inside} THEN TXN_AMOUNT ELSE 0D END) AS {prefix}_sum_{sfx}"]
+        for name in ("avg", "stddev", "max", "min", "median"):
+            call = "percentile_approx(TXN_AMOUNT, 0.5)" if name == "median" else f"{name}(TXN_AMOUNT)"
+            aggs.append(f"{call} AS {prefix}_{name}_amount")
+        for sfx, hi in COUNTERPARTY_WINDOWS:
+            aggs.append(f"count(DISTINCT {'cp' if hi is None else f'CASE WHEN {window_sql(1, hi)} THEN cp END'}) AS {prefix}_unique{sfx}")
+        aggs.append(f"count(DISTINCT TXN_TYPE) AS {prefix}_types")
+        for sfx, hi in ACTIVE_DAY_WINDOWS:
+            aggs.append(f"count(DISTINCT {'TXN_DATE' if hi is None else f'CASE WHEN {window_sql(1, hi)} THEN TXN_DATE END'}) AS {prefix}_active_{sfx}")
+        aggs += [f"max(TXN_DATE) AS {prefix}_last", f"min(TXN_DATE) AS {prefix}_first"]
+        for name in TYPE_NAMES:
+            aggs += [f"sum(is_{name}) AS {prefix}_{name}", f"max(CASE WHEN is_{name} > 0 THEN TXN_DATE END) AS {prefix}_last_{name}"]
+        before = F.lag("TXN_DATE").over(Window.partitionBy(ACCOUNT).orderBy("TXN_DATE"))
+        gaps = t.select(ACCOUNT, "TXN_DATE").distinct().select(ACCOUNT, F.datediff("TXN_DATE", before).alias("gap"))
+        gaps = gaps.groupBy(ACCOUNT).agg(F.max("gap").alias(f"{prefix}_max_gap"), F.avg("gap").alias(f"{prefix}_avg_gap"))
+        sides.append(t.groupBy(ACCOUNT).agg(*[F.expr(a) for a in aggs]).join(gaps, ACCOUNT, "left"))
+    return sides[0].join(sides[1], ACCOUNT, "outer")
+
+
 def main() -> None:
     from pyspark.sql import functions as F
 
@@ -70,6 +112,9 @@ def main() -> None:
         def transactions():
             noop(transaction_features(inp.transactions, cutoff, state["pop"]))
 
+        def single_level_transactions():
+            noop(single_level_features(inp.transactions, cutoff, state["pop"]))
+
         def balances():
             noop(balance_features(inp.balances, cutoff, state["pop"]))
 
@@ -93,6 +138,7 @@ def main() -> None:
         return {
             "population": population,
             "transaction_features": transactions,
+            "single_level_transactions": single_level_transactions,
             "balance_features": balances,
             "feature_store_job": feature_store_job,
             "auc_topk": auc_topk,
