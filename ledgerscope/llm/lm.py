@@ -209,28 +209,32 @@ _CAUSAL = np.where(np.arange(WINDOW)[None, :] <= np.arange(WINDOW - STRIDE, WIND
 
 
 def hidden(w: Weights, seen: np.ndarray, pad: np.ndarray):
-    """What the last places know (windows, STRIDE, WIDTH), and the steps to it."""
-    x = w["embed"][seen]
+    """What the last places know (places, WIDTH), and the steps to it.
+
+    The matrices of queries and keys are one product, as are those of values and output, so that nothing is projected
+    for the places that are only seen.
+    """
+    x = w["embed"].take(seen, axis=0)
     x += w["place"]
-    y = x[:, WINDOW - STRIDE :]
-    q, k, v = y @ (w["q"] * np.float32(WIDTH**-0.5)), x @ w["k"], x @ w["v"]
-    s = q @ k.transpose(0, 2, 1)
+    y = x[:, WINDOW - STRIDE :].reshape(-1, WIDTH)
+    q = (y @ (w["q"] @ w["k"].T * np.float32(WIDTH**-0.5))).reshape(-1, STRIDE, WIDTH)
+    s = q @ x.transpose(0, 2, 1)
     np.minimum(s, _CAUSAL, out=s)  # at most 60, and nothing of what comes later
     first = np.flatnonzero(pad[:, 0])
     if len(first):  # the first window of a text has empty places
         s[first] += np.where(pad[first], np.float32(-1e9), np.float32(0))[:, None, :]
     np.exp(s, out=s)
-    mass = s @ np.ones((WINDOW, 1), dtype=s.dtype) + np.float32(1e-30)
-    a = s @ v
+    mass = s.reshape(-1, WINDOW) @ np.ones((WINDOW, 1), dtype=s.dtype) + np.float32(1e-30)
+    a = (s @ x).reshape(-1, WIDTH)
     a /= mass
-    h = a @ w["o"]
+    h = a @ (w["v"] @ w["o"])
     h += y
     u = h @ w["up"]
     u += w["up0"]
-    np.maximum(u, 0, out=u)
+    u *= u > 0
     z = u @ w["down"]
     z += h
-    return z, (x, y, q, k, v, s, mass, a, h, u)
+    return z, (x, y, q, s, mass, a, h, u)
 
 
 def _softmax(logits: np.ndarray) -> np.ndarray:
@@ -266,7 +270,7 @@ def log_probability(w: Weights, seen: np.ndarray, pad: np.ndarray, wanted: np.nd
     z = np.ones((len(seen) * STRIDE, WIDTH + 1), dtype=w["group"].dtype)
     for i in range(0, len(seen), at_once):
         part = hidden(w, seen[i : i + at_once], pad[i : i + at_once])[0]
-        z[i * STRIDE : (i + len(part)) * STRIDE, :WIDTH] = part.reshape(-1, WIDTH)
+        z[i * STRIDE : i * STRIDE + len(part), :WIDTH] = part
     group = np.vstack([w["group"], w["group0"]])
     member = np.concatenate([w["member"], w["member0"][:, None, :]], axis=1)
     groups, members = np.divmod(wanted.ravel().astype(np.int32), MEMBERS)
@@ -279,80 +283,129 @@ def log_probability(w: Weights, seen: np.ndarray, pad: np.ndarray, wanted: np.nd
 
 
 def gradients(w: Weights, seen: np.ndarray, pad: np.ndarray, wanted: np.ndarray, real: np.ndarray) -> tuple[float, Weights]:
-    """Mean loss over the ``real`` places and its gradient."""
+    """Mean loss over the ``real`` places of windows and its gradient."""
     loss, g, ids = _gradients(w, seen, pad, wanted, real)
     every = np.zeros_like(w["embed"])
     every[ids] = g["embed"]
     return loss, {**g, "embed": every}
 
 
-def _gradients(w: Weights, seen: np.ndarray, pad: np.ndarray, wanted: np.ndarray, real: np.ndarray) -> tuple[float, Weights, np.ndarray]:
-    """Mean loss, its gradient, and the ids whose embeddings the gradient's "embed" is of."""
-    z, (x, y, q, k, v, s, mass, a, h, u) = hidden(w, seen, pad)
-    s = s / mass
-    n, shape = max(1, int(real.sum())), z.shape
-    z = z.reshape(-1, WIDTH)
-    groups, members = np.divmod(wanted.ravel(), MEMBERS)
-    share = (real.ravel() / n).astype(z.dtype)
-    g: Weights = {"member": np.zeros_like(w["member"]), "member0": np.zeros_like(w["member0"])}
-
-    def step(p, picked, part):
-        """Loss of a softmax, whose probabilities become the gradient of its logits."""
-        rows = np.arange(len(p))
-        loss = -(np.log(np.maximum(p[rows, picked], 1e-30)) * part).sum()
-        p[rows, picked] -= 1
-        p *= part[:, None]
-        return float(loss)
-
-    p = _softmax(z @ w["group"] + w["group0"])
-    loss = step(p, groups, share)
-    g["group"], g["group0"] = z.T @ p, p.sum(axis=0)
+def _softmax_gradient(logits: np.ndarray, wanted: np.ndarray, share: np.ndarray, losses: bool) -> float:
+    """Logits become the gradient of their softmax's loss at the wanted column, each row with its share; the loss."""
+    rows = np.arange(len(logits))
+    total = None
+    if logits.max(initial=0) < 60 and (at_wanted := logits[rows, wanted]).min(initial=0) > -60:
+        np.exp(logits, out=logits)
+        total = logits @ np.ones(logits.shape[1], dtype=logits.dtype)
+        loss = float(((np.log(total) - at_wanted) * share).sum()) if losses else 0.0
+        logits *= (share / total)[:, None]
+    else:
+        _softmax(logits)
+        loss = float(-(np.log(np.maximum(logits[rows, wanted], 1e-30)) * share).sum()) if losses else 0.0
+        logits *= share[:, None]
+    logits[rows, wanted] -= share
+    return loss
+
+
+def _gradients(w: Weights, seen: np.ndarray, pad: np.ndarray, wanted: np.ndarray, real: np.ndarray, losses: bool = True) -> tuple[float, Weights, np.ndarray]:
+    """Mean loss (0 without ``losses``), its gradient, and the ids whose embeddings the gradient's "embed" is of."""
+    z, (x, y, q, s, mass, a, h, u) = hidden(w, seen, pad)
+    dtype = z.dtype
+    groups, members = np.divmod(wanted.ravel().astype(np.int32), MEMBERS)
+    share = (real.ravel() / max(1, int(real.sum()))).astype(dtype)
+    # a last column of ones carries the biases
+    z = np.hstack([z, np.ones((len(z), 1), dtype=dtype)])
+    g: Weights = {}
+
+    p = z @ np.vstack([w["group"], w["group0"]])
+    loss = _softmax_gradient(p, groups, share, losses)
+    t = z.T @ p
+    g["group"], g["group0"] = t[:-1], t[-1]
     dz = p @ w["group"].T
-    for i, at in _by_group(groups):
-        p = _softmax(z[at] @ w["member"][i] + w["member0"][i])
-        loss += step(p, members[at], share[at])
-        g["member"][i], g["member0"][i] = z[at].T @ p, p.sum(axis=0)
-        dz[at] += p @ w["member"][i].T
-    dz = dz.reshape(shape)
-
-    def flat(m):
-        return m.reshape(-1, m.shape[-1])
-
-    g["down"] = flat(u).T @ flat(dz)
-    du = (dz @ w["down"].T) * (u > 0)
-    g["up"], g["up0"] = flat(h).T @ flat(du), flat(du).sum(axis=0)
-    dh = dz + du @ w["up"].T
-    g["o"] = flat(a).T @ flat(dh)
-    da = dh @ w["o"].T
-    ds = da @ v.transpose(0, 2, 1)
-    dv = s.transpose(0, 2, 1) @ da
-    ds = s * (ds - (ds * s).sum(axis=2, keepdims=True))
+
+    # rows by group, so that only the products are made group by group
+    order = np.argsort(groups.astype(np.int8), kind="stable")
+    edges = np.searchsorted(groups[order], np.arange(GROUPS + 1)).tolist()
+    cuts = [(i, slice(edges[i], edges[i + 1])) for i in range(GROUPS) if edges[i] < edges[i + 1]]
+    member = np.concatenate([w["member"], w["member0"][:, None, :]], axis=1)
+    zs, p = z.take(order, axis=0), np.empty((len(z), MEMBERS), dtype=dtype)
+    for i, at in cuts:
+        np.matmul(zs[at], member[i], out=p[at])
+    loss += _softmax_gradient(p, members[order], share[order], losses)
+    t, back = np.zeros_like(member), np.empty((len(z), WIDTH), dtype=dtype)
+    for i, at in cuts:
+        np.matmul(zs[at].T, p[at], out=t[i])
+        np.matmul(p[at], w["member"][i].T, out=back[at])
+    g["member"], g["member0"] = t[:, :-1], t[:, -1]
+    places = np.empty_like(order)
+    places[order] = np.arange(len(order))
+    dz += back.take(places, axis=0)
+
+    g["down"] = u.T @ dz
+    du = dz @ w["down"].T
+    du *= u > 0
+    g["up"], g["up0"] = h.T @ du, np.ones(len(du), dtype=dtype) @ du
+    dh = du @ w["up"].T
+    dh += dz
     scale = np.float32(WIDTH**-0.5)
-    dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
-    g["q"], g["k"], g["v"] = flat(y).T @ flat(dq) * scale, flat(x).T @ flat(dk), flat(x).T @ flat(dv)
-    dx = dk @ w["k"].T + dv @ w["v"].T
-    dx[:, WINDOW - STRIDE :] += dh + dq @ (w["q"].T * scale)
-    g["place"] = dx.sum(axis=0)
-    order = np.argsort(seen, axis=None, kind="stable")
-    ids, firsts = np.unique(seen.ravel()[order], return_index=True)
-    g["embed"] = np.add.reduceat(flat(dx)[order], firsts, axis=0)
-    return loss, g, ids
+    t = a.T @ dh
+    g["v"], g["o"] = t @ w["o"].T, w["v"].T @ t
+    da = dh @ (w["v"] @ w["o"]).T
+    da /= mass
+    # what the mean over a place's softmax takes off its scores' gradient is taken off the rows in its place
+    mean = np.einsum("ij,ij->i", da, a)[:, None]
+    da, rows = da.reshape(q.shape), q.reshape(a.shape)
+    ds = da @ x.transpose(0, 2, 1)
+    ds *= s
+    dx = ds.transpose(0, 2, 1) @ q
+    dx += s.transpose(0, 2, 1) @ (da - (mean * rows).reshape(q.shape))
+    dq = (ds @ x).reshape(a.shape)
+    dq -= mean * mass * a
+    t = y.T @ dq * scale
+    g["q"], g["k"] = t @ w["k"], t.T @ w["q"]
+    dy = dq @ (w["k"] @ w["q"].T * scale)
+    dy += dh
+    dx[:, WINDOW - STRIDE :] += dy.reshape(-1, STRIDE, WIDTH)
+    g["place"] = (np.ones(len(dx), dtype=dtype) @ dx.reshape(len(dx), -1)).reshape(WINDOW, WIDTH)
+    flat = seen.ravel()
+    order = np.argsort(flat.astype(np.uint16) if len(w["embed"]) <= 1 << 16 else flat, kind="stable")
+    ids = flat[order]
+    firsts = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
+    g["embed"] = np.add.reduceat(dx.reshape(-1, WIDTH).take(order, axis=0), firsts, axis=0)
+    return loss, g, ids[firsts]
 
 
 class Adam:
     def __init__(self, w: Weights, rate: float):
         self.rate, self.t = rate, 0
-        self.m, self.s = ({k: np.zeros_like(x) for k, x in w.items()} for _ in range(2))
+        self.dense = [k for k in w if k != "embed"]
+        self.edges = np.cumsum([0, *(w[k].size for k in self.dense)]).tolist()
+        self.embed = [np.zeros_like(w["embed"]) for _ in range(2)]
+        self.rest = [np.zeros(self.edges[-1], dtype=w["embed"].dtype) for _ in range(2)]
+
+    def _move(self, m: np.ndarray, s: np.ndarray, g: np.ndarray) -> np.ndarray:
+        """The step by a gradient; ``m`` and ``s`` take it in."""
+        m *= 0.9
+        m += 0.1 * g
+        s *= 0.99
+        g *= g
+        g *= 0.01
+        s += g
+        root = np.sqrt(s / (1 - 0.99**self.t))
+        root += 1e-6
+        np.divide(m, root, out=root)
+        root *= self.rate / (1 - 0.9**self.t)
+        return root
 
     def step(self, w: Weights, g: Weights, ids: np.ndarray) -> None:
         """``g["embed"]`` is of the embeddings of ``ids``; the others stay as they are."""
         self.t += 1
-        for k in w:
-            at = ids if k == "embed" else slice(None)
-            m = 0.9 * self.m[k][at] + 0.1 * g[k]
-            s = 0.99 * self.s[k][at] + 0.01 * g[k] ** 2
-            self.m[k][at], self.s[k][at] = m, s
-            w[k][at] -= self.rate * (m / (1 - 0.9**self.t)) / (np.sqrt(s / (1 - 0.99**self.t)) + 1e-6)
+        moved = self._move(*self.rest, np.concatenate([g[k].ravel() for k in self.dense]))
+        for k, a, b in zip(self.dense, self.edges, self.edges[1:]):
+            w[k] -= moved[a:b].reshape(w[k].shape)
+        m, s = (x[ids] for x in self.embed)
+        w["embed"][ids] -= self._move(m, s, g["embed"].copy())
+        self.embed[0][ids], self.embed[1][ids] = m, s
 
 
 def windows(
@@ -433,7 +486,7 @@ def _train_round(texts: DataFrame, v: Vocabulary, start: Weights, rate: float) -
                 kept.clear()
                 order = rng.permutation(len(parts[0]))
                 for i in range(0, len(order), BATCH):
-                    adam.step(w, *_gradients(w, *(p[order[i : i + BATCH]] for p in parts))[1:])
+                    adam.step(w, *_gradients(w, *(p[order[i : i + BATCH]] for p in parts), losses=False)[1:])
 
         def work(texts):
             _, _, _, ids, lengths = encode(texts)
